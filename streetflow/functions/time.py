@@ -14,8 +14,7 @@ def parse_event_time(text: Column) -> Column:
     """A digit string is epoch nanoseconds; otherwise ISO `T` or space form; else null (F1)."""
     nanos = F.when(text.rlike(DIGITS), text).try_cast("bigint")
     iso = F.when(text.rlike(ISO_LIKE), text).try_cast("timestamp")
-    micros = F.floor((nanos - F.pmod(nanos, F.lit(1000))) / 1000)
-    return F.coalesce(F.timestamp_micros(micros), iso)
+    return F.coalesce(F.timestamp_micros(F.call_function("div", nanos, F.lit(1000))), iso)
 
 
 def event_date(time: Column, epoch_seconds: bool = False) -> Column:

@@ -39,13 +39,6 @@ class Blocks:
     split: bool
 
 
-def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    on = F.lit(True)
-    for name in names:
-        on = on & left[name].eqNullSafe(right[name])
-    return on
-
-
 def _attach(df: DataFrame, small: DataFrame, names: Sequence[str]) -> DataFrame:
     """Left join of a table with at most MAX_BLOCKS rows, nulls matching nulls."""
     side = small.select(
@@ -59,13 +52,8 @@ def _attach(df: DataFrame, small: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def _split_points(df: DataFrame, keys: list[str], order: Sequence[str], block_rows: int,
-                  sizes: DataFrame) -> DataFrame | None:
+                  counts: DataFrame) -> DataFrame | None:
     """One row per oversized group with its sorted split points, or None."""
-    counts = sizes.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total, largest = counts.agg(F.sum("_n"), F.max("_n")).first()
-    if not total or largest <= 2 * block_rows:
-        return None
-    block_rows = max(block_rows, -(-total // MAX_BLOCKS))
     hot = stage(counts.filter(F.col("_n") > 2 * block_rows)
                 .withColumn("_blocks", F.ceil(F.col("_n") / block_rows).cast("int")))
     hot_rows, blocks = hot.agg(F.sum("_n"), F.sum("_blocks")).first()
@@ -92,17 +80,25 @@ def _split_points(df: DataFrame, keys: list[str], order: Sequence[str], block_ro
 
 
 def into_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                block_rows: int = BLOCK_ROWS, sizes: DataFrame | None = None) -> Blocks:
+                block_rows: int = BLOCK_ROWS, sizes: DataFrame | None = None,
+                derived: bool = False) -> Blocks:
     """Label rows with a block number that grows with `order` inside each group.
 
-    `sizes` may name a cheaper DataFrame with the same keys to judge group sizes by.
+    `sizes` may name a cheaper DataFrame with the same keys to judge group sizes by. `derived`
+    says that the rows come out of a shuffle: if groups must be cut, which takes several passes,
+    the rows are stored first instead of computed anew in each pass.
     """
     keys = list(keys)
     if not keys:
         keys = [_ALL]
         df = df.withColumn(_ALL, F.lit(0))
         sizes = None if sizes is None else sizes.withColumn(_ALL, F.lit(0))
-    points = _split_points(df, keys, order, block_rows, df if sizes is None else sizes)
+    counts = (df if sizes is None else sizes).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total, largest = counts.agg(F.sum("_n"), F.max("_n")).first()
+    points = None
+    if total and largest > 2 * block_rows:
+        df = stage(df) if derived else df
+        points = _split_points(df, keys, order, max(block_rows, -(-total // MAX_BLOCKS)), counts)
     if points is None:
         return Blocks(df.withColumn(_BLOCK, F.lit(0)).withColumn(_HOT, F.lit(False)), keys, False)
     rows = _attach(df, points, keys)
@@ -123,9 +119,10 @@ def _done(df: DataFrame) -> DataFrame:
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
-                block_rows: int = BLOCK_ROWS, sizes: DataFrame | None = None) -> DataFrame:
+                block_rows: int = BLOCK_ROWS, sizes: DataFrame | None = None,
+                derived: bool = False) -> DataFrame:
     """Add `out`: the sum of `value` over the group's rows up to and including this one."""
-    blocks = into_blocks(df, keys, order, block_rows, sizes)
+    blocks = into_blocks(df, keys, order, block_rows, sizes, derived)
     keys = blocks.keys
     part = Window.partitionBy(*keys, _BLOCK) if blocks.split else Window.partitionBy(*keys)
     upto = part.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -144,12 +141,13 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
 
 def row_window(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                columns: Callable[[Window], dict[str, Column]], before: int = 0, after: int = 0,
-               block_rows: int = BLOCK_ROWS, sizes: DataFrame | None = None) -> DataFrame:
+               block_rows: int = BLOCK_ROWS, sizes: DataFrame | None = None,
+               derived: bool = False) -> DataFrame:
     """Add window columns that look at most `before` rows back and `after` rows ahead.
 
     `columns` gets the ordered window and returns the expressions by name.
     """
-    blocks = into_blocks(df, keys, order, block_rows, sizes)
+    blocks = into_blocks(df, keys, order, block_rows, sizes, derived)
     keys, rows = blocks.keys, blocks.rows
     if not blocks.split:
         return _done(rows.withColumns(columns(Window.partitionBy(*keys).orderBy(*order))))
