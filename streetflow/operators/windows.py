@@ -79,21 +79,23 @@ def _count_at(probes: DataFrame, changes: DataFrame, key: str, tie: str, out: st
 
 def sliding_distinct(df: DataFrame, key: str, item: str, ts: str, tie: str,
                      seconds: float = UNIQUE_WINDOW_SEC, out: str = "unique_count_5min",
-                     block_rows: int = BLOCK_ROWS) -> DataFrame:
+                     sightings: DataFrame | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Distinct items of the key in the last `seconds`, both ends included.
 
     The sightings of an item are merged into stays: an item is present from its first sighting
     until `seconds` after the last one that follows without a longer gap. Each stay adds one
     arrival and one departure, and the count is a running sum of those. Cost grows with rows,
     not with rows times window. Rows without an item are frames without a detection: they are
-    counted at, and add nothing.
+    counted at, and add nothing. If frames and sightings are separate tables, `df` has the
+    rows to count at and `sightings` the items.
     """
     width = round(seconds * 1_000_000)
     timed = df.withColumn("_t", _micros(ts))
-    seen = timed.filter(F.col(item).isNotNull()).select(key, item, "_t").distinct()
+    items = timed if sightings is None else sightings.withColumn("_t", _micros(ts))
+    seen = items.filter(F.col(item).isNotNull()).select(key, item, "_t").distinct()
     gaps = row_window(seen, [key, item], ["_t"],
                       lambda w: {"_prev": F.lag("_t").over(w), "_next": F.lead("_t").over(w)},
-                      before=1, after=1, block_rows=block_rows, sizes=timed, derived=True)
+                      before=1, after=1, block_rows=block_rows, sizes=items, derived=True)
     arrives = F.col("_prev").isNull() | (F.col("_t") - F.col("_prev") > width)
     departs = F.col("_next").isNull() | (F.col("_next") - F.col("_t") > width)
     change = F.array(
@@ -105,14 +107,24 @@ def sliding_distinct(df: DataFrame, key: str, item: str, ts: str, tie: str,
 
 
 def running_distinct(df: DataFrame, key: str, item: str, ts: str, tie: str,
-                     out: str = "unique_count_session", block_rows: int = BLOCK_ROWS) -> DataFrame:
+                     out: str = "unique_count_session", sightings: DataFrame | None = None,
+                     block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Distinct items of the key since the start (W7): a running sum of first sightings."""
     timed = df.withColumn("_t", _micros(ts))
-    changes = (timed.filter(F.col(item).isNotNull()).groupBy(key, item).agg(F.min("_t").alias("_t"))
+    items = timed if sightings is None else sightings.withColumn("_t", _micros(ts))
+    changes = (items.filter(F.col(item).isNotNull()).groupBy(key, item).agg(F.min("_t").alias("_t"))
                .groupBy(key, "_t").agg(F.count(F.lit(1)).alias("_delta")).withColumn("_kind", F.lit(0)))
     return _count_at(timed, changes, key, tie, out, block_rows).drop("_t")
 
 
+def frame_counts(frames: DataFrame, seconds: float = UNIQUE_WINDOW_SEC, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Both counts at each frame of `(camera_id, frame_id, ts, track_ids)`."""
+    seen = frames.select("camera_id", "ts", F.explode("track_ids").alias("track_id"))
+    recent = sliding_distinct(frames, "camera_id", "track_id", "ts", "frame_id", seconds,
+                              sightings=seen, block_rows=block_rows)
+    return running_distinct(recent, "camera_id", "track_id", "ts", "frame_id", sightings=seen, block_rows=block_rows)
+
+
 def first_of_groups(df: DataFrame, key: str, order: list[str], groups: int, rows: int) -> DataFrame:
     """First `rows` rows of each of the first `groups` keys by name.
 
