@@ -36,13 +36,16 @@ def radius(speed: Column) -> Column:
 
 
 def alert_text(sensor_id: Column, vertex: Column, speed: Column, distances: Column) -> Column:
-    """One line of the alert feed, landmarks in numeric order (F16)."""
+    """One line of the alert feed, landmarks in numeric order (F16).
+
+    Speeds are 32-bit values, and one exactly between two tenths goes to the even one.
+    """
     entries = F.array_sort(F.transform(
         F.map_entries(distances),
         lambda e: F.struct(e["key"].try_cast("bigint").alias("n"), e["key"].alias("k"), e["value"].alias("v"))))
     hops = F.transform(entries, lambda e: F.format_string("node %s → %d hops", e["k"], e["v"]))
     return F.format_string("Sensor %s (vertex %s) at %.1f mph — reroute landmarks: %s", sensor_id, vertex,
-                           F.round(speed.cast("double"), 1), F.array_join(hops, ", "))
+                           F.bround(speed.cast("float").cast("double"), 1), F.array_join(hops, ", "))
 
 
 def first_text(*columns: Column, default: str = NO_TEXT) -> Column:

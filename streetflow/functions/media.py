@@ -59,7 +59,8 @@ def frame_label(sequence: Column, number: Column, suffix: str) -> Column:
 
 
 def _unit(value: Column) -> Column:
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), value))
+    """Clamp to [0, 1]; six digits, a value exactly between two goes to the even one."""
+    return F.bround(F.greatest(F.lit(0.0), F.least(F.lit(1.0), value)), 6)
 
 
 def box_line(left: Column, top: Column, width: Column, height: Column,

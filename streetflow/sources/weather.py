@@ -12,13 +12,15 @@ PAYLOAD = """name string, sys struct<country: string>,
  weather array<struct<main: string, description: string, id: int>>"""
 
 
-def flatten_weather(df: DataFrame, default_city: str, value: str = "value", now: Column | None = None) -> DataFrame:
+def flatten_weather(df: DataFrame, default_city: str, value: str = "value", now: Column | None = None,
+                    keep: tuple[str, ...] = ()) -> DataFrame:
     """Nested payload to the 17 columns of a weather message (S10); only the first condition counts."""
     now = F.current_timestamp() if now is None else now
     seconds = F.unix_micros(now) / 1e6
-    p = df.select(F.from_json(value, PAYLOAD).alias("p"), now.alias("_now"), seconds.alias("_s"))
+    p = df.select(*keep, F.from_json(value, PAYLOAD).alias("p"), now.alias("_now"), seconds.alias("_s"))
     first = F.get("p.weather", F.lit(0))
     return p.select(
+        *keep,
         F.coalesce("p.name", F.lit(default_city)).alias("city"),
         F.coalesce("p.sys.country", F.lit("")).alias("country"),
         F.date_format("_now", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("observed_at"),
