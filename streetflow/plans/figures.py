@@ -52,11 +52,13 @@ def j3(spark, sf):
 
 
 @query("j4_except", """
-select user_id, event_type from events except select user_id, event_type from events where value between 0 and 150""")
+select user_id, strftime(ts, '%Y-%m-%d') as day from events where event_type = 'view'
+except select user_id, strftime(ts, '%Y-%m-%d') as day from events where event_type = 'click'""")
 def j4(spark, sf):
-    """Pairs of sensor and type that occur, but never with a valid value: a difference across rows."""
-    e = inputs.events(spark, sf).select("user_id", "event_type", "value")
-    return e.select("user_id", "event_type").subtract(e.filter(F.col("value").between(0, 150)).select("user_id", "event_type"))
+    """A difference across rows: sensor days with a view and no click."""
+    e = inputs.events(spark, sf).select("user_id", F.to_date("ts").cast("string").alias("day"), "event_type")
+    return (e.filter(F.col("event_type") == "view").drop("event_type")
+            .subtract(e.filter(F.col("event_type") == "click").drop("event_type")))
 
 
 @query("j5_partition_lag", "with " + OFFSETS_SQL + """

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from streetflow.operators.blocks import row_window
-from streetflow.session import prepare, scratch
+from streetflow.session import prepare, scratch, stage
+from streetflow.sinks.tables import to_keyed_json
 
 # Messages are spoiled by the number in `props`, so that every kind of defect occurs.
 CUT_OFF, EXTRA, NO_SPEED, TEXT_SPEED, EMPTY_ID, NULL_INDEX, NEGATIVE_INDEX, NUMBER_TIME = range(1, 9)
@@ -189,20 +193,29 @@ lags as (
   left join committed c on c."group" = r."group" and c.topic = e.topic and c."partition" = e."partition")"""
 
 
-def replay(df: DataFrame, ts: str, parts: int = 4) -> str:
-    """Write `df` as JSON lines in the order of time, in `parts` writes, and return the folder.
-
-    A file stream takes files in the order they were written, so later batches are later in time.
-    """
-    folder = scratch(df.sparkSession, "replay")
+def slices(df: DataFrame, ts: str, parts: int) -> list[DataFrame]:
+    """Cut a table into consecutive spans of time of about equal size."""
+    df = stage(df)
     when = F.unix_micros(ts)
     cuts = df.select(when.alias("t")).approxQuantile("t", [i / parts for i in range(1, parts)], 0.001)
-    bounds = [None, *cuts, None]
+    bounds = [None, *[int(c) for c in cuts], None]
+    pieces = []
     for low, high in zip(bounds, bounds[1:]):
-        part = df
-        if low is not None:
-            part = part.filter(when > int(low))
-        if high is not None:
-            part = part.filter(when <= int(high))
-        part.select(F.to_json(F.struct("*")).alias("value")).write.mode("append").text(folder)
-    return folder
+        piece = df if low is None else df.filter(when > low)
+        pieces.append(piece if high is None else piece.filter(when <= high))
+    return pieces
+
+
+def replay(df: DataFrame, ts: str, run: Callable[[str], StreamingQuery], parts: int = 2) -> None:
+    """Hand `df` to a stream in order of time: write a span as JSON lines, run the stream, go on.
+
+    `run` starts a stream over the folder that ends when it has taken everything; every run
+    after the first one restarts it from its checkpoint.
+    """
+    folder = scratch(df.sparkSession, "replay")
+    for piece in slices(df, ts, parts):
+        to_keyed_json(piece).select("value").write.mode("append").text(folder)
+        query = run(folder)
+        query.awaitTermination()
+        if query.exception():
+            raise query.exception()

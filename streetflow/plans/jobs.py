@@ -12,12 +12,12 @@ from streetflow.operators.windows import speed_features
 from streetflow.plans import inputs
 from streetflow.plans.figures import COUNTS_SQL, FEATURES_SQL, LAGS_SQL
 from streetflow.plans.inputs import DECODED_SQL, GRAPH_SQL, MESSAGES_SQL
-from streetflow.plans.registry import big, micros, query, six
+from streetflow.plans.registry import big, micros, query, six, whole
 from streetflow.plans.rows import CONTRACT_SQL
 from streetflow.session import scratch
 from streetflow.sinks.tables import append_once, compact, write_snapshot
 from streetflow.sources.streams import stream_source
-from streetflow.sources.tables import load_table, read_table
+from streetflow.sources.tables import load_static, load_table, read_table
 from streetflow.streaming import ingest, state
 
 # --- graph -----------------------------------------------------------------------------------
@@ -165,43 +165,43 @@ def k7(spark, sf):
 
 # --- streams ---------------------------------------------------------------------------------
 
-def _finish(query):
-    query.awaitTermination()
-    if query.exception():
-        raise query.exception()
+def _drain(df, ts, schema, shape, name):
+    """Send a table through a stream in order of time and read what the stream stored.
 
+    `shape` turns the decoded stream into the stored one.
+    """
+    spark = df.sparkSession
+    path, ckpt = scratch(spark, name), scratch(spark, f"{name}-ckpt")
 
-def _stream(spark, folder):
-    return stream_source(spark, "text", folder, max_per_trigger=16)
+    def run(folder):
+        return ingest.start_append(shape(decode(stream_source(spark, "text", folder), schema)), path, ckpt)
 
+    inputs.replay(df, ts, run)
+    return load_table(spark, path)
 
-def _drain(stream, path, ckpt):
-    """Run a stream over everything available and read what it stored."""
-    _finish(ingest.start_append(stream, path, ckpt))
-    return load_table(stream.sparkSession, path)
 
+MESSAGE = "event_id bigint, ts timestamp, value string"
 
-def _sent(spark, sf):
-    """Sensor messages as files in order of time, message text inside `value`."""
-    return inputs.replay(inputs.messages(spark, sf).select("event_id", "ts", "value"), "ts")
 
-
-def _received(spark, folder):
-    outer = decode(_stream(spark, folder), "event_id bigint, ts timestamp, value string")
-    return outer
+def _messages(spark, sf):
+    return inputs.messages(spark, sf).select("event_id", "ts", "value")
 
 
 @query("s1_k1_stream_append", "with " + MESSAGES_SQL + " select event_id, value from msg")
 def s1(spark, sf):
-    spark = inputs.prepare(spark)
-    stream = _received(spark, _sent(spark, sf)).select("event_id", "value")
-    return _drain(stream, scratch(spark, "s1"), scratch(spark, "s1-ckpt"))
+    return _drain(_messages(spark, sf), "ts", MESSAGE, lambda rows: rows.select("event_id", "value"), "s1")
 
 
 def _run_sensors(spark, sf):
     spark = inputs.prepare(spark)
-    root = scratch(spark, "sensors")
-    _finish(ingest.start_sensors(_received(spark, _sent(spark, sf)), root, scratch(spark, "ckpt"), _paths(spark, sf)))
+    root, ckpt, tables = scratch(spark, "sensors"), scratch(spark, "ckpt"), scratch(spark, "paths")
+    write_snapshot(_paths(spark, sf), tables)
+    paths = load_static(spark, tables)
+
+    def run(folder):
+        return ingest.start_sensors(decode(stream_source(spark, "text", folder), MESSAGE), root, ckpt, paths)
+
+    inputs.replay(_messages(spark, sf), "ts", run)
     return spark, root
 
 
@@ -210,14 +210,14 @@ good as (select * from decoded where sensor_id is not null and speed between 0 a
 
 
 @query("k2_stream_speeds", "with " + _GOOD_SQL + """
-select sensor_id, sensor_index, round(speed, 6) as speed, strftime(ts, '%Y-%m-%d') as event_date from good
+select sensor_id, cast(sensor_index as varchar) as sensor_index, round(speed, 6) as speed, strftime(ts, '%Y-%m-%d') as event_date from good
 where k <> 8 union all
-select sensor_id, sensor_index, round(speed, 6) as speed,
+select sensor_id, cast(sensor_index as varchar) as sensor_index, round(speed, 6) as speed,
   strftime(make_timestamp(cast("timestamp" as bigint) // 1000), '%Y-%m-%d') as event_date from good where k = 8""")
 def k2_speeds(spark, sf):
     spark, root = _run_sensors(spark, sf)
     rows = read_table(spark, root, "sensor_speeds")
-    return rows.select("sensor_id", big("sensor_index"), six("speed"), F.col("event_date").cast("string").alias("event_date"))
+    return rows.select("sensor_id", whole("sensor_index"), six("speed"), F.col("event_date").cast("string").alias("event_date"))
 
 
 @query("k2_stream_dead_letters", "with " + CONTRACT_SQL + """,
@@ -258,9 +258,12 @@ def r5(spark, sf):
     from streetflow.sources.trips import trip_columns
     raw = inputs.trip_file(spark, sf)
     trips = trip_columns(raw.withColumn("tpep_dropoff_datetime", F.when(F.col("store_and_fwd_flag") != "N", F.col("tpep_dropoff_datetime"))))
-    folder = inputs.replay(trips.withColumn("at", F.col("pickup_time").cast("timestamp")), "at")
-    root = scratch(spark, "trips")
-    _finish(ingest.start_feed(_stream(spark, folder), "gps", root, scratch(spark, "ckpt")))
+    root, ckpt = scratch(spark, "trips"), scratch(spark, "ckpt")
+
+    def run(folder):
+        return ingest.start_feed(stream_source(spark, "text", folder), "gps", root, ckpt)
+
+    inputs.replay(trips.withColumn("at", F.col("pickup_time").cast("timestamp")), "at", run)
     rows = read_table(spark, root, "gps_trips")
     return rows.select("pickup_time", "pickup_zone", "dropoff_zone", F.col("distance_miles").cast("double").alias("distance_miles"),
                        F.col("event_date").cast("string").alias("event_date"))
@@ -269,10 +272,6 @@ def r5(spark, sf):
 READING = "event_id bigint, sensor_id string, sensor_index int, speed double, ts timestamp"
 
 
-def _reading_stream(spark, readings):
-    return decode(_stream(spark, inputs.replay(readings, "ts")), READING)
-
-
 def _feature_rows(df):
     return df.select("sensor_id", micros("ts"), "speed", big("hour"), big("dow"), big("is_weekend"), "lag_5min", "lag_15min",
                      "lag_1h", six("rolling_mean_30min"))
@@ -284,8 +283,8 @@ select sensor_id, epoch_us(ts) as ts_us, speed, hour, dow, is_weekend, lag_5min,
 
 @query("r1_stream_features", "with " + FEATURES_SQL + _STREAM_FEATURES_SQL)
 def r1(spark, sf):
-    stream = state.stream_features(_reading_stream(spark, inputs.readings(spark, sf)), tie="event_id")
-    return _feature_rows(_drain(stream, scratch(spark, "r1"), scratch(spark, "r1-ckpt")))
+    return _feature_rows(_drain(inputs.readings(spark, sf), "ts", READING,
+                                lambda rows: state.stream_features(rows, tie="event_id"), "r1"))
 
 
 _MIDDLE_SQL = "(select (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 from events)"
@@ -298,15 +297,15 @@ def r2(spark, sf):
     t = F.unix_micros("ts")
     middle = r.select(F.call_function("div", F.min(t) + F.max(t), F.lit(2))).first()[0]
     warm = state.warm_state(r.filter(t < middle), minutes=60 * 24 * 30)
-    stream = state.stream_features(_reading_stream(spark, r.filter(t >= middle)), tie="event_id", warm=warm)
-    return _feature_rows(_drain(stream, scratch(spark, "r2"), scratch(spark, "r2-ckpt")))
+    return _feature_rows(_drain(r.filter(t >= middle), "ts", READING,
+                                lambda rows: state.stream_features(rows, tie="event_id", warm=warm), "r2"))
 
 
 @query("r3_stream_counts", "with " + COUNTS_SQL + " select * from counts")
 def r3(spark, sf):
-    folder = inputs.replay(inputs.frames(spark, sf), "ts")
-    frames = decode(_stream(spark, folder), "camera_id string, frame_id string, ts timestamp, track_ids array<bigint>")
-    counted = _drain(state.stream_counts(frames, 6 * 3600.0), scratch(spark, "r3"), scratch(spark, "r3-ckpt"))
+    counted = _drain(inputs.frames(spark, sf), "ts",
+                     "camera_id string, frame_id string, ts timestamp, track_ids array<bigint>",
+                     lambda frames: state.stream_counts(frames, 6 * 3600.0), "r3")
     return counted.select("camera_id", "frame_id", "unique_count_5min", "unique_count_session")
 
 
@@ -361,8 +360,12 @@ def r4(spark, sf):
     fitted, _, _ = _trained(spark, sf, rounds=3)
     path = scratch(spark, "model")
     model.save_model(fitted, path)
-    stream = state.stream_features(_reading_stream(spark, inputs.readings(spark, sf)), tie="event_id")
-    records = model.keep_valid(model.output_records(model.load_model(path).transform(stream)))
-    stored = _drain(records, scratch(spark, "r4"), scratch(spark, "r4-ckpt"))
+    fitted = model.load_model(path)
+
+    def score(rows):
+        features = state.stream_features(rows, tie="event_id")
+        return model.keep_valid(model.output_records(fitted.transform(features)))
+
+    stored = _drain(inputs.readings(spark, sf), "ts", READING, score, "r4")
     return stored.filter(F.col("predicted_speed").isNotNull()).select(
         "sensor_id", F.substring("timestamp", 1, 19).alias("second"), "actual_speed", "horizon_minutes")

@@ -39,3 +39,8 @@ def big(name: str):
 def six(name: str):
     """A figure rounded to six digits, without a negative zero."""
     return (F.round(F.col(name).cast("double"), 6) + F.lit(0.0)).alias(name)
+
+
+def whole(name: str):
+    """A whole number that may be null, as text: clients differ in how they show those."""
+    return F.col(name).cast("bigint").cast("string").alias(name)

@@ -11,8 +11,8 @@ from streetflow.operators.validate import (
     split, valid_reading,
 )
 from streetflow.plans import inputs
-from streetflow.plans.inputs import DECODED_SQL, GRAPH_SQL, MESSAGES_SQL, PREDICTIONS_SQL, WEATHER_SQL  # noqa: F401
-from streetflow.plans.registry import big, micros, query, six
+from streetflow.plans.inputs import DECODED_SQL, MESSAGES_SQL, PREDICTIONS_SQL, WEATHER_SQL
+from streetflow.plans.registry import big, query, six, whole
 from streetflow.sinks.tables import to_keyed_json
 from streetflow.sources.sensors import adjacency_to_edges, location_grid, matrix_to_long
 from streetflow.sources.tables import load_static, read_table
@@ -72,14 +72,14 @@ def s7(spark, sf):
 
 
 @query("s10_flatten_weather", "with " + WEATHER_SQL + """
-select event_id, city, country, temp_c, humidity, wind_speed_mps, wind_deg, clouds_pct,
-  weather_main, weather_description, weather_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' as observed_at,
+select event_id, city, country, temp_c, cast(humidity as varchar) as humidity, wind_speed_mps, wind_deg, clouds_pct,
+  weather_main, weather_description, cast(weather_id as varchar) as weather_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' as observed_at,
   epoch_us(ts) / 1e6 as "timestamp" from flat""")
 def s10(spark, sf):
     raw = inputs.payloads(spark, sf)
     flat = flatten_weather(raw, "Los Angeles", now=F.col("ts"), keep=("event_id",))
-    return flat.select("event_id", "city", "country", "temp_c", big("humidity"), "wind_speed_mps", big("wind_deg"),
-                       big("clouds_pct"), "weather_main", "weather_description", big("weather_id"), "observed_at",
+    return flat.select("event_id", "city", "country", "temp_c", whole("humidity"), "wind_speed_mps", big("wind_deg"),
+                       big("clouds_pct"), "weather_main", "weather_description", whole("weather_id"), "observed_at",
                        "timestamp")
 
 
@@ -97,10 +97,10 @@ def s11(spark, sf):
 # --- projection, filters, validation ---------------------------------------------------------
 
 @query("v1_decode", "with " + DECODED_SQL + """
-select event_id, "timestamp", sensor_id, sensor_index, round(speed, 6) as speed, ingested_at from decoded""")
+select event_id, "timestamp", sensor_id, cast(sensor_index as varchar) as sensor_index, round(speed, 6) as speed, ingested_at from decoded""")
 def v1(spark, sf):
     rows = decode(inputs.messages(spark, sf), SENSORS.schema, keep=("event_id",))
-    return rows.select("event_id", "timestamp", "sensor_id", big("sensor_index"), six("speed"), "ingested_at")
+    return rows.select("event_id", "timestamp", "sensor_id", whole("sensor_index"), six("speed"), "ingested_at")
 
 
 @query("v2_required", """
@@ -137,10 +137,10 @@ def v4(spark, sf):
 @query("v5_invalid_distinct", "with " + DECODED_SQL + """,
 r as (select "timestamp", sensor_id, sensor_index, speed, ingested_at from decoded),
 good as (select * from r where sensor_id is not null and speed between 0 and 150)
-select "timestamp", sensor_id, sensor_index, round(speed, 6) as speed, ingested_at from (select * from r except select * from good)""")
+select "timestamp", sensor_id, cast(sensor_index as varchar) as sensor_index, round(speed, 6) as speed, ingested_at from (select * from r except select * from good)""")
 def v5(spark, sf):
     bad = split(decode(inputs.messages(spark, sf), SENSORS.schema), valid_reading(), distinct_invalid=True)[1]
-    return bad.select("timestamp", "sensor_id", big("sensor_index"), six("speed"), "ingested_at")
+    return bad.select("timestamp", "sensor_id", whole("sensor_index"), six("speed"), "ingested_at")
 
 
 @query("v6_dead_letter", """
@@ -251,13 +251,13 @@ def v13(spark, sf):
 
 @query("f1_parse_event_time", """
 with t as (select event_id, ts, cast(props->>'$.k' as int) as k from events)
-select event_id, case when k < 25 then epoch_us(ts) when k < 50 then epoch_us(ts) when k < 75 then epoch_us(date_trunc('second', ts)) end as ts_us from t""")
+select event_id, cast(case when k < 50 then epoch_us(ts) when k < 75 then epoch_us(date_trunc('second', ts)) end as varchar) as ts_us from t""")
 def f1(spark, sf):
     e, k = inputs.events(spark, sf), F.col("k")
     text = (F.when(k < 25, (F.unix_micros("ts") * 1000).cast("string"))
             .when(k < 50, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
             .when(k < 75, F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).otherwise("b'2024'"))
-    return e.select("event_id", F.unix_micros(fn.parse_event_time(text)).alias("ts_us"))
+    return e.select("event_id", F.unix_micros(fn.parse_event_time(text)).alias("ts_us")).select("event_id", whole("ts_us"))
 
 
 @query("f2_event_date", "select event_id, strftime(ts, '%Y-%m-%d') as day_text, strftime(ts, '%Y-%m-%d') as day_seconds from events")

@@ -8,7 +8,6 @@ replaces its folder, whatever it holds now, also when the repeated batch is empt
 from __future__ import annotations
 
 import logging
-import math
 import time
 from collections.abc import Sequence
 
@@ -20,8 +19,9 @@ logger = logging.getLogger(__name__)
 TXN = "txn"
 STAGING, SUPERSEDED = "_staging", "_superseded"
 
-# Retention in hours, tables of the nightly run.
+# Retention in hours, time format that keeps microseconds, tables of the nightly run.
 RETENTION_HOURS = 168
+JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 MAINTAINED_TABLES = ["sensor_speeds", "cv_vehicle_counts", "gps_trips", "speed_predictions", "weather",
                      "rerouting_alerts", "dlq_sensors", "pipeline_latency"]
 
@@ -35,7 +35,11 @@ def append_once(df: DataFrame, path: str, batch_id: int, app_id: str = "streetfl
     """Append a batch so that appending it again changes nothing (K3, K4).
 
     New columns are allowed; older rows then read as null. A Parquet table has one writer.
+    Rows of a partitioned table are brought together by partition first, in pieces of the
+    advisory size: otherwise every task would write a file into every partition.
     """
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     if has_delta(df.sparkSession):
         (df.write.format("delta").mode("append").option("mergeSchema", "true").option("txnAppId", app_id)
          .option("txnVersion", str(batch_id)).partitionBy(*partition_by).save(path))
@@ -51,7 +55,7 @@ def write_snapshot(df: DataFrame, path: str) -> None:
 def to_keyed_json(df: DataFrame, key: str | None = None) -> DataFrame:
     """Messages `(key, value)`: the row as JSON under its entity id; null key when none is named (K6)."""
     entity = F.lit(None).cast("string") if key is None else F.col(key).cast("string")
-    return df.select(entity.alias("key"), F.to_json(F.struct("*")).alias("value"))
+    return df.select(entity.alias("key"), F.to_json(F.struct("*"), JSON_OPTIONS).alias("value"))
 
 
 def publish(messages: DataFrame, where: str, topic: str | None = None) -> None:
@@ -89,9 +93,6 @@ class _Folder:
         if not self.fs.rename(self.at(*source), self.at(*target)):
             raise OSError(f"could not move {source} to {target} below {self.root}")
 
-    def size(self, name: str) -> int:
-        return self.fs.getContentSummary(self.at(name)).getLength()
-
 
 def compact(spark: SparkSession, path: str, target_mb: int = 128, partition_by: Sequence[str] = (),
             keep_latest: int = 1) -> bool:
@@ -117,12 +118,15 @@ def compact(spark: SparkSession, path: str, target_mb: int = 128, partition_by:
     span = f"{closed[0]}-{closed[-1]}"
     sources = [f"{folder.root}/{TXN}={b}" for b in closed]
     rows = (spark.read.option("basePath", folder.root).option("mergeSchema", "true").parquet(*sources).drop(TXN))
-    size = sum(folder.size(f"{TXN}={b}") for b in closed)
-    files = max(1, math.ceil(size / (target_mb * 1024 * 1024)))
-    # Days differ in size, so a random salt spreads each day over its share of the files.
-    spread = rows.repartition(files, *partition_by, F.floor(F.rand(seed=1) * files)) if files > 1 else rows.coalesce(1)
-    (spread.write.mode("overwrite").partitionBy(*partition_by)
-     .option("maxRecordsPerFile", 0).parquet(f"{folder.root}/{STAGING}/{span}"))
+    # Pieces of the target size, also where one partition holds most of the rows.
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(advisory, None)
+    spark.conf.set(advisory, f"{target_mb}MB")
+    try:
+        (rows.hint("rebalance", *[F.col(c) for c in partition_by]).write.mode("overwrite")
+         .partitionBy(*partition_by).parquet(f"{folder.root}/{STAGING}/{span}"))
+    finally:
+        spark.conf.unset(advisory) if before is None else spark.conf.set(advisory, before)
     _swap_in(folder, span)
     return True
 

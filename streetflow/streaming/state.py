@@ -19,6 +19,7 @@ from streetflow.operators.validate import drop_missing
 from streetflow.operators.windows import (
     HISTORY_ROWS, LAGS, ROLLING_ROWS, UNIQUE_WINDOW_SEC, calendar_columns, newest_rows, tail_window,
 )
+from streetflow.session import stage
 
 # RocksDB keeps state outside the executor's heap and is what stateful processors need.
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -68,17 +69,21 @@ class RecentSpeeds(StatefulProcessor):
 
 
 def warm_state(readings: DataFrame, minutes: float = WARM_START_MINUTES) -> DataFrame:
-    """`(sensor_id, speeds)`: what each sensor last read, oldest first."""
+    """`(sensor_id, speeds)`: what each sensor last read, oldest first.
+
+    Stored at once: the state of a stream must not depend on what the table holds later.
+    """
     clean = drop_missing(readings.select("sensor_id", "ts", "speed"), "sensor_id", "ts", "speed")
     recent = newest_rows(tail_window(clean, "ts", minutes), "sensor_id", "ts", "speed")
     entries = F.array_sort(F.collect_list(F.struct("ts", F.col("speed").cast("double").alias("speed"))))
-    return recent.groupBy("sensor_id").agg(F.transform(entries, lambda e: e["speed"]).alias("speeds"))
+    return stage(recent.groupBy("sensor_id").agg(F.transform(entries, lambda e: e["speed"]).alias("speeds")))
 
 
 def stream_features(readings: DataFrame, tie: str, warm: DataFrame | None = None) -> DataFrame:
     """The seven features of each reading of a stream; warming-up readings give none.
 
-    `readings(sensor_id, ts, speed)`; `tie` orders readings of one time.
+    `readings(sensor_id, ts, speed)`; `tie` orders readings of one time. `warm` primes a stream
+    that starts on a new checkpoint; leave it out when restarting one.
     """
     use_state_store(readings.sparkSession)
     keyed = readings.select("sensor_id", "ts", F.col("speed").cast("double").alias("speed"),
