@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from streetflow.operators.blocks import row_window
 from streetflow.session import prepare, scratch, stage
 from streetflow.sinks.tables import to_keyed_json
+from streetflow.sources.weather import flatten_weather
 
 # Messages are spoiled by the number in `props`, so that every kind of defect occurs.
 CUT_OFF, EXTRA, NO_SPEED, TEXT_SPEED, EMPTY_ID, NULL_INDEX, NEGATIVE_INDEX, NUMBER_TIME = range(1, 9)
@@ -154,6 +155,44 @@ def trip_file(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("l_returnflag").alias("store_and_fwd_flag")))
 
 
+def ride_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trip messages: a ride lasts until the user's next event; the last one has no end yet."""
+    rides = row_window(events(spark, sf_dir), ["user_id"], ["ts", "event_id"],
+                       lambda w: {"until": F.lead("ts").over(w)}, after=1)
+    text = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    return rides.select("ts", F.to_json(F.struct(
+        F.date_format("ts", text).alias("pickup_time"), F.date_format("until", text).alias("dropoff_time"),
+        F.col("user_id").alias("pickup_zone"), F.col("k").alias("dropoff_zone"),
+        F.col("value").alias("distance_miles"))).alias("value"))
+
+
+RIDES_SQL = """rides as (select strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as pickup_time,
+  strftime(lead(ts) over (partition by user_id order by ts, event_id), '%Y-%m-%d %H:%M:%S.%f') as dropoff_time,
+  user_id as pickup_zone, cast(props->>'$.k' as bigint) as dropoff_zone, cast(cast(value as float) as double) as distance_miles,
+  strftime(ts, '%Y-%m-%d') as event_date from events)"""
+
+
+def prediction_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prediction messages; a sensor's first one lacks the predicted value."""
+    return predictions(spark, sf_dir).select("ts", F.to_json(F.struct(
+        "sensor_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"), "actual_speed",
+        "predicted_speed", F.lit(0).alias("horizon_minutes"), F.lit("v1").alias("model_version"))).alias("value"))
+
+
+def camera_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inferred frames; a tenth lacks the camera."""
+    d = detections(spark, sf_dir)
+    return d.select("ts", F.to_json(F.struct(
+        F.when(F.col("k") >= 10, F.col("camera_id")).alias("camera_id"), F.col("event_id").cast("string").alias("frame_id"),
+        (F.unix_micros("ts") / 1e6).alias("timestamp"), F.col("k").alias("unique_count_5min"),
+        F.array("track_id").alias("track_ids"), F.col("value").alias("inference_ms"))).alias("value"))
+
+
+def weather_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flat = flatten_weather(payloads(spark, sf_dir), "Los Angeles", now=F.col("ts"), keep=("ts",))
+    return flat.select("ts", F.to_json(F.struct(*[c for c in flat.columns if c != "ts"])).alias("value"))
+
+
 def road_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Vertices = parts; an edge leads from a part to the next part of the same order."""
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"))
@@ -207,14 +246,16 @@ def slices(df: DataFrame, ts: str, parts: int) -> list[DataFrame]:
 
 
 def replay(df: DataFrame, ts: str, run: Callable[[str], StreamingQuery], parts: int = 2) -> None:
-    """Hand `df` to a stream in order of time: write a span as JSON lines, run the stream, go on.
+    """Hand `df` to a stream in order of time: write a span as text, run the stream, go on.
 
+    Rows are written as JSON; a table of time and `value` alone has its messages ready.
     `run` starts a stream over the folder that ends when it has taken everything; every run
     after the first one restarts it from its checkpoint.
     """
     folder = scratch(df.sparkSession, "replay")
     for piece in slices(df, ts, parts):
-        to_keyed_json(piece).select("value").write.mode("append").text(folder)
+        lines = piece.select("value") if set(piece.columns) == {ts, "value"} else to_keyed_json(piece).select("value")
+        lines.write.mode("append").text(folder)
         query = run(folder)
         query.awaitTermination()
         if query.exception():

@@ -248,25 +248,51 @@ def a9(spark, sf):
     return rows.agg(*[F.sum(c).alias(c) for c in ("valid_count", "invalid_count", "alerts_count")])
 
 
-@query("r5_stream_trips", """
-select strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as pickup_time, c_nationkey as pickup_zone, s_nationkey as dropoff_zone,
-  l_quantity as distance_miles, strftime(o_orderdate, '%Y-%m-%d') as event_date
-from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey join supplier on l_suppkey = s_suppkey
-where l_returnflag <> 'N'""")
-def r5(spark, sf):
-    """Trips through the stream; those without a drop-off time are not kept."""
-    from streetflow.sources.trips import trip_columns
-    raw = inputs.trip_file(spark, sf)
-    trips = trip_columns(raw.withColumn("tpep_dropoff_datetime", F.when(F.col("store_and_fwd_flag") != "N", F.col("tpep_dropoff_datetime"))))
-    root, ckpt = scratch(spark, "trips"), scratch(spark, "ckpt")
+def _fed(messages, kind):
+    """Send messages through one of the plain feeds and read its table."""
+    spark = messages.sparkSession
+    root, ckpt = scratch(spark, kind), scratch(spark, f"{kind}-ckpt")
 
     def run(folder):
-        return ingest.start_feed(stream_source(spark, "text", folder), "gps", root, ckpt)
+        return ingest.start_feed(stream_source(spark, "text", folder), kind, root, ckpt)
 
-    inputs.replay(trips.withColumn("at", F.col("pickup_time").cast("timestamp")), "at", run)
-    rows = read_table(spark, root, "gps_trips")
-    return rows.select("pickup_time", "pickup_zone", "dropoff_zone", F.col("distance_miles").cast("double").alias("distance_miles"),
-                       F.col("event_date").cast("string").alias("event_date"))
+    inputs.replay(messages, "ts", run)
+    rows = read_table(spark, root, ingest.FEEDS[kind].table)
+    return rows.withColumn("event_date", F.col("event_date").cast("string")) if "event_date" in rows.columns else rows
+
+
+@query("r5_stream_trips", "with " + inputs.RIDES_SQL + """
+select pickup_time, dropoff_time, pickup_zone, dropoff_zone, round(distance_miles, 6) as distance_miles, event_date
+from rides where dropoff_time is not null""")
+def r5_trips(spark, sf):
+    rows = _fed(inputs.ride_messages(spark, sf), "gps")
+    return rows.select("pickup_time", "dropoff_time", big("pickup_zone"), big("dropoff_zone"), six("distance_miles"), "event_date")
+
+
+@query("r5_stream_predictions", "with " + inputs.PREDICTIONS_SQL + """
+select sensor_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as "timestamp", round(cast(cast(actual_speed as float) as double), 6) as actual_speed,
+  round(cast(cast(predicted_speed as float) as double), 6) as predicted_speed, strftime(ts, '%Y-%m-%d') as event_date
+from p where predicted_speed is not null""")
+def r5_predictions(spark, sf):
+    rows = _fed(inputs.prediction_messages(spark, sf), "speed_predictions")
+    return rows.select("sensor_id", "timestamp", six("actual_speed"), six("predicted_speed"), "event_date")
+
+
+@query("r5_stream_cameras", """
+select event_type as camera_id, cast(event_id as varchar) as frame_id, epoch_us(ts) / 1e6 as "timestamp",
+  cast(props->>'$.k' as bigint) as unique_count_5min, cast(user_id as varchar) as track_ids, strftime(ts, '%Y-%m-%d') as event_date
+from events where cast(props->>'$.k' as int) >= 10""")
+def r5_cameras(spark, sf):
+    rows = _fed(inputs.camera_messages(spark, sf), "cctv")
+    return rows.select("camera_id", "frame_id", "timestamp", big("unique_count_5min"),
+                       F.array_join(F.col("track_ids").cast("array<string>"), ",").alias("track_ids"), "event_date")
+
+
+@query("r5_stream_weather", "with " + inputs.WEATHER_SQL + """
+select city, round(cast(cast(temp_c as float) as double), 6) as temp_c, clouds_pct, weather_main, epoch_us(ts) / 1e6 as "timestamp" from flat""")
+def r5_weather(spark, sf):
+    rows = _fed(inputs.weather_messages(spark, sf), "weather")
+    return rows.select("city", six("temp_c"), big("clouds_pct"), "weather_main", "timestamp")
 
 
 READING = "event_id bigint, sensor_id string, sensor_index int, speed double, ts timestamp"

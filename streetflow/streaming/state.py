@@ -82,8 +82,8 @@ def warm_state(readings: DataFrame, minutes: float = WARM_START_MINUTES) -> Data
 def stream_features(readings: DataFrame, tie: str, warm: DataFrame | None = None) -> DataFrame:
     """The seven features of each reading of a stream; warming-up readings give none.
 
-    `readings(sensor_id, ts, speed)`; `tie` orders readings of one time. `warm` primes a stream
-    that starts on a new checkpoint; leave it out when restarting one.
+    `readings(sensor_id, ts, speed)`; `tie` orders readings of one time. `warm` primes a
+    stream on a new checkpoint; a restarted one goes on with its own state.
     """
     use_state_store(readings.sparkSession)
     keyed = readings.select("sensor_id", "ts", F.col("speed").cast("double").alias("speed"),
