@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from streetflow import functions as fn
-from streetflow.operators.contracts import SENSORS, contract_errors, validate
+from streetflow.operators.contracts import SENSORS, validate
 from streetflow.operators.validate import (
     congested, dead_letter, decode, drop_missing, drop_stale, first_rows, in_range, is_stale, require, skip_reason,
     split, valid_reading,
@@ -197,7 +197,7 @@ def v8(spark, sf):
 
 
 def _reasons(spark, sf):
-    rows = inputs.messages(spark, sf).withColumn("errors", contract_errors(F.col("value"), SENSORS))
+    rows = validate(inputs.messages(spark, sf), SENSORS)
     time = fn.parse_event_time(F.get_json_object("value", "$.timestamp"))
     seconds = F.unix_micros("ts") / 1e6
     reason = skip_reason(

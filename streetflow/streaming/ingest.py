@@ -14,7 +14,7 @@ from pyspark.storagelevel import StorageLevel
 from streetflow.functions.display import CONGESTION_MPH
 from streetflow.functions.time import event_date, parse_event_time
 from streetflow.operators.contracts import (
-    CCTV_INFERRED, GPS, PREDICTIONS, SENSORS, WEATHER, Contract, contract_errors,
+    CCTV_INFERRED, GPS, PREDICTIONS, SENSORS, WEATHER, Contract, validate,
 )
 from streetflow.operators.enrich import rerouting_alerts
 from streetflow.operators.validate import dead_letter, decode, require, split, valid_reading
@@ -103,7 +103,7 @@ def sensor_outputs(rows: DataFrame, paths: DataFrame | None, batch_id: int, thre
     if distinct_invalid:
         letters = bad.select(*readings).distinct()
     else:
-        letters = bad.select(*readings, "value").withColumn("dlq_errors", contract_errors(F.col("value"), SENSORS))
+        letters = validate(bad.select(*readings, "value"), SENSORS, out="dlq_errors")
     outputs = {"sensor_speeds": (speeds, ("event_date",)), "dlq_sensors": (dead_letter(letters, batch_id), ())}
     if paths is not None:
         outputs["rerouting_alerts"] = (rerouting_alerts(good, paths, threshold, batch_id), ())

@@ -36,6 +36,16 @@ def use_state_store(spark) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
 
 
+def _in_order(rows: Iterator[pd.DataFrame], ts: str, tie: str) -> pd.DataFrame:
+    """The rows of a key in one batch, in order of time; most often they come that way."""
+    chunks = list(rows)
+    whole = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
+    times = whole[ts].to_numpy()
+    if (times[1:] > times[:-1]).all():
+        return whole
+    return whole.sort_values([ts, tie], ignore_index=True)
+
+
 class RecentSpeeds(StatefulProcessor):
     """Lag features of a reading from the twelve readings before it."""
 
@@ -47,22 +57,20 @@ class RecentSpeeds(StatefulProcessor):
         self._recent.update((speeds[-HISTORY_ROWS:].tolist(),))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        now = pd.concat(list(rows), ignore_index=True).sort_values(["ts", "tie"], kind="stable", ignore_index=True)
-        stored = self._recent.get() if self._recent.exists() else None
+        now = _in_order(rows, "ts", "tie")
+        stored = self._recent.get()
         past = np.asarray(stored[0] if stored else [], dtype=float)
         speeds = np.concatenate([past, now["speed"].to_numpy(dtype=float)])
         self._recent.update((speeds[-HISTORY_ROWS:].tolist(),))
-        place = np.arange(len(past), len(speeds))
-        ready = place >= max(LAGS.values())
-        place = place[ready]
-        if not len(place):
+        first = max(max(LAGS.values()) - len(past), 0)
+        if first >= len(now):
             return
-        out = pd.DataFrame({"sensor_id": key[0], "ts": now["ts"][ready], "speed": now["speed"][ready]})
+        place = np.arange(len(past) + first, len(speeds))
+        out = {"sensor_id": key[0], "ts": now["ts"].to_numpy()[first:], "speed": speeds[place]}
         for name, back in LAGS.items():
             out[name] = speeds[place - back]
-        before = np.stack([speeds[place - i] for i in range(1, ROLLING_ROWS + 1)])
-        out["rolling_mean_30min"] = before.mean(axis=0)
-        yield out
+        out["rolling_mean_30min"] = np.mean([speeds[place - i] for i in range(1, ROLLING_ROWS + 1)], axis=0)
+        yield pd.DataFrame(out)
 
     def close(self) -> None:
         pass
@@ -87,7 +95,7 @@ def stream_features(readings: DataFrame, tie: str, warm: DataFrame | None = None
     """
     use_state_store(readings.sparkSession)
     keyed = readings.select("sensor_id", "ts", F.col("speed").cast("double").alias("speed"),
-                            F.col(tie).cast("string").alias("tie")).groupBy("sensor_id")
+                            F.col(tie).alias("tie")).groupBy("sensor_id")
     lagged = keyed.transformWithStateInPandas(
         RecentSpeeds(), outputStructType=LAG_SCHEMA, outputMode="Append", timeMode="None",
         initialState=None if warm is None else warm.groupBy("sensor_id"))
@@ -111,12 +119,13 @@ class VehiclesSeen(StatefulProcessor):
         self._total = handle.getValueState("total", "n bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        frames = pd.concat(list(rows), ignore_index=True).sort_values(["ts", "frame_id"], ignore_index=True)
+        frames = _in_order(rows, "ts", "frame_id")
         at = frames["ts"].astype("datetime64[us]").astype("int64").to_numpy()
         ids = frames["track_ids"].map(lambda x: [] if x is None else list(x))
         seen = pd.DataFrame({"id": ids, "t": at}).explode("id").dropna(subset=["id"]).astype("int64")
 
-        total = self._total.get()[0] if self._total.exists() else 0
+        stored = self._total.get()
+        total = stored[0] if stored else 0
         first = seen.groupby("id")["t"].min()
         first = first[[not self._ever.containsKey((int(i),)) for i in first.index]]
         for i in first.index:
@@ -124,8 +133,9 @@ class VehiclesSeen(StatefulProcessor):
         session = total + np.searchsorted(np.sort(first.to_numpy()), at, side="right")
         self._total.update((int(total + len(first)),))
 
-        if self._recent.exists():
-            old_ids, old_last = self._recent.get()
+        recent = self._recent.get()
+        if recent:
+            old_ids, old_last = recent
             seen = pd.concat([pd.DataFrame({"id": list(old_ids), "t": list(old_last)}, dtype="int64"), seen])
         seen = seen.drop_duplicates().sort_values(["id", "t"], ignore_index=True)
         same_before = seen["id"].eq(seen["id"].shift())

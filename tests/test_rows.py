@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from streetflow import functions as fn
-from streetflow.operators.contracts import CCTV_INFERRED, CONTRACTS, SENSORS, WEATHER, contract_errors
+from streetflow.operators.contracts import CCTV_INFERRED, CONTRACTS, SENSORS, WEATHER, validate
 from streetflow.operators.validate import congested, dead_letter, decode, drop_missing, in_range, skip_reason, split, valid_reading
 from streetflow.operators.windows import speed_features
 
@@ -54,7 +54,7 @@ def test_event_time(spark, text, micros):
 
 def check(spark, message, contract=SENSORS):
     text = message if isinstance(message, str) else json.dumps(message)
-    return one(spark, contract_errors(F.lit(text), contract))
+    return validate(spark.createDataFrame([(text,)], "value string"), contract).first().errors
 
 
 GOOD = {"timestamp": "2022-01-01", "sensor_id": "7", "sensor_index": 7, "speed": 61.5, "ingested_at": 1.0}
