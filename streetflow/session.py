@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,3 +49,19 @@ def stage(df: DataFrame) -> DataFrame:
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+@contextmanager
+def fixed_partitions(spark: SparkSession) -> Iterator[int]:
+    """Run with the planned partitions as they are, and yield their number.
+
+    Tables staged inside keep their hash partitioning and order, so later joins and aggregations
+    on the same key do not move them again. Whoever uses this sees to skewed keys.
+    """
+    adaptive = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(adaptive)
+    spark.conf.set(adaptive, "false")
+    try:
+        yield int(spark.conf.get("spark.sql.shuffle.partitions"))
+    finally:
+        spark.conf.set(adaptive, before)

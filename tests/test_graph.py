@@ -42,6 +42,24 @@ def test_pagerank(spark):
     assert [got[i] for i in range(8)] == pytest.approx(want, abs=1e-9)
 
 
+def test_hubs_change_nothing(spark):
+    v, e = build(spark, 8, EDGES)
+    with_hubs = {int(r.id): r.pagerank for r in graph.pagerank(v, e, hub_edges=1).collect()}
+    assert [with_hubs[i] for i in range(8)] == pytest.approx(rank_by_hand(8, EDGES), abs=1e-9)
+    plain = graph.hops_to(v, e, ["0", "4"])
+    assert sorted(graph.hops_to(v, e, ["0", "4"], hub_edges=1).collect()) == sorted(plain.collect())
+
+
+def test_rounds_do_not_move_the_edges(spark):
+    from streetflow.session import fixed_partitions
+    _, e = build(spark, 8, EDGES)
+    ids = spark.range(8).select(F.col("id").cast("string").alias("src"), F.lit(1.0).alias("rank")).hint("merge")
+    with fixed_partitions(spark) as n:
+        parts = graph._partition_edges(e, "src", n, 100)
+        plan = parts.join(ids)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
 def test_pagerank_unweighted_differs(spark):
     plain = {int(r.id): r.pagerank for r in graph.pagerank(*build(spark, 8, EDGES), weighted=False).collect()}
     want = rank_by_hand(8, [(a, b, 1.0) for a, b, _ in EDGES])
