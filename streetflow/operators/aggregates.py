@@ -104,7 +104,7 @@ def latency_quantiles(df: DataFrame, keys: Sequence[str], value: str, quantiles:
                       exact: bool = True, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One column `p50`, `p95`, ... per quantile, with linear interpolation.
 
-    The exact form counts equal values first and then walks the cumulative counts, so no task
+    Equal to the usual `percentile`. The exact form counts equal values first and then walks the cumulative counts, so no task
     holds all values of a key. The approximate form is a mergeable sketch.
     """
     names = {q: f"p{q * 100:g}".replace(".", "_") for q in quantiles}
@@ -151,6 +151,30 @@ def latency_buckets(df: DataFrame, value: str, ts: str = "ts", window: str = LAT
     return wide.select(F.col("w.start").alias("window_start"), F.explode(pairs).alias("_p")).select("window_start", "_p.*")
 
 
+def bucket_quantiles(df: DataFrame, value: str, ts: str = "ts", window: str = LATENCY_WINDOW,
+                     bounds: Sequence[float] = INFERENCE_US_BUCKETS, quantiles: Sequence[float] = (0.5, 0.95)) -> DataFrame:
+    """Quantiles per window as monitoring estimates them from bucket counts.
+
+    The rank is placed in its bucket and interpolated between the bucket's bounds, the first
+    bucket starting at 0; a rank above the last bound gives that bound.
+    """
+    x, total = F.col(value), F.col(f"_le_{len(bounds)}")
+    le = [F.count_if(x <= b).alias(f"_le_{i}") for i, b in enumerate(bounds)]
+    wide = df.filter(x.isNotNull()).groupBy(F.window(ts, window).alias("w")).agg(
+        *le, F.count(F.lit(1)).alias(f"_le_{len(bounds)}"))
+
+    def estimate(q: float) -> Column:
+        rank = total * F.lit(q)
+        guess = F.lit(float(bounds[-1]))
+        for i in reversed(range(len(bounds))):
+            low, below = (float(bounds[i - 1]), F.col(f"_le_{i - 1}")) if i else (0.0, F.lit(0))
+            inside = F.lit(low) + (float(bounds[i]) - low) * (rank - below) / (F.col(f"_le_{i}") - below)
+            guess = F.when(F.col(f"_le_{i}") >= rank, inside).otherwise(guess)
+        return guess.alias(f"p{q * 100:g}".replace(".", "_"))
+
+    return wide.select(F.col("w.start").alias("window_start"), *[estimate(q) for q in quantiles])
+
+
 def active_entities(df: DataFrame, key: str) -> DataFrame:
     """Number of distinct keys."""
     return df.select(key).distinct().agg(F.count(key).alias("active"))

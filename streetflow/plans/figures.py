@@ -149,6 +149,24 @@ def a13(spark, sf):
     return q.select("event_type", six("p50"), six("p95"))
 
 
+@query("a13_bucket_quantiles", """
+with bounds as (select * from (values (1, 0.0, 50.0), (2, 50.0, 100.0), (3, 100.0, 200.0), (4, 200.0, 500.0), (5, 500.0, 1000.0),
+    (6, 1000.0, 2000.0), (7, 2000.0, 5000.0), (8, 5000.0, 10000.0)) as t(i, low, high)),
+w as (select epoch_us(time_bucket(interval '1 hour', ts)) as ts_us, value * 10 as v from events),
+n as (select ts_us, count(*) as total from w group by 1),
+c as (select n.ts_us, total, i, cast(low as double) as low, cast(high as double) as high,
+    (select count(*) from w where w.ts_us = n.ts_us and v <= high) as upto, (select count(*) from w where w.ts_us = n.ts_us and v <= low) as below
+  from n cross join bounds),
+q as (select ts_us, total, q, total * q as rank from n cross join (select unnest([0.5::double, 0.95::double]) as q)),
+e as (select q.ts_us, q.q, coalesce(min_by(low + (high - low) * (rank - below) / (upto - below), i) filter (upto >= rank), 10000.0) as est
+  from q join c on c.ts_us = q.ts_us group by 1, 2)
+select ts_us, round(max(est) filter (q = 0.5), 6) as p50, round(max(est) filter (q = 0.95), 6) as p95 from e group by 1""")
+def a13_buckets(spark, sf):
+    """Ten times the value as microseconds, so that the buckets are used."""
+    e = inputs.events(spark, sf).withColumn("us", F.col("value") * 10)
+    return agg.bucket_quantiles(e, "us", window="1 hour").select(micros("window_start"), six("p50"), six("p95"))
+
+
 @query("a14_latency_buckets", """
 with b as (select unnest([50, 100, 200, 500, 1000, 2000, 5000, 10000]) as bound),
 w as (select epoch_us(time_bucket(interval '5 minutes', ts)) as ts_us, value from events),

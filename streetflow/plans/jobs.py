@@ -9,7 +9,7 @@ from streetflow.operators import graph, model
 from streetflow.operators.enrich import rerouting_alerts
 from streetflow.operators.validate import decode
 from streetflow.operators.windows import speed_features
-from streetflow.plans import inputs
+from streetflow.plans import inputs, panels
 from streetflow.plans.figures import COUNTS_SQL, FEATURES_SQL, LAGS_SQL
 from streetflow.plans.inputs import DECODED_SQL, GRAPH_SQL, MESSAGES_SQL
 from streetflow.plans.registry import big, micros, query, six, whole
@@ -335,6 +335,31 @@ def r3(spark, sf):
     return counted.select("camera_id", "frame_id", "unique_count_5min", "unique_count_session")
 
 
+# --- panels ----------------------------------------------------------------------------------
+
+@query("p1_camera_grid", """
+with n as (select *, cast(props->>'$.k' as bigint) as k from events order by ts desc, event_type desc, event_id desc limit 200),
+l as (select * from n qualify row_number() over (partition by event_type order by ts desc, event_id desc) = 1 order by ts desc limit 8)
+select event_type as camera_id, 'http://new/cctv-frames/' || event_type || '/' || event_id || '.jpg' as url,
+  event_type || ' — ' || k || ' veh (5m), ' || user_id || ' total' as caption from l""")
+def p1(spark, sf):
+    e = inputs.events(spark, sf)
+    frame = F.format_string("%012d", "event_id")
+    url = fn.object_url(fn.object_key(F.col("event_type"), F.col("event_id").cast("string")))
+    counts = e.select(F.col("event_type").alias("camera_id"), frame.alias("frame_id"), (F.unix_micros("ts") / 1e6).alias("timestamp"),
+                      F.col("k").alias("unique_count_5min"), F.col("user_id").cast("int").alias("unique_count_session"), url.alias("frame_url"))
+    return panels.camera_grid(counts, "http://new/cctv-frames")
+
+
+@query("p2_speed_panel", """
+with n as (select cast(cast(value as float) as double) as v from events order by ts desc, event_id desc limit 5000)
+select round(avg(v), 4) as avg_speed, round(avg(cast(v < 20 as int)) * 100, 4) as congested_pct from n""")
+def p2(spark, sf):
+    r = inputs.readings(spark, sf).select("sensor_id", F.col("ts").cast("string").alias("timestamp"), F.col("speed").cast("float").alias("speed"))
+    panel = panels.speed_panel(r)
+    return panel.select(F.round("avg_speed", 4).alias("avg_speed"), F.round("congested_pct", 4).alias("congested_pct"))
+
+
 # --- models ----------------------------------------------------------------------------------
 
 KEY = ("sensor_id", "ts")
