@@ -88,6 +88,10 @@ class _Folder:
     def batches(self) -> list[int]:
         return sorted(int(n.split("=")[1]) for n in self.names() if n.startswith(f"{TXN}="))
 
+    def mean_file_size(self, name: str) -> float:
+        content = self.fs.getContentSummary(self.at(name))
+        return content.getLength() / max(1, content.getFileCount())
+
     def move(self, source: Sequence[str], target: Sequence[str]) -> None:
         self.fs.mkdirs(self.at(*target).getParent())
         if not self.fs.rename(self.at(*source), self.at(*target)):
@@ -98,9 +102,11 @@ def compact(spark: SparkSession, path: str, target_mb: int = 128, partition_by:
             keep_latest: int = 1) -> bool:
     """Merge small files (K7); returns whether anything was rewritten.
 
-    Parquet: all batches but the newest `keep_latest`, which a restarted stream may still
-    repeat, become one batch folder. It is written aside first; then the old folders move to
-    `_superseded`, and it takes their place. A run that was cut off is finished by the next.
+    Parquet: neighbouring batches of small files become one batch folder each; batches of files
+    near the target size, such as the result of an earlier run, are left alone, and so are the
+    newest `keep_latest`, which a restarted stream may still repeat. A merged batch is written
+    aside first; then the old folders move to `_superseded`, and it takes their place. A run
+    that was cut off is finished by the next. Rows keep their columns, `batch_id` too.
     """
     if has_delta(spark):
         spark.sql(f"OPTIMIZE delta.`{path}`")
@@ -113,22 +119,33 @@ def compact(spark: SparkSession, path: str, target_mb: int = 128, partition_by:
             folder.fs.delete(folder.at(STAGING, span), True)
     batches = folder.batches()
     closed = batches[:-keep_latest] if keep_latest else batches
-    if len(closed) < 2:
-        return False
-    span = f"{closed[0]}-{closed[-1]}"
-    sources = [f"{folder.root}/{TXN}={b}" for b in closed]
-    rows = (spark.read.option("basePath", folder.root).option("mergeSchema", "true").parquet(*sources).drop(TXN))
+    target = target_mb * 1024 * 1024
+    runs: list[list[int]] = [[]]
+    for batch in closed:
+        if folder.mean_file_size(f"{TXN}={batch}") < target / 2:
+            runs[-1].append(batch)
+        elif runs[-1]:
+            runs.append([])
+    runs = [run for run in runs if len(run) > 1]
+    for run in runs:
+        _merge(spark, folder, run, target, partition_by)
+    return bool(runs)
+
+
+def _merge(spark: SparkSession, folder: _Folder, run: list[int], target: int, partition_by: Sequence[str]) -> None:
+    span = f"{run[0]}-{run[-1]}"
+    sources = [f"{folder.root}/{TXN}={b}" for b in run]
+    rows = spark.read.option("basePath", folder.root).option("mergeSchema", "true").parquet(*sources).drop(TXN)
     # Pieces of the target size, also where one partition holds most of the rows.
     advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     before = spark.conf.get(advisory, None)
-    spark.conf.set(advisory, f"{target_mb}MB")
+    spark.conf.set(advisory, str(target))
     try:
         (rows.hint("rebalance", *[F.col(c) for c in partition_by]).write.mode("overwrite")
          .partitionBy(*partition_by).parquet(f"{folder.root}/{STAGING}/{span}"))
     finally:
         spark.conf.unset(advisory) if before is None else spark.conf.set(advisory, before)
     _swap_in(folder, span)
-    return True
 
 
 def _swap_in(folder: _Folder, span: str) -> None:

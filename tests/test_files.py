@@ -83,6 +83,13 @@ def test_frames_of_sequences(spark, images):
                     ("MVI_2", "img00001.jpg"): "MVI_2/img00001.jpg"}
 
 
+def test_frames_by_join_are_the_same(spark, images, monkeypatch):
+    named = frames.read_frames(spark, images, 2, 2)
+    monkeypatch.setattr(frames, "LISTED_FILES", 3)
+    joined = frames.read_frames(spark, images, 2, 2)
+    assert sorted(named.collect()) == sorted(joined.collect()) and named.count() == 3
+
+
 def test_frames_of_a_flat_folder(spark, tmp_path):
     for name in ["camera_2_b.jpg", "camera_1_a.jpg", "plain.jpg", "note.txt"]:
         (tmp_path / name).write_bytes(b"x")
@@ -152,6 +159,18 @@ def test_compaction_keeps_rows(spark, tmp_path):
     assert not sink.compact(spark, path, partition_by=("event_date",), keep_latest=2)
 
 
+def test_batches_of_large_files_stay(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for batch in range(2):
+        sink.append_once(day_rows(spark, 10), path, batch)
+    sink.append_once(spark.range(400_000).select("id", F.lit("2022-01-01").cast("date").alias("event_date")).coalesce(1), path, 2)
+    for batch in range(3, 6):
+        sink.append_once(day_rows(spark, 10), path, batch)
+    assert sink.compact(spark, path, target_mb=1)
+    assert sorted(n for n in os.listdir(path) if n.startswith("txn=")) == ["txn=1", "txn=2", "txn=4", "txn=5"]
+    assert tables.load_table(spark, path).count() == 400_050
+
+
 def test_interrupted_compaction_is_finished(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
     for batch in range(4):
