@@ -18,7 +18,7 @@ from streetflow.sources.sensors import location_grid
 
 GRID_SQL = """ids as (select distinct user_id from events),
 numbered as (select *, row_number() over (order by user_id) - 1 as i, cast(ceil(sqrt(count(*) over ())) as bigint) as side from ids),
-grid as (select cast(user_id as varchar) as sensor_id, 33.95 + (i // side) * (34.20 - 33.95) / greatest(side - 1, 1) as lat,
+grid as (select cast(user_id as varchar) as sensor_id, i, 33.95 + (i // side) * (34.20 - 33.95) / greatest(side - 1, 1) as lat,
   -118.50 + (i % side) * (-118.10 - -118.50) / greatest(side - 1, 1) as lon from numbered)"""
 LATEST_SQL = """latest as (
   select cast(user_id as varchar) as sensor_id, value as speed, ts from events

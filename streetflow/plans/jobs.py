@@ -6,18 +6,20 @@ from pyspark.sql import functions as F
 
 from streetflow import functions as fn
 from streetflow.operators import graph, model
+from streetflow.operators.blocks import row_index
 from streetflow.operators.enrich import rerouting_alerts
 from streetflow.operators.validate import decode
 from streetflow.operators.windows import speed_features
-from streetflow.plans import inputs, panels
-from streetflow.plans.figures import COUNTS_SQL, FEATURES_SQL, LAGS_SQL
+from streetflow.plans import batch, inputs, panels
+from streetflow.plans.figures import COUNTS_SQL, FEATURES_SQL, GRID_SQL, LAGS_SQL, _metadata
 from streetflow.plans.inputs import DECODED_SQL, GRAPH_SQL, MESSAGES_SQL
 from streetflow.plans.registry import big, micros, query, six, whole
 from streetflow.plans.rows import CONTRACT_SQL
 from streetflow.session import scratch
-from streetflow.sinks.tables import append_once, compact, write_snapshot
+from streetflow.sinks.tables import append_once, compact, expire, write_snapshot
+from streetflow.sources.sensors import read_locations
 from streetflow.sources.streams import stream_source
-from streetflow.sources.tables import load_static, load_table, read_table
+from streetflow.sources.tables import explore, load_static, load_table, read_table
 from streetflow.streaming import ingest, state
 
 # --- graph -----------------------------------------------------------------------------------
@@ -70,9 +72,19 @@ def g2(spark, sf):
     return ranks.select("id", F.round("pagerank", 9).alias("pagerank"))
 
 
-@query("g2_g3_pagerank")
+_MOST_ROUNDS = 20
+
+
+@query("g2_g3_pagerank", "with " + _rank_sql(_MOST_ROUNDS) + """,
+moves as (""" + " union all ".join(
+    f"select {i} as i, sum(abs(b.rank - a.rank)) as moved from r{i - 1} a join r{i} b using (id)" for i in range(1, _MOST_ROUNDS + 1)) + """),
+last as (select min(i) as i from moves cross join size where moved < n * 1e-6),
+every as (""" + " union all ".join(f"select {i} as i, id, rank from r{i}" for i in range(1, _MOST_ROUNDS + 1)) + """)
+select cast(id as varchar) as id, round(cast(cast(rank as float) as double), 9) as pagerank from every join last using (i)""")
 def g3(spark, sf):
-    return graph.pagerank_table(graph.pagerank(*inputs.road_graph(spark, sf)))
+    """The stored table: rounds until the ranks settle, 32-bit ranks."""
+    ranks = graph.pagerank_table(graph.pagerank(*inputs.road_graph(spark, sf)))
+    return ranks.select("id", F.round(F.col("pagerank").cast("double"), 9).alias("pagerank"))
 
 
 @query("t2_top_vertices", "with " + _rank_sql(8) + """
@@ -157,12 +169,45 @@ def k5(spark, sf):
 def k7(spark, sf):
     """Rows of a compacted table are the rows that were appended."""
     e, path = inputs.events(spark, sf).withColumn("event_date", F.to_date("ts")), scratch(spark, "compact")
-    for batch, kind in enumerate(["click", "error", "purchase", "signup", "view"]):
-        append_once(e.filter(F.col("event_type") == kind), path, batch, partition_by=("event_date",))
+    for number, kind in enumerate(["click", "error", "purchase", "signup", "view"]):
+        append_once(e.filter(F.col("event_type") == kind), path, number, partition_by=("event_date",))
     compact(spark, path, partition_by=("event_date",))
     return load_table(spark, path).select("event_id", F.col("value").alias("speed"), F.col("event_date").cast("string").alias("event_date"))
 
 
+@query("k8_expire", "select event_id, value as speed from events")
+def k8(spark, sf):
+    """Deleting what compaction replaced leaves the rows as they are."""
+    e, path = inputs.events(spark, sf).select("event_id", "event_type", F.col("value").alias("speed")), scratch(spark, "expire")
+    for number, kind in enumerate(["click", "error", "purchase", "signup", "view"]):
+        append_once(e.filter(F.col("event_type") == kind), path, number)
+    compact(spark, path)
+    expire(spark, path, hours=0, force=True)
+    return load_table(spark, path).select("event_id", "speed")
+
+
+@query("s4_read_locations", "with " + GRID_SQL + """
+select sensor_id, i as sensor_index, round(lat, 6) as lat, round(lon, 6) as lon from grid""")
+def s4(spark, sf):
+    """The grid written as CSV with other header names, and read back in file order."""
+    path = scratch(spark, "places")
+    grid = _metadata(spark, sf).orderBy("sensor_index")
+    grid.select(F.col("lat").alias("Latitude"), F.col("sensor_id").alias("ID"), F.col("lon").alias("LNG")).write.option("header", "true").csv(path)
+    found = read_locations(spark, ["/nowhere.csv", path])
+    return found.select("sensor_id", big("sensor_index"), six("lat"), six("lon"))
+
+
+@query("s12_v14_metadata", "with " + GRID_SQL + """
+select sensor_id, i as sensor_index, round(lat, 6) as lat, round(lon, 6) as lon from grid""")
+def s12(spark, sf):
+    """No CSV is there, so known ids go on the grid; the stored table is then looked at as it is."""
+    root = scratch(spark, "root")
+    ids = inputs.events(spark, sf).select("user_id").distinct().orderBy("user_id")
+    ids = row_index(ids, ["user_id"], "sensor_index").withColumn("sensor_id", F.col("user_id").cast("string"))
+    batch.build_sensor_metadata(spark, root, ["/nowhere.csv"], ids)
+    return explore(spark, root, "sensor_metadata", limit=2000).select("sensor_id", big("sensor_index"), six("lat"), six("lon"))
+
+
 # --- streams ---------------------------------------------------------------------------------
 
 def _drain(df, ts, schema, shape, name):
