@@ -1,7 +1,7 @@
 """Joins of readings, metadata and offsets.
 
-No join here carries a broadcast hint: which side is small depends on the data, so the size
-check is left to the adaptive optimizer, which broadcasts a side it has measured and otherwise
+Which side is small depends on the data, so unless a side has been counted the size check is
+left to the adaptive optimizer, which broadcasts a side it has measured and otherwise
 sorts and merges, splitting skewed partitions.
 """
 
@@ -15,17 +15,19 @@ from streetflow.operators.validate import congested
 
 
 def rerouting_alerts(readings: DataFrame, paths: DataFrame, threshold: float = CONGESTION_MPH,
-                     batch_id: int | None = None) -> DataFrame:
+                     batch_id: int | None = None, few: bool = False) -> DataFrame:
     """Congested readings with the landmark distances of their vertex.
 
     Readings without an index, vertices without a row and empty distance maps give no alert.
+    `few` says that the readings have been counted and are few, as in a micro-batch: then they
+    are broadcast, and the vertex table, of whatever size, is scanned without a shuffle.
     """
+    batch = F.lit(batch_id) if "batch_id" not in readings.columns else F.col("batch_id")
     slow = (congested(readings, threshold).filter(F.col("sensor_index").isNotNull())
-            .select(F.col("sensor_index").cast("string").alias("id"), "sensor_id", "speed"))
+            .select(F.col("sensor_index").cast("string").alias("id"), "sensor_id", "speed", batch.cast("bigint").alias("batch_id")))
     known = paths.select("id", "distances").filter(F.size("distances") > 0)
-    alerts = slow.join(known, "id")
-    batch = F.lit(batch_id) if "batch_id" not in readings.columns else F.col("batch_id")
-    return alerts.withColumn("batch_id", batch.cast("bigint"))
+    alerts = known.join(F.broadcast(slow) if few else slow, "id")
+    return alerts.select("id", "sensor_id", "speed", "distances", "batch_id")
 
 
 def on_map(latest: DataFrame, metadata: DataFrame) -> DataFrame:

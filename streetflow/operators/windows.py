@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +21,10 @@ UNIQUE_WINDOW_SEC = 300.0
 SPLIT_RATIOS = (0.70, 0.85)
 SPLIT_SEED = 42
 
+# Up to this many rows per group Spark limits groups before the shuffle
+# (spark.sql.optimizer.windowGroupLimitThreshold).
+MAP_SIDE_ROWS = 1000
+
 
 def latest_per(df: DataFrame, key: str, *order: str) -> DataFrame:
     """The row with the greatest `order` per key (W1): a partial aggregation, no sort of the rows."""
@@ -101,7 +107,7 @@ def sliding_distinct(df: DataFrame, key: str, item: str, ts: str, tie: str,
     change = F.array(
         F.when(arrives, F.struct(F.col("_t").alias("_t"), F.lit(0).alias("_kind"), F.lit(1).alias("_d"))),
         F.when(departs, F.struct((F.col("_t") + width).alias("_t"), F.lit(2).alias("_kind"), F.lit(-1).alias("_d"))))
-    changes = (gaps.select(key, F.explode(F.filter(change, lambda c: c.isNotNull())).alias("_c"))
+    changes = (gaps.select(key, F.explode(change).alias("_c")).filter(F.col("_c").isNotNull())
                .select(key, "_c.*").groupBy(key, "_t", "_kind").agg(F.sum("_d").alias("_delta")))
     return _count_at(timed, changes, key, tie, out, block_rows).drop("_t")
 
@@ -128,17 +134,29 @@ def frame_counts(frames: DataFrame, seconds: float = UNIQUE_WINDOW_SEC, block_ro
 def first_of_groups(df: DataFrame, key: str, order: list[str], groups: int, rows: int) -> DataFrame:
     """First `rows` rows of each of the first `groups` keys by name.
 
-    `groups` bounds the broadcast side. The row limit is applied in the map tasks already,
-    so a large group sends no more than `rows` rows per task.
+    `groups` bounds the broadcast side. Up to MAP_SIDE_ROWS the row limit is applied in the map
+    tasks already, so a large group sends no more than `rows` rows per task.
     """
     names = df.select(key).distinct().orderBy(key).limit(groups)
     kept = df.join(F.broadcast(names), key, "left_semi") if groups <= 100_000 else df.join(names, key, "left_semi")
-    place = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    return kept.withColumn("_place", place).filter(F.col("_place") <= rows).drop("_place")
+    if rows > MAP_SIDE_ROWS:
+        ranked = _numbered(kept, key, order)
+    else:
+        ranked = kept.withColumn("_place", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+    return ranked.filter(F.col("_place") <= rows).drop("_place")
+
+
+def _numbered(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """Number the rows of each key from 1, keys of any size."""
+    return running_sum(df.withColumn("_one", F.lit(1).cast("bigint")), [key], order, "_one", "_place").drop("_one")
 
 
 def newest_rows(df: DataFrame, key: str, *order: str, rows: int = HISTORY_ROWS) -> DataFrame:
     """The newest `rows` rows per key."""
+    if rows > MAP_SIDE_ROWS:
+        totals = df.groupBy(key).agg(F.count(F.lit(1)).alias("_total"))
+        ranked = _numbered(df, key, order).join(totals, key)
+        return ranked.filter(F.col("_total") - F.col("_place") < rows).drop("_place", "_total")
     place = F.row_number().over(Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in order]))
     return df.withColumn("_place", place).filter(F.col("_place") <= rows).drop("_place")
 

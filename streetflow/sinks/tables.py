@@ -98,6 +98,10 @@ class _Folder:
             raise OSError(f"could not move {source} to {target} below {self.root}")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    return _Folder(spark, path).exists()
+
+
 def compact(spark: SparkSession, path: str, target_mb: int = 128, partition_by: Sequence[str] = (),
             keep_latest: int = 1) -> bool:
     """Merge small files (K7); returns whether anything was rewritten.
@@ -181,7 +185,7 @@ def maintain(spark: SparkSession, root: str, tables: Sequence[str] = tuple(MAINT
     outcome = {}
     for name in tables:
         path = f"{root.rstrip('/')}/{name}"
-        if not _Folder(spark, path).exists():
+        if not path_exists(spark, path):
             outcome[name] = "absent"
             continue
         try:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streetflow.operators.blocks import row_index
+from streetflow.sinks.tables import path_exists
 
 # Header aliases, grid corners, placeholder names.
 ID_ALIASES = ("sensor_id", "id")
@@ -82,12 +82,9 @@ def read_locations(spark: SparkSession, paths: Sequence[str]) -> DataFrame | Non
     itself: the order is that of file and row position inside the file.
     """
     for path in paths:
-        try:
-            df = spark.read.option("header", "true").csv(path)
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                continue
-            raise
+        if not path_exists(spark, path):
+            continue
+        df = spark.read.option("header", "true").csv(path)
         lat, lon = _pick(df.columns, LAT_ALIASES), _pick(df.columns, LON_ALIASES)
         if not lat or not lon:
             continue

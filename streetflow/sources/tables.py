@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from streetflow.operators.contracts import (
     CCTV_INFERRED, GPS, PREDICTIONS, SENSORS, WEATHER, Contract,
 )
-from streetflow.sinks.tables import TXN, has_delta
+from streetflow.sinks.tables import TXN, has_delta, path_exists
 
 logger = logging.getLogger(__name__)
 
@@ -47,13 +47,16 @@ def load_table(spark: SparkSession, path: str, columns: str | None = None) -> Da
     Columns a file lacks read as null. Without declared `columns` they are merged from the
     footers of all files, which takes long on a table of many files.
     """
+    if not path_exists(spark, path):
+        return None
     try:
         if has_delta(spark):
             return spark.read.format("delta").load(path)
         reader = spark.read.option("mergeSchema", "true") if columns is None else spark.read.schema(columns)
         return reader.parquet(path).drop(TXN)
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "DELTA_TABLE_NOT_FOUND"):
+        # A folder in which nothing has been stored yet.
+        if error.getCondition() in ("UNABLE_TO_INFER_SCHEMA", "DELTA_TABLE_NOT_FOUND"):
             return None
         raise
 

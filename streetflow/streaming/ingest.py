@@ -40,9 +40,11 @@ FEEDS = {
     "weather": Feed("weather", WEATHER, trigger="30 seconds"),
     "speed_predictions": Feed("speed_predictions", PREDICTIONS, ("sensor_id", "predicted_speed"), "timestamp"),
 }
-SENSOR_TRIGGER = "5 seconds"
 SENSOR_TOPIC = "topic_sensors"
 
+# A batch of up to this many readings is sent to the vertex table instead of the other way round.
+FEW_ROWS = 100_000
+
 
 def _trigger(every: str | None) -> dict:
     """A processing-time trigger, or everything available once when `every` is None."""
@@ -91,7 +93,7 @@ def good_reading() -> Column:
 
 
 def sensor_outputs(rows: DataFrame, paths: DataFrame | None, batch_id: int, threshold: float = CONGESTION_MPH,
-                   distinct_invalid: bool = False) -> dict[str, tuple[DataFrame, tuple[str, ...]]]:
+                   distinct_invalid: bool = False, few: bool = False) -> dict[str, tuple[DataFrame, tuple[str, ...]]]:
     """The tables fed by one batch of `sensor_rows`, with their partition columns (K2).
 
     By default every bad message is kept with its text and broken rules; `distinct_invalid`
@@ -106,7 +108,7 @@ def sensor_outputs(rows: DataFrame, paths: DataFrame | None, batch_id: int, thre
         letters = validate(bad.select(*readings, "value"), SENSORS, out="dlq_errors")
     outputs = {"sensor_speeds": (speeds, ("event_date",)), "dlq_sensors": (dead_letter(letters, batch_id), ())}
     if paths is not None:
-        outputs["rerouting_alerts"] = (rerouting_alerts(good, paths, threshold, batch_id), ())
+        outputs["rerouting_alerts"] = (rerouting_alerts(good, paths, threshold, batch_id, few), ())
     return outputs
 
 
@@ -138,9 +140,11 @@ def sensor_batch(root: str, paths: DataFrame | None, threshold: float = CONGESTI
         started = time.time()
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if batch.isEmpty():
+            rows = batch.count()
+            if not rows:
                 return
-            counts = write_batch(sensor_outputs(batch, paths, batch_id, threshold, distinct_invalid), root, batch_id)
+            outputs = sensor_outputs(batch, paths, batch_id, threshold, distinct_invalid, rows <= FEW_ROWS)
+            counts = write_batch(outputs, root, batch_id)
             summary = batch_summary(batch, SENSOR_TOPIC, batch_id, counts, time.time() - started)
             append_once(summary.coalesce(1), f"{root.rstrip('/')}/pipeline_latency", batch_id, "stream-sensors-latency")
         finally:

@@ -52,6 +52,8 @@ def test_alerts(rows):
     paths = rows([("1", {"0": 2}), ("2", {}), ("3", None)], "id string, distances map<string,int>")
     assert [(r.id, r.sensor_id, r.speed, r.distances, r.batch_id) for r in rerouting_alerts(readings, paths, batch_id=3).collect()] == [
         ("1", "a", 5.0, {"0": 2}, 3)]
+    plan = rerouting_alerts(readings, paths, batch_id=3, few=True)
+    assert [r.sensor_id for r in plan.collect()] == ["a"]
 
 
 def test_labels_without_image_go(rows):
@@ -72,6 +74,16 @@ def test_first_of_groups(rows):
     assert {(r.camera, r.frame) for r in first_of_groups(df, "camera", ["frame"], 2, 3).collect()} == {(c, i) for c in "ab" for i in range(3)}
 
 
+def test_long_lists_per_group(spark, monkeypatch):
+    from streetflow.operators import windows
+    df = spark.range(90).select((F.col("id") % 3).cast("string").alias("k"), F.col("id").alias("t"))
+    short = (first_of_groups(df, "k", ["t"], 2, 7), newest_rows(df, "k", "t", rows=7))
+    monkeypatch.setattr(windows, "MAP_SIDE_ROWS", 5)
+    long = (first_of_groups(df, "k", ["t"], 2, 7), newest_rows(df, "k", "t", rows=7))
+    for a, b in zip(short, long):
+        assert a.count() == b.count() and a.exceptAll(b.select(a.columns)).count() == 0
+
+
 def test_tail_window_keeps_its_edge(spark):
     df = spark.range(100).select(F.timestamp_seconds(F.col("id") * 60).alias("ts"))
     assert tail_window(df, "ts", 30).count() == 31
