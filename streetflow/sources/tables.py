@@ -62,11 +62,17 @@ def load_table(spark: SparkSession, path: str, columns: str | None = None) -> Da
 
 
 def read_table(spark: SparkSession, root: str, name: str, limit: int | None = None,
-               sort_col: str | None = None, tie: str | None = None) -> DataFrame:
-    """First rows of a table, newest first when `sort_col` exists (S2); a missing table is empty."""
+               sort_col: str | None = None, tie: str | None = None,
+               days: tuple[str, str] | None = None) -> DataFrame:
+    """First rows of a table, newest first when `sort_col` exists (S2); a missing table is empty.
+
+    `days` (first and last, inclusive) reads only those days of a table partitioned by day.
+    """
     df = load_table(spark, f"{root.rstrip('/')}/{name}", TABLE_COLUMNS.get(name))
     if df is None:
         return spark.createDataFrame([], "value string").drop("value")
+    if days is not None:
+        df = df.filter(F.col("event_date").between(*[F.lit(d).cast("date") for d in days]))
     if sort_col in df.columns:
         df = df.orderBy(*[F.col(c).desc_nulls_last() for c in (sort_col, tie) if c])
     return df if limit is None else df.limit(limit)

@@ -145,6 +145,15 @@ def test_declared_columns_fill_gaps(spark, tmp_path):
     assert got.columns[-1] == "batch_finished_at" and got.filter("valid_count is null").count() == 2
 
 
+def test_days_prune_partitions(spark, tmp_path):
+    path = str(tmp_path / "gps_trips")
+    sink.append_once(day_rows(spark, 9).withColumnRenamed("id", "pickup_zone"), path, 0, partition_by=("event_date",))
+    got = tables.read_table(spark, str(tmp_path), "gps_trips", days=("2022-01-02", "2022-01-03"))
+    assert got.count() == 6
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+
+
 def test_compaction_keeps_rows(spark, tmp_path):
     path = str(tmp_path / "t")
     for batch in range(5):
