@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from streetflow.session import scratch
 
@@ -41,3 +43,26 @@ def map_arrow(df: DataFrame, work, schema) -> DataFrame:
     from pyspark.sql.pandas.types import from_arrow_schema
 
     return df.mapInArrow(work, from_arrow_schema(schema))
+
+
+#: A bitmap has 2**MARK_BITS bits, 8 MB, however many values it marks.
+MARK_BITS = 26
+
+
+def marks(values: DataFrame) -> np.ndarray:
+    """Bitmap of the one column of evenly spread 64-bit hashes; `marked` says no only to values that are not among them.
+
+    It spares a pass the rows that can't matter. Whatever follows must be right for rows that are
+    let through needlessly, so a full bitmap costs time and never rows.
+    """
+    bit = F.shiftrightunsigned(values[values.columns[0]], 64 - MARK_BITS)
+    rows = values.select(bit.alias("b")).selectExpr("shiftright(b, 6) w", "shiftleft(1L, cast(b & 63 as int)) m")
+    found = rows.groupBy("w").agg(F.bit_or("m").alias("m")).toArrow()
+    out = np.zeros(1 << (MARK_BITS - 6), np.uint64)
+    out[found.column(0).to_numpy()] = found.column(1).to_numpy().view(np.uint64)
+    return out
+
+
+def marked(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = values >> np.uint64(64 - MARK_BITS)
+    return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
