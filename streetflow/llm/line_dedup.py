@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,9 +33,9 @@ from streetflow.llm.textscan import _INVERSE, Slice, _tables, batch, lists, mix,
 LEAST_WORDS = 5
 NEAR_WORDS = 10
 
-WHOLE = pa.schema([("key", pa.int64())])
 PARTS = pa.schema([("key", pa.int64()), ("line", pa.int64())])
 FOUND = pa.schema([("line", pa.int64()), ("doc_id", pa.int64()), ("number", pa.int32()), ("variants", pa.list_(pa.int64()))])
+VARIANT = pa.schema([("key", pa.int64()), ("at", pa.int32()), ("line", pa.int64()), ("doc_id", pa.int64()), ("number", pa.int32())])
 
 
 class _Lines:
@@ -77,36 +78,31 @@ class _Lines:
         return mix(rest + (high - low - 1).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), first
 
 
-def _whole(batches):
-    for b in batches:
-        for _, part in slices(b.column("text")):
-            yield batch(WHOLE, signed(_Lines(part).hash))
-
-
 def _parts(batches):
+    """Each line's hash as its own key, and its parts."""
     for b in batches:
         for _, part in slices(b.column("text")):
             lines = _Lines(part)
             keys, index = lines.parts()
-            yield batch(PARTS, signed(keys), signed(lines.hash[index]))
+            yield batch(PARTS, signed(np.concatenate([lines.hash, keys])), signed(np.concatenate([lines.hash, lines.hash[index]])))
 
 
 def candidates(docs: DataFrame) -> DataFrame:
     """(line, doc_id, number, variants): every line that may be the same as another; near ones with their variants."""
-    copies = marks(map_arrow(docs.select("text"), _whole, WHOLE).groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
-    shared = marks(map_arrow(docs.select("text"), _parts, PARTS).groupBy("key")
-                   .agg(F.min("line").alias("a"), F.max("line").alias("b")).where("a <> b").select("key"))
-    sent = docs.sparkSession.sparkContext.broadcast((copies, shared))
+    keys = (map_arrow(docs.select("text"), _parts, PARTS).groupBy("key")
+            .agg(F.count("*").alias("n"), F.min("line").alias("a"), F.max("line").alias("b")))
+    # parts of different lines, or a line found again
+    sent = docs.sparkSession.sparkContext.broadcast(marks(keys.where("a <> b or (n > 1 and a = key)").select("key")))
 
     def work(batches):
-        copied, common = sent.value
+        known = sent.value
         for b in batches:
             for at, part in slices(b.column("text")):
                 lines = _Lines(part)
                 keys, index = lines.parts()
                 near = np.zeros(len(lines.hash), bool)
-                near[index[marked(common, keys)]] = True
-                wanted = np.flatnonzero(near | marked(copied, lines.hash))
+                near[index[marked(known, keys)]] = True
+                wanted = np.flatnonzero(near | marked(known, lines.hash))
                 for name in ("low", "high", "row", "number", "hash", "n"):
                     setattr(lines, name, getattr(lines, name)[wanted])
                 flat, first = lines.variants(near[wanted])
@@ -117,13 +113,33 @@ def candidates(docs: DataFrame) -> DataFrame:
     return map_arrow(docs.select(F.col("doc_id").cast("bigint"), "text"), work, FOUND)
 
 
+def _shared_variants(found: DataFrame) -> DataFrame:
+    """(key, at, line, doc_id, number): variants that are a variant or the whole of another line too."""
+    near = found.where(F.size("variants") > 0)
+    keys = near.select("line", F.explode("variants").alias("key")).unionByName(found.select("line", F.col("line").alias("key")))
+    sent = found.sparkSession.sparkContext.broadcast(
+        marks(keys.groupBy("key").agg(F.min("line").alias("a"), F.max("line").alias("b")).where("a <> b").select("key")))
+
+    def work(batches):
+        for b in batches:
+            column = b.column("variants")
+            n = pc.list_value_length(column).to_numpy()
+            flat = column.flatten().to_numpy()
+            of = np.repeat(np.arange(len(n)), n)
+            hit = np.flatnonzero(marked(sent.value, flat.view(np.uint64)))
+            at = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
+            rows = b.take(pa.array(of[hit]))
+            yield batch(VARIANT, flat[hit], at[hit], rows.column("line"), rows.column("doc_id"), rows.column("number"))
+
+    return map_arrow(near, work, VARIANT)
+
+
 def removed_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, number) of every line to remove."""
     found = keep(candidates(docs), "lines")
     place = F.struct("doc_id", "number")
     firsts = keep(found.groupBy("line").agg(F.min(place).alias("first")), "firsts")
-    near = (found.where(F.size("variants") > 0).select("line", F.posexplode("variants").alias("at", "key"), place.alias("first"))
-            .groupBy("key", "at", "line").agg(F.min("first").alias("first")))
+    near = _shared_variants(found).groupBy("key", "at", "line").agg(F.min(place).alias("first"))
     own = firsts.select(F.col("line").alias("key"), F.lit(-1).alias("at"), "line", "first")
     rows = keep(near.unionByName(own), "variants")
     by_place = rows.groupBy("key", "at").agg(F.min("first").alias("same"), F.min("line").alias("a"), F.max("line").alias("b"))
