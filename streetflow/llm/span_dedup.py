@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streetflow.llm.tables import keep, map_arrow, marked, marks, query, table
-from streetflow.llm.textscan import Slice, batch, lists, range_hash, signed, slices
+from streetflow.llm.textscan import SLICE_BYTES, Slice, batch, lists, range_hash, signed, slices
 
 WINDOW = 50
 GRAM = 16
@@ -138,7 +138,8 @@ def duplicate_spans(docs: DataFrame) -> DataFrame:
     earliest = windows.groupBy("window").agg(F.min("first").alias("earliest"), F.max("first").alias("latest")).where("earliest < latest")
     inside = (windows.join(earliest, "window").where("earliest < first").groupBy(*by)
               .agg(F.collect_set("at").alias("inside")))
-    verdict = firsts.join(inside, by, "left")
+    # written first, so that the join with a block's copies stands alone and Spark can split a block with many
+    verdict = keep(firsts.join(inside, by, "left"), "verdicts")
     rows = blocks.join(verdict, by).where("doc_id > first or inside is not null")
     every = F.array(F.struct(F.col("low").alias("low"), (F.col("low") + F.col("n") + WINDOW - 1).alias("high")))
     some = F.transform("inside", lambda k: F.struct((F.col("low") + k).alias("low"), (F.col("low") + k + WINDOW).alias("high")))
@@ -148,7 +149,7 @@ def duplicate_spans(docs: DataFrame) -> DataFrame:
 
 def _cut(batches):
     for b in batches:
-        out = []
+        out, size = [], 0
         for doc_id, text, spans in zip(b.column("doc_id"), b.column("text").cast(pa.binary()), b.column("spans")):
             words = (text.as_py() or b"").split()
             n = len(words)
@@ -157,6 +158,10 @@ def _cut(batches):
                 edges = np.bincount(pairs[0], minlength=n + 1)[: n + 1] - np.bincount(pairs[1], minlength=n + 1)[: n + 1]
                 words = [w for w, depth in zip(words, np.cumsum(edges)) if depth == 0]
             out.append((doc_id.as_py(), n, n - len(words), b" ".join(words).decode()))
+            size += len(out[-1][3])
+            if size > SLICE_BYTES:
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out), PARSED)], schema=PARSED)
+                out, size = [], 0
         yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out) if out else [[]] * 4, PARSED)], schema=PARSED)
 
 
