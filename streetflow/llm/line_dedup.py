@@ -150,7 +150,8 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     earliest = F.when(F.col("at") < 0, F.col("longer")).otherwise(F.least("same", "whole"))
     others = (rows.join(by_key, "key").join(by_place.drop("a", "b"), ["key", "at"])
               .groupBy("line").agg(F.min(earliest).alias("earliest")))
-    verdict = firsts.join(others, "line", "left")
+    # written first, so that the join with a line's copies stands alone and Spark can split a line with many
+    verdict = keep(firsts.join(others, "line", "left"), "verdicts")
     place = F.struct(found["doc_id"], found["number"])
     gone = (F.col("earliest") < F.col("first")) | (place != F.col("first"))
     return found.join(verdict, "line").where(F.coalesce(gone, F.lit(False))).select(found["doc_id"], found["number"])
