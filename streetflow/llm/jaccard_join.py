@@ -19,6 +19,11 @@ become pivots, all of them if they are few, else a share; other points go to the
 their nearest pivot and, as boundary points, to every cell whose pivot is at most 2 * RADIUS
 farther. Each round settles its pivots, so regions end; no pairs within a component are formed.
 
+A distance is measured in two steps. A sketch holds one byte for each of about as many cells of the
+hash space as the set has shingles, the sum of what falls in it; two sets differ in at least as
+many shingles as their sketches differ in cells. Where that bound already exceeds RADIUS it is
+used as the distance's lower bound; the shingles themselves are fetched for the other pairs only.
+
 Regions are found by counting first: parts that occur in one point only are left out by a bitmap of
 fixed size, which only spares work.
 
@@ -41,11 +46,13 @@ SHINGLE = 3
 PERCENT = 90
 RADIUS = 1 - PERCENT / 100
 #: A region with this many points outside its largest component is settled in one round.
-FEW = 48
+FEW = 256
 
 POINT = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("point", pa.int64())])
 MEETING = pa.schema([("region", pa.int64()), ("point", pa.int64())])
-MEMBER = pa.schema([("point", pa.int64()), ("regions", pa.list_(pa.int64())), ("grams", pa.list_(pa.int64()))])
+MEMBER = pa.schema([("point", pa.int64()), ("regions", pa.list_(pa.int64())), ("n", pa.int64()), ("sketch", pa.binary())])
+GRAMS = pa.schema([("point", pa.int64()), ("grams", pa.list_(pa.int64()))])
+BOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("low", pa.float64()), ("may_link", pa.bool_())])
 
 #: Sizes at which one count of parts ends and the next begins, each 1.5 times the one before.
 _BOUNDS = [1]
@@ -86,6 +93,17 @@ class _Sets:
         sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(self.grams ^ np.uint64(0x5851F42D4C957F2D)))])
         self.point = mix(sums[self.first[1:]] - sums[self.first[:-1]] + sizes.astype(np.uint64))
 
+    def sketches(self, chosen: np.ndarray) -> list[bytes]:
+        """Per text the sums modulo 256 over 2**k cells of its hash space, k being the logarithm of its size."""
+        out = []
+        for i in chosen:
+            grams = self.parts[i]
+            k = int(self.n[i]).bit_length() - 1
+            cells = (grams >> np.uint64(64 - k)).astype(np.int64) if k else np.zeros(len(grams), np.int64)
+            sums = np.bincount(cells, ((mix(grams) & np.uint64(255)) | np.uint64(1)).astype(np.float64), 1 << k)
+            out.append((sums.astype(np.int64) & 255).astype(np.uint8).tobytes())
+        return out
+
     def regions(self) -> tuple[np.ndarray, np.ndarray]:
         """(region, text) of every part that a text may agree in with a linked one."""
         band = np.searchsorted(_BOUNDS, self.n, "right") - 1
@@ -152,59 +170,96 @@ def members(docs: DataFrame) -> DataFrame:
                 keys, texts = keys[hit], texts[hit]
                 order = np.argsort(texts, kind="stable")
                 chosen, n = np.unique(texts, return_counts=True)
-                grams = [found.parts[i] for i in chosen]
-                sizes = np.concatenate([[0], np.cumsum([len(g) for g in grams])]).astype(np.int64)
-                flat = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
                 yield batch(MEMBER, signed(found.point[chosen]), lists(signed(keys[order]), np.concatenate([[0], np.cumsum(n)]), pa.int64()),
-                            lists(signed(flat), sizes, pa.int64()))
+                            found.n[chosen], found.sketches(chosen))
 
     rows = map_arrow(docs.select("text"), work, MEMBER)
-    return rows.groupBy("point").agg(F.first("regions").alias("regions"), F.first("grams").alias("grams"))
+    return rows.groupBy("point").agg(*(F.first(c).alias(c) for c in ("regions", "n", "sketch")))
 
 
-def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """pairs(a, b) with their distance d and whether they link."""
-    one = sets.select(F.col("point").alias("a"), F.col("grams").alias("ga"))
-    two = sets.select(F.col("point").alias("b"), F.col("grams").alias("gb"))
+def grams_of(docs: DataFrame, points: DataFrame) -> DataFrame:
+    """(point, grams) of some points, from one more pass over the texts."""
+    sent = docs.sparkSession.sparkContext.broadcast(marks(points))
+
+    def work(batches):
+        for b in batches:
+            for _, part in slices(b.column("text"), lower=True):
+                found = _Sets(part)
+                chosen = np.flatnonzero(marked(sent.value, found.point) & (found.n > 0))
+                own = [found.parts[i] for i in chosen] or [np.zeros(0, np.uint64)]
+                sizes = np.concatenate([[0], np.cumsum(found.n[chosen])])
+                yield batch(GRAMS, signed(found.point[chosen]), lists(signed(np.concatenate(own)), sizes, pa.int64()))
+
+    rows = map_arrow(docs.select("text"), work, GRAMS).join(points.toDF("point").distinct(), "point", "left_semi")
+    return rows.groupBy("point").agg(F.first("grams").alias("grams"))
+
+
+def _folded(sketch: np.ndarray, cells: int) -> np.ndarray:
+    """A sketch over fewer cells."""
+    return sketch.reshape(cells, -1).sum(axis=1, dtype=np.uint8)
+
+
+def _bounds(batches):
+    for b in batches:
+        low, may = [], []
+        for na, nb, sa, sb in zip(b.column("na").to_pylist(), b.column("nb").to_pylist(), b.column("sa"), b.column("sb")):
+            one, two = np.frombuffer(sa.as_py(), np.uint8), np.frombuffer(sb.as_py(), np.uint8)
+            cells = min(len(one), len(two))
+            differ = max(int(np.count_nonzero(_folded(one, cells) != _folded(two, cells))), abs(na - nb))
+            low.append(2 * differ / (na + nb + differ))
+            may.append(100 * (na + nb - differ) >= PERCENT * (na + nb + differ))
+        yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(low, pa.float64()), pa.array(may, pa.bool_())], schema=BOUND)
+
+
+def _measured(pairs: DataFrame, found: DataFrame, docs: DataFrame, exact: bool = False) -> DataFrame:
+    """pairs(a, b) with bounds low and high of their distance, and whether they link; exact: no bound will do."""
+    one, two = (found.select(F.col("point").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in "ab")
+    bounds = keep(map_arrow(pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "sa", "sb"), _bounds, BOUND), "bounds")
+    asked = bounds if exact else bounds.where("may_link")
+    sets = grams_of(docs, asked.select("a").union(asked.select("b")))
     both = F.size(F.array_intersect("ga", "gb"))
     either = F.size("ga") + F.size("gb") - both
-    return (pairs.join(one, "a").join(two, "b")
-            .select("a", "b", (1 - both / either).alias("d"), (100 * both >= PERCENT * either).alias("linked")))
+    d = 1 - both / either
+    sure = (asked.select("a", "b").join(sets.select(F.col("point").alias("a"), F.col("grams").alias("ga")), "a")
+            .join(sets.select(F.col("point").alias("b"), F.col("grams").alias("gb")), "b")
+            .select("a", "b", d.alias("low"), d.alias("high"), (100 * both >= PERCENT * either).alias("linked")))
+    if exact:
+        return sure
+    return sure.union(bounds.where("not may_link").select("a", "b", "low", F.lit(1.0).alias("high"), F.lit(False).alias("linked")))
 
 
 def links(docs: DataFrame) -> DataFrame:
     """(v, root) of all points that link with another; root names their component."""
     found = keep(members(docs), "members")
-    sets = found.select("point", "grams")
     meet = keep(found.select(F.explode("regions").alias("region"), "point"), "meetings")
     pivots = meet.groupBy("region").agg(F.min("point").alias("pivot"), F.max("point").alias("last")).where("pivot <> last").drop("last")
     near = keep(meet.join(pivots, "region"), "near")
-    first = keep(_measured(near.where("point <> pivot").select(F.col("point").alias("a"), F.col("pivot").alias("b")).distinct(), sets), "measured")
+    first = keep(_measured(near.where("point <> pivot").select(F.col("point").alias("a"), F.col("pivot").alias("b")).distinct(), found, docs), "measured")
     linked = first.where("linked").select("a", "b")
     roots = components(linked)
-    d = first.select(F.col("a").alias("point"), F.col("b").alias("pivot"), "d")
-    open_ = near.join(d, ["point", "pivot"], "left").select("region", "point", F.coalesce("d", F.lit(0.0)).alias("d"))
+    d = first.select(F.col("a").alias("point"), F.col("b").alias("pivot"), "low", "high")
+    open_ = near.join(d, ["point", "pivot"], "left").select("region", "point", *(F.coalesce(c, F.lit(0.0)).alias(c) for c in ("low", "high")))
     while True:
         open_ = keep(_open(open_, roots), "open")
         if open_.isEmpty():
             return roots
-        more, open_ = _settle(open_, sets)
+        more, open_ = _settle(open_, found, docs)
         linked = keep(linked.union(more), "linked")
         roots = components(linked)
 
 
 def _open(regions: DataFrame, roots: DataFrame) -> DataFrame:
-    """(region, point, d, root, k, main, outside) of the regions with several components; of equal regions one is kept."""
+    """(region, point, low, high, root, main, outside) of the regions with several components; of equal regions one is kept."""
     rows = regions.join(roots.withColumnRenamed("v", "point"), "point", "left").withColumn("root", F.coalesce("root", "point"))
-    parts = rows.groupBy("region", "root").agg(F.count("*").alias("n"), F.sum(F.xxhash64("point", F.round("d", 9)).cast("decimal(20,0)")).alias("s"))
+    parts = rows.groupBy("region", "root").agg(F.count("*").alias("n"), F.sum(F.xxhash64("point", F.round("low", 9)).cast("decimal(20,0)")).alias("s"))
     whole = (parts.groupBy("region").agg(F.sum("n").alias("k"), F.max(F.struct("n", "root")).alias("m"), F.sum("s").alias("s"), F.count("*").alias("c"))
              .where("c > 1"))
     one = whole.groupBy("k", "s").agg(F.min(F.struct("region", "m")).alias("r"))
     kept = one.select(F.col("r.region").alias("region"), F.col("r.m.root").alias("main"), (F.col("k") - F.col("r.m.n")).alias("outside"))
-    return rows.join(kept, "region").select("region", "point", "d", "root", "main", "outside")
+    return rows.join(kept, "region").select("region", "point", "low", "high", "root", "main", "outside")
 
 
-def _settle(regions: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _settle(regions: DataFrame, found: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """New links (a, b) of this round's pivots, and the regions that remain."""
     share = F.when(F.col("outside") <= FEW, 1.0).otherwise(2 * F.sqrt("outside") / F.col("outside"))
     # points are hashes: their own order is a random one
@@ -212,21 +267,26 @@ def _settle(regions: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     outer = regions.where("root <> main")
     least = outer.groupBy("region").agg(F.min("point").alias("least"))
     pivots = keep(outer.join(least, "region").where(draw | (F.col("point") == F.col("least")))
-                  .select("region", F.col("point").alias("p"), F.col("d").alias("dp"), F.col("root").alias("rp")), "pivots")
+                  .select("region", F.col("point").alias("p"), F.col("low").alias("low_p"), F.col("high").alias("high_p"), F.col("root").alias("rp")), "pivots")
     both = regions.join(pivots, "region")
-    window = F.abs(F.col("d") - F.col("dp")) <= RADIUS + 1e-9
+    reach = RADIUS + 1e-9
+    window = (F.col("low") <= F.col("high_p") + reach) & (F.col("low_p") <= F.col("high") + reach)
     small = F.col("outside") <= FEW
+    pair = [F.least("point", "p").alias("a"), F.greatest("point", "p").alias("b")]
+    apart = both.where(F.col("point") != F.col("p"))
     # a region settled now needs only pairs that may link, a larger one all distances to its pivots
-    wanted = both.where((F.col("point") != F.col("p")) & F.when(small, window & (F.col("root") != F.col("rp"))).otherwise(True))
-    pairs = wanted.select(F.least("point", "p").alias("a"), F.greatest("point", "p").alias("b")).distinct()
-    measured = keep(_measured(pairs, sets), "measured")
-    more = measured.where("linked").select("a", "b")
-    large = both.where(~small).join(pivots.select("region", F.col("p").alias("point")), ["region", "point"], "left_anti")
-    far = (large.withColumn("a", F.least("point", "p")).withColumn("b", F.greatest("point", "p"))
-           .join(measured.select("a", "b", F.col("d").alias("dist")), ["a", "b"]))
-    home = far.groupBy("region", "point").agg(F.min("dist").alias("home"))
-    cells = far.join(home, ["region", "point"]).where(F.col("dist") <= F.col("home") + 2 * RADIUS + 1e-9)
-    return more, cells.select(F.xxhash64("region", "p").alias("region"), "point", F.col("dist").alias("d"))
+    near = apart.where(small & window & (F.col("root") != F.col("rp"))).select(*pair).distinct()
+    far = apart.where(~small)
+    more = keep(_measured(near, found, docs).where("linked").select("a", "b"), "links")
+    if far.isEmpty():
+        return more, regions.select("region", "point", "low", "high").where("false")
+    all_ = keep(_measured(far.select(*pair).distinct(), found, docs, exact=True), "measured")
+    more = more.union(all_.where("linked").select("a", "b"))
+    left = far.join(pivots.select("region", F.col("p").alias("point")), ["region", "point"], "left_anti")
+    dist = left.withColumn("a", pair[0]).withColumn("b", pair[1]).join(all_.select("a", "b", F.col("low").alias("dist")), ["a", "b"])
+    home = dist.groupBy("region", "point").agg(F.min("dist").alias("home"))
+    cells = dist.join(home, ["region", "point"]).where(F.col("dist") <= F.col("home") + 2 * RADIUS + 1e-9)
+    return more, cells.select(F.xxhash64("region", "p").alias("region"), "point", F.col("dist").alias("low"), F.col("dist").alias("high"))
 
 
 def join(docs: DataFrame) -> DataFrame:
