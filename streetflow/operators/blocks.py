@@ -55,7 +55,7 @@ def _split_points(df: DataFrame, keys: list[str], order: Sequence[str], block_ro
                   counts: DataFrame) -> DataFrame | None:
     """One row per oversized group with its sorted split points, or None."""
     hot = stage(counts.filter(F.col("_n") > 2 * block_rows)
-                .withColumn("_blocks", F.ceil(F.col("_n") / block_rows).cast("int")))
+                .withColumn("_blocks", F.ceil(F.col("_n") / block_rows).cast("bigint")))
     hot_rows, blocks = hot.agg(F.sum("_n"), F.sum("_blocks")).first()
     if not hot_rows:
         return None
@@ -67,7 +67,7 @@ def _split_points(df: DataFrame, keys: list[str], order: Sequence[str], block_ro
     group = Window.partitionBy(*keys)
     place = F.floor(F.col("_rn") * F.col("_blocks") / F.col("_m"))
     before = F.floor((F.col("_rn") - 1) * F.col("_blocks") / F.col("_m"))
-    picked = (sample.withColumn("_rn", F.row_number().over(group.orderBy("_p")))
+    picked = (sample.withColumn("_rn", F.row_number().over(group.orderBy("_p")).cast("bigint"))
               .withColumn("_m", F.count(F.lit(1)).over(group))
               .filter((place > before) & (F.col("_rn") < F.col("_m"))))
     points = picked.groupBy(*keys).agg(F.array_sort(F.array_distinct(F.collect_list("_p"))).alias("_pts"))

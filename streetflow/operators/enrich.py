@@ -44,13 +44,13 @@ def with_images(labels: DataFrame, files: DataFrame) -> DataFrame:
     return labels.join(files.select("sequence", "frame"), ["sequence", "frame"], "left_semi")
 
 
-def partition_lag(ends: DataFrame, committed: DataFrame) -> DataFrame:
+def partition_lag(ends: DataFrame, committed: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """Lag per group, topic and partition; a missing or negative commit counts as 0.
 
-    `ends(topic, partition, end_offset)`, `committed(group, topic, partition, offset)`. Every
-    known group is listed for every partition of the topics it reads.
+    `ends(topic, partition, end_offset)`, `committed(group, topic, partition, offset)`. `groups(group, topic)` lists who reads what, so that a
+    group which never committed has its lag too; without it, groups are those with a commit.
     """
-    readers = committed.select("group", "topic").distinct()
+    readers = (committed if groups is None else groups).select("group", "topic").distinct()
     expected = ends.join(readers, "topic")
     joined = expected.join(committed, ["group", "topic", "partition"], "left")
     done = F.greatest(F.coalesce(F.col("offset"), F.lit(0)), F.lit(0))
@@ -59,6 +59,6 @@ def partition_lag(ends: DataFrame, committed: DataFrame) -> DataFrame:
             .select("group", "topic", "partition", "end_offset", "committed", "lag"))
 
 
-def consumer_lag(ends: DataFrame, committed: DataFrame) -> DataFrame:
+def consumer_lag(ends: DataFrame, committed: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """Total lag per group and topic."""
-    return partition_lag(ends, committed).groupBy("group", "topic").agg(F.sum("lag").alias("lag"))
+    return partition_lag(ends, committed, groups).groupBy("group", "topic").agg(F.sum("lag").alias("lag"))

@@ -205,7 +205,7 @@ def s12(spark, sf):
     ids = inputs.events(spark, sf).select("user_id").distinct().orderBy("user_id")
     ids = row_index(ids, ["user_id"], "sensor_index").withColumn("sensor_id", F.col("user_id").cast("string"))
     batch.build_sensor_metadata(spark, root, ["/nowhere.csv"], ids)
-    return explore(spark, root, "sensor_metadata", limit=2000).select("sensor_id", big("sensor_index"), six("lat"), six("lon"))
+    return explore(spark, root, "sensor_metadata", limit=None).select("sensor_id", big("sensor_index"), six("lat"), six("lon"))
 
 
 # --- streams ---------------------------------------------------------------------------------

@@ -28,7 +28,7 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_DIR, None) or sc.getConf().get(CHECKPOINT_DIR, None)
     folder = folder or sc.getCheckpointDir()
     if not folder:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="streetflow-")
     if sc.getCheckpointDir() is None:

@@ -7,6 +7,7 @@ replaces its folder, whatever it holds now, also when the repeated batch is empt
 
 from __future__ import annotations
 
+import hashlib
 import logging
 import time
 from collections.abc import Sequence
@@ -26,25 +27,39 @@ MAINTAINED_TABLES = ["sensor_speeds", "cv_vehicle_counts", "gps_trips", "speed_p
                      "rerouting_alerts", "dlq_sensors", "pipeline_latency"]
 
 
+# Batch numbers of one run of a writer.
+WRITER_BITS = 34
+
+
 def has_delta(spark: SparkSession) -> bool:
     return "DeltaSparkSessionExtension" in spark.conf.get("spark.sql.extensions", "")
 
 
+def _writer_base(app_id: str, run: str) -> int:
+    """First batch number of a writer's run on a Parquet table; the default writer without a run starts at 0."""
+    if (app_id, run) == ("streetflow", ""):
+        return 0
+    return (int(hashlib.sha256(f"{app_id}\n{run}".encode()).hexdigest()[:7], 16) + 1) << WRITER_BITS
+
+
 def append_once(df: DataFrame, path: str, batch_id: int, app_id: str = "streetflow",
-                partition_by: Sequence[str] = ()) -> None:
+                partition_by: Sequence[str] = (), run: str = "") -> None:
     """Append a batch so that appending it again changes nothing (K3, K4).
 
-    New columns are allowed; older rows then read as null. A Parquet table has one writer.
+    A batch is known by its writer `app_id`, the writer's `run` and its number, so writers and
+    runs, such as a stream on a new checkpoint, keep their rows apart. New columns are allowed;
+    older rows then read as null.
     Rows of a partitioned table are brought together by partition first, in pieces of the
     advisory size: otherwise every task would write a file into every partition.
     """
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     if has_delta(df.sparkSession):
-        (df.write.format("delta").mode("append").option("mergeSchema", "true").option("txnAppId", app_id)
+        (df.write.format("delta").mode("append").option("mergeSchema", "true").option("txnAppId", f"{app_id}-{run}" if run else app_id)
          .option("txnVersion", str(batch_id)).partitionBy(*partition_by).save(path))
     else:
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path.rstrip('/')}/{TXN}={int(batch_id)}")
+        txn = _writer_base(app_id, run) + int(batch_id)
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path.rstrip('/')}/{TXN}={txn}")
 
 
 def write_snapshot(df: DataFrame, path: str) -> None:
@@ -88,6 +103,14 @@ class _Folder:
     def batches(self) -> list[int]:
         return sorted(int(n.split("=")[1]) for n in self.names() if n.startswith(f"{TXN}="))
 
+    def layout(self, batch: int) -> list[str]:
+        """Partition columns of a batch, from the names of its folders."""
+        below, columns = [f"{TXN}={batch}"], []
+        while found := [n for n in self.names(*below) if "=" in n]:
+            columns.append(found[0].split("=")[0])
+            below.append(found[0])
+        return columns
+
     def mean_file_size(self, name: str) -> float:
         content = self.fs.getContentSummary(self.at(name))
         return content.getLength() / max(1, content.getFileCount())
@@ -108,7 +131,8 @@ def compact(spark: SparkSession, path: str, target_mb: int = 128, partition_by:
 
     Parquet: neighbouring batches of small files become one batch folder each; batches of files
     near the target size, such as the result of an earlier run, are left alone, and so are the
-    newest `keep_latest`, which a restarted stream may still repeat. A merged batch is written
+    newest `keep_latest` of each writer, which a restarted stream may still repeat. Partition
+    columns are those of the folders unless named. A merged batch is written
     aside first; then the old folders move to `_superseded`, and it takes their place. A run
     that was cut off is finished by the next. Rows keep their columns, `batch_id` too.
     """
@@ -122,17 +146,23 @@ def compact(spark: SparkSession, path: str, target_mb: int = 128, partition_by:
         else:
             folder.fs.delete(folder.at(STAGING, span), True)
     batches = folder.batches()
-    closed = batches[:-keep_latest] if keep_latest else batches
+    writers: dict[int, list[int]] = {}
+    for batch in batches:
+        writers.setdefault(batch >> WRITER_BITS, []).append(batch)
+    newest = {b for own in writers.values() for b in own[len(own) - keep_latest:]} if keep_latest else set()
     target = target_mb * 1024 * 1024
     runs: list[list[int]] = [[]]
-    for batch in closed:
+    for batch in (b for b in batches if b not in newest):
+        layout = folder.layout(batch)
+        if runs[-1] and (runs[-1][-1] >> WRITER_BITS != batch >> WRITER_BITS or folder.layout(runs[-1][-1]) != layout):
+            runs.append([])
         if folder.mean_file_size(f"{TXN}={batch}") < target / 2:
             runs[-1].append(batch)
         elif runs[-1]:
             runs.append([])
     runs = [run for run in runs if len(run) > 1]
     for run in runs:
-        _merge(spark, folder, run, target, partition_by)
+        _merge(spark, folder, run, target, partition_by or folder.layout(run[0]))
     return bool(runs)
 
 

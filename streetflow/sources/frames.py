@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from streetflow.functions.media import box_line, camera_of
 from streetflow.operators.windows import first_of_groups
 
-# At most this many file names go through the driver.
-LISTED_FILES = 10_000
 # Default frame size, image pattern, layout of an annotation document.
 FRAME_WIDTH, FRAME_HEIGHT = 960, 540
 IMAGE_NUMBER = r"img(\d+)\.jpg$"
@@ -35,8 +33,7 @@ def read_frames(spark: SparkSession, root: str, cameras: int, frames: int, layou
 
     Layout "sequences": one folder per camera. Layout "flat": the camera is part of the file
     name, and the first `cameras * frames` files by name are taken. Names are chosen before
-    any content is read. Up to LISTED_FILES chosen files are opened by name; beyond that the
-    contents come in by a join on the path.
+    any content is kept: contents come in by a join on the path, so names may hold any character.
     """
     listed = list_images(spark, root)
     if layout == "flat":
@@ -44,11 +41,8 @@ def read_frames(spark: SparkSession, root: str, cameras: int, frames: int, layou
                   .orderBy("frame_id", "path").limit(cameras * frames))
     else:
         chosen = first_of_groups(listed, "camera_id", ["frame_id", "path"], cameras, frames)
-    paths = [r.path for r in chosen.select("path").limit(LISTED_FILES + 1).collect()] if cameras * frames <= LISTED_FILES else None
     reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.jpg").option("recursiveFileLookup", "true")
-    if paths == []:
-        return chosen.select("camera_id", "frame_id", F.lit(None).cast("string").alias("frame_b64"))
-    contents = reader.load(root if paths is None else paths).select("path", "content")
+    contents = reader.load(root).select("path", "content")
     return chosen.join(contents, "path").select("camera_id", "frame_id", F.base64("content").alias("frame_b64"))
 
 

@@ -86,7 +86,7 @@ def load_static(spark: SparkSession, path: str) -> DataFrame | None:
     return df
 
 
-def explore(spark: SparkSession, root: str, name: str, limit: int = 200) -> DataFrame:
+def explore(spark: SparkSession, root: str, name: str, limit: int | None = 200) -> DataFrame:
     """Raw rows of a table of the catalogue."""
     if name not in EXPLORER_TABLES:
         raise ValueError(f"unknown table {name!r}")

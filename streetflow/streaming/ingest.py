@@ -64,12 +64,17 @@ def feed_rows(messages: DataFrame, feed: Feed) -> DataFrame:
     return rows
 
 
+def stream_run(batch: DataFrame) -> str:
+    """The id of the stream that a batch belongs to: kept by its checkpoint, another on a new one; empty outside streams."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+
+
 def start_append(df: DataFrame, path: str, checkpoint: str, every: str | None = None,
                  partition_by: Sequence[str] = (), app_id: str = "streetflow") -> StreamingQuery:
     """Append a stream to a table, one replayable batch at a time."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_once(batch, path, batch_id, app_id, partition_by)
+        append_once(batch, path, batch_id, app_id, partition_by, stream_run(batch))
 
     return df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**_trigger(every)).start()
 
@@ -118,7 +123,7 @@ def write_batch(outputs: dict[str, tuple[DataFrame, Sequence[str]]], root: str,
     for name, (df, partition_by) in outputs.items():
         seen = Observation()
         append_once(df.observe(seen, F.count(F.lit(1)).alias("n")), f"{root.rstrip('/')}/{name}", batch_id,
-                    f"stream-sensors-{name}", partition_by)
+                    f"stream-sensors-{name}", partition_by, stream_run(df))
         counts[name] = seen.get["n"]
     return counts
 
@@ -146,7 +151,7 @@ def sensor_batch(root: str, paths: DataFrame | None, threshold: float = CONGESTI
             outputs = sensor_outputs(batch, paths, batch_id, threshold, distinct_invalid, rows <= FEW_ROWS)
             counts = write_batch(outputs, root, batch_id)
             summary = batch_summary(batch, SENSOR_TOPIC, batch_id, counts, time.time() - started)
-            append_once(summary.coalesce(1), f"{root.rstrip('/')}/pipeline_latency", batch_id, "stream-sensors-latency")
+            append_once(summary.coalesce(1), f"{root.rstrip('/')}/pipeline_latency", batch_id, "stream-sensors-latency", run=stream_run(batch))
         finally:
             batch.unpersist()
 

@@ -69,8 +69,12 @@ class RecentSpeeds(StatefulProcessor):
         out = {"sensor_id": key[0], "ts": now["ts"].to_numpy()[first:], "speed": speeds[place]}
         for name, back in LAGS.items():
             out[name] = speeds[place - back]
-        out["rolling_mean_30min"] = np.mean([speeds[place - i] for i in range(1, ROLLING_ROWS + 1)], axis=0)
-        yield pd.DataFrame(out)
+        # as in batch: means leave missing speeds out, readings with a missing feature are dropped
+        recent = np.array([speeds[place - i] for i in range(1, ROLLING_ROWS + 1)])
+        known = ~np.isnan(recent)
+        with np.errstate(invalid="ignore"):
+            out["rolling_mean_30min"] = np.where(known, recent, 0).sum(axis=0) / known.sum(axis=0)
+        yield pd.DataFrame(out).dropna(subset=[*LAGS, "rolling_mean_30min"])
 
     def close(self) -> None:
         pass

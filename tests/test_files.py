@@ -83,11 +83,13 @@ def test_frames_of_sequences(spark, images):
                     ("MVI_2", "img00001.jpg"): "MVI_2/img00001.jpg"}
 
 
-def test_frames_by_join_are_the_same(spark, images, monkeypatch):
-    named = frames.read_frames(spark, images, 2, 2)
-    monkeypatch.setattr(frames, "LISTED_FILES", 3)
-    joined = frames.read_frames(spark, images, 2, 2)
-    assert sorted(named.collect()) == sorted(joined.collect()) and named.count() == 3
+def test_frames_of_folders_with_special_names(spark, tmp_path):
+    for folder in ("cam[1]", "cam*", "cam"):
+        (tmp_path / folder).mkdir()
+        for n in range(2):
+            (tmp_path / folder / f"img0000{n}.jpg").write_bytes(f"{folder}{n}".encode())
+    found = frames.read_frames(spark, str(tmp_path), 3, 2)
+    assert found.count() == 6 and found.select("frame_b64").distinct().count() == 6
 
 
 def test_frames_of_a_flat_folder(spark, tmp_path):
@@ -231,3 +233,30 @@ def test_keyed_json_comes_back(spark):
     back = decode(sent, df.schema)
     assert back.collect() == df.collect()
     assert sink.to_keyed_json(df).first().key is None
+
+
+def test_writers_and_runs_keep_their_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sink.append_once(day_rows(spark, 3), path, 0, "app-a")
+    for _ in range(2):
+        sink.append_once(day_rows(spark, 4), path, 0, "app-b")
+    sink.append_once(day_rows(spark, 5), path, 0, "app-b", run="second checkpoint")
+    assert tables.load_table(spark, path).count() == 12
+
+
+def test_a_new_checkpoint_keeps_stored_rows(spark, tmp_path):
+    from streetflow.sources.streams import stream_source
+    from streetflow.streaming.ingest import start_append
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("x\ny\n")
+    for ckpt in ("c1", "c2", "c2"):
+        start_append(stream_source(spark, "text", str(tmp_path / "in")), str(tmp_path / "t"), str(tmp_path / ckpt)).awaitTermination()
+    assert tables.load_table(spark, str(tmp_path / "t")).count() == 4
+
+
+def test_maintain_keeps_day_tables_readable(spark, tmp_path):
+    path = str(tmp_path / "sensor_speeds")
+    for batch in range(4):
+        sink.append_once(day_rows(spark, 6), path, batch, partition_by=("event_date",))
+    assert sink.maintain(spark, str(tmp_path), ["sensor_speeds"]) == {"sensor_speeds": "compacted"}
+    assert tables.load_table(spark, path).count() == 24
