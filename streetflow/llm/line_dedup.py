@@ -159,14 +159,14 @@ def removed_lines(docs: DataFrame) -> DataFrame:
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """The documents without the removed lines, with n_lines and n_removed."""
-    gone = (removed_lines(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("number").alias("_gone")))
-    rows = docs.drop("n_lines", "n_removed").join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    gone = (removed_lines(docs).groupBy(F.col("doc_id").alias("__dedup_id")).agg(F.collect_set("number").alias("__dedup_gone")))
+    rows = docs.drop("n_lines", "n_removed").join(gone, F.col("doc_id").eqNullSafe(F.col("__dedup_id")), "left")
     lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_gone", i)), "\n")
+    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("__dedup_gone", i)), "\n")
     return (rows.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("bigint"))
-            .withColumn("n_removed", F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint"))
+            .withColumn("n_removed", F.coalesce(F.size("__dedup_gone"), F.lit(0)).cast("bigint"))
             .withColumn("n_removed", F.greatest("n_removed", F.lit(0)))
-            .withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left)).drop("_id", "_gone"))
+            .withColumn("text", F.when(F.col("__dedup_gone").isNull(), F.col("text")).otherwise(left)).drop("__dedup_id", "__dedup_gone"))
 
 
 @query("op3_line_dedup")
