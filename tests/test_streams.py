@@ -222,3 +222,12 @@ def test_kafka_source_needs_its_package(spark):
         stream_source(spark, "kafka", "localhost:1", "topic_sensors", 5000)
     with pytest.raises(ValueError):
         stream_source(spark, "carrier pigeon", "x")
+
+
+def test_a_missing_speed_gives_the_same_features_as_in_batch(spark, tmp_path):
+    df = readings(spark).withColumn("speed", F.when(F.col("id") % 50 != 49, F.col("speed")))
+    send(spark, tmp_path / "in", df)
+    got = collect(spark, state.stream_features(decode(stream_source(spark, "text", str(tmp_path / "in")), READING), "id"), tmp_path)
+    want = shown(speed_features(df, order=("ts", "id")))
+    assert got.count() == want.count() < 3 * 28
+    assert shown(got).exceptAll(want).count() == 0
