@@ -9,18 +9,22 @@ Equal sets are one point. In this space almost all points lie at distance 1 from
 pivots are set where neighbours are: RADIUS bounds how many shingles two linked sets can differ
 in; with two more parts than that, cut by shingle hash, linked sets agree in two parts or more, so
 they meet in a region, the points that agree in one part. (A set with two or more empty parts meets
-others like it by the rarest-hash prefix of its shingles instead.) Each region takes its least
-point as pivot and measures every other point's distance to it.
-
-Points within RADIUS of a pivot link with it. The rest need comparing only where a region still
-has several components, and by the triangle inequality only points whose distances to the pivot
-differ by at most RADIUS. Such regions recurse: points outside the region's largest component
-become pivots, all of them if they are few, else a share; other points go to the Voronoi cell of
-their nearest pivot and, as boundary points, to every cell whose pivot is at most 2 * RADIUS
-farther. Each round settles its pivots, so regions end; no pairs within a component are formed.
+others like it by the rarest-hash prefix of its shingles instead.) Each region takes as pivot
+the point that shares most of its parts with others, the core of a group of copies if there is one,
+and the regions of one pivot form its cell. Every point's distance to its pivots is measured.
+
+Points within RADIUS of a pivot link with it. The rest need comparing only where a cell still has
+several components, and of two linked points of different components one at least lies beyond RADIUS.
+Few points of a cell are compared where their distances to the pivot differ by at most RADIUS, by the
+triangle inequality. Many near the pivot, and still more far from it, are divided by what they differ in from it: the
+inequality, counted in shingles, says how many of its differences a point must share with any other that
+it may link with, so both meet at one of the first few differences, shingles that the pivot lacks coming
+first. Points that meet so make the next regions, whose pivots are their points nearest to the old
+pivot; boundary points stand in several. A pivot is in no region of its own cell, so cells shrink until
+none is open; no pairs within a component are formed.
 
 A distance is measured in two steps. A sketch holds one byte for each of about as many cells of the
-hash space as the set has shingles, the sum of what falls in it; two sets differ in at least as
+hash space as the set has shingles (half as many for large sets), the sum of what falls in it; two sets differ in at least as
 many shingles as their sketches differ in cells. Where that bound already exceeds RADIUS it is
 used as the distance's lower bound; the shingles themselves are fetched for the other pairs only.
 
@@ -45,8 +49,12 @@ from streetflow.llm.textscan import Slice, batch, lists, mix, signed, slices
 SHINGLE = 3
 PERCENT = 90
 RADIUS = 1 - PERCENT / 100
-#: A region with this many points outside its largest component is settled in one round.
-FEW = 256
+#: Points nearer to their pivot than NEAR are compared in pairs if the cell has at most FEW of them (AGAIN once it was divided),
+#: others if it has at most MANY.
+NEAR = 0.5
+FEW = 32
+AGAIN = 128
+MANY = 256
 
 POINT = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("point", pa.int64())])
 MEETING = pa.schema([("region", pa.int64()), ("point", pa.int64())])
@@ -94,11 +102,11 @@ class _Sets:
         self.point = mix(sums[self.first[1:]] - sums[self.first[:-1]] + sizes.astype(np.uint64))
 
     def sketches(self, chosen: np.ndarray) -> list[bytes]:
-        """Per text the sums modulo 256 over 2**k cells of its hash space, k being the logarithm of its size."""
+        """Per text the sums modulo 256 over 2**k cells of its hash space, about as many as its size, half for 512 or more."""
         out = []
         for i in chosen:
             grams = self.parts[i]
-            k = int(self.n[i]).bit_length() - 1
+            k = int(self.n[i]).bit_length() - (1 if self.n[i] < 512 else 2)
             cells = (grams >> np.uint64(64 - k)).astype(np.int64) if k else np.zeros(len(grams), np.int64)
             sums = np.bincount(cells, ((mix(grams) & np.uint64(255)) | np.uint64(1)).astype(np.float64), 1 << k)
             out.append((sums.astype(np.int64) & 255).astype(np.uint8).tobytes())
@@ -156,7 +164,7 @@ def _meetings(batches):
 
 
 def members(docs: DataFrame) -> DataFrame:
-    """(point, regions, grams) of the points that share a region with another point."""
+    """(point, regions, n, sketch) of the points that share a region with another point."""
     counts = (map_arrow(docs.select("text"), _meetings, MEETING).groupBy("region")
               .agg(F.min("point").alias("a"), F.max("point").alias("b")).where("a <> b").select("region"))
     sent = docs.sparkSession.sparkContext.broadcast(marks(counts))
@@ -211,82 +219,118 @@ def _bounds(batches):
         yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(low, pa.float64()), pa.array(may, pa.bool_())], schema=BOUND)
 
 
-def _measured(pairs: DataFrame, found: DataFrame, docs: DataFrame, exact: bool = False) -> DataFrame:
-    """pairs(a, b) with bounds low and high of their distance, and whether they link; exact: no bound will do."""
-    one, two = (found.select(F.col("point").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in "ab")
-    bounds = keep(map_arrow(pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "sa", "sb"), _bounds, BOUND), "bounds")
-    asked = bounds if exact else bounds.where("may_link")
-    sets = grams_of(docs, asked.select("a").union(asked.select("b")))
+def _exact(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """pairs(a, b) with their distance as low and high, and whether they link."""
     both = F.size(F.array_intersect("ga", "gb"))
     either = F.size("ga") + F.size("gb") - both
     d = 1 - both / either
-    sure = (asked.select("a", "b").join(sets.select(F.col("point").alias("a"), F.col("grams").alias("ga")), "a")
+    return (pairs.join(sets.select(F.col("point").alias("a"), F.col("grams").alias("ga")), "a")
             .join(sets.select(F.col("point").alias("b"), F.col("grams").alias("gb")), "b")
             .select("a", "b", d.alias("low"), d.alias("high"), (100 * both >= PERCENT * either).alias("linked")))
-    if exact:
-        return sure
+
+
+def _measured(pairs: DataFrame, found: DataFrame, docs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
+    """pairs(a, b) with bounds low and high of their distance, and whether they link; sets: their shingles, if at hand."""
+    one, two = (found.select(F.col("point").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in "ab")
+    bounds = keep(map_arrow(pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "sa", "sb"), _bounds, BOUND), "bounds")
+    asked = bounds.where("may_link").select("a", "b")
+    sure = _exact(asked, grams_of(docs, asked.select("a").union(asked.select("b"))) if sets is None else sets)
     return sure.union(bounds.where("not may_link").select("a", "b", "low", F.lit(1.0).alias("high"), F.lit(False).alias("linked")))
 
 
 def links(docs: DataFrame) -> DataFrame:
     """(v, root) of all points that link with another; root names their component."""
     found = keep(members(docs), "members")
-    meet = keep(found.select(F.explode("regions").alias("region"), "point"), "meetings")
-    pivots = meet.groupBy("region").agg(F.min("point").alias("pivot"), F.max("point").alias("last")).where("pivot <> last").drop("last")
-    near = keep(meet.join(pivots, "region"), "near")
-    first = keep(_measured(near.where("point <> pivot").select(F.col("point").alias("a"), F.col("pivot").alias("b")).distinct(), found, docs), "measured")
-    linked = first.where("linked").select("a", "b")
-    roots = components(linked)
-    d = first.select(F.col("a").alias("point"), F.col("b").alias("pivot"), "low", "high")
-    open_ = near.join(d, ["point", "pivot"], "left").select("region", "point", *(F.coalesce(c, F.lit(0.0)).alias(c) for c in ("low", "high")))
+    meet = keep(found.select(F.lit(0).cast("bigint").alias("parent"), F.explode("regions").alias("region"), "point",
+                             (-F.size("regions")).alias("rank")), "meetings")
+    linked = roots = sets = None
     while True:
-        open_ = keep(_open(open_, roots), "open")
-        if open_.isEmpty():
-            return roots
-        more, open_ = _settle(open_, found, docs)
-        linked = keep(linked.union(more), "linked")
+        cells = _cells(meet)
+        d = keep(_measured(_asked(cells), found, docs, sets), "measured")
+        more = d.where("linked").select("a", "b")
+        linked = more if linked is None else linked.union(more)
         roots = components(linked)
+        open_ = keep(_open(cells, d, roots), "open")
+        few = FEW if sets is None else max(FEW, AGAIN)
+        pairs = _pairs(open_, few)
+        if not pairs.isEmpty():
+            linked = linked.union(keep(_measured(pairs, found, docs, sets).where("linked").select("a", "b"), "links"))
+            roots = components(linked)
+        large = open_.where(f"far_n > {MANY} or (near_n > {few} and near)")
+        if large.isEmpty():
+            return roots
+        if sets is None:
+            sets = keep(grams_of(docs, large.select("point").union(large.select("pivot"))), "sets")
+        meet = _divided(large, roots, sets)
+
+
+def _cells(meet: DataFrame) -> DataFrame:
+    """(cell, pivot, point): regions with the same pivot and parent in one, the pivot itself left out."""
+    pivots = (meet.groupBy("parent", "region").agg(F.min(F.struct("rank", "point")).alias("first"), F.min("point").alias("low"), F.max("point").alias("high"))
+              .where("low <> high").select("parent", "region", F.col("first.point").alias("pivot")))
+    rows = meet.join(pivots, ["parent", "region"]).where("point <> pivot").select("parent", "pivot", "point").distinct()
+    return keep(rows.select(F.xxhash64("parent", "pivot").alias("cell"), "pivot", "point"), "cells")
+
+
+def _asked(cells: DataFrame) -> DataFrame:
+    return cells.select(F.col("point").alias("a"), F.col("pivot").alias("b")).distinct()
+
+
+def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """rows with the components of their point and their pivot as root and main."""
+    for point, name in (("point", "root"), ("pivot", "main")):
+        rows = rows.join(roots.select(F.col("v").alias(point), F.col("root").alias(name)), point, "left").withColumn(name, F.coalesce(name, point))
+    return rows
+
+
+def _open(cells: DataFrame, d: DataFrame, roots: DataFrame) -> DataFrame:
+    """(cell, pivot, point, low, high, root, main, near, near_n, far_n) of the cells with several components; n: so many points."""
+    d = d.select(F.col("a").alias("point"), F.col("b").alias("pivot"), "low", "high", (F.col("low") <= NEAR).alias("near"))
+    rows = _rooted(cells, roots).join(d, ["point", "pivot"])
+    counts = (rows.groupBy("cell").agg(F.count_if("near").alias("near_n"), F.count_if(~F.col("near")).alias("far_n"),
+                                       F.max(F.col("root") != F.col("main")).alias("several"))
+              .where("several and near_n + far_n > 1").drop("several"))
+    return rows.join(counts, "cell").select("cell", "pivot", "point", "low", "high", "root", "main", "near", "near_n", "far_n")
 
 
-def _open(regions: DataFrame, roots: DataFrame) -> DataFrame:
-    """(region, point, low, high, root, main, outside) of the regions with several components; of equal regions one is kept."""
-    rows = regions.join(roots.withColumnRenamed("v", "point"), "point", "left").withColumn("root", F.coalesce("root", "point"))
-    parts = rows.groupBy("region", "root").agg(F.count("*").alias("n"), F.sum(F.xxhash64("point", F.round("low", 9)).cast("decimal(20,0)")).alias("s"))
-    whole = (parts.groupBy("region").agg(F.sum("n").alias("k"), F.max(F.struct("n", "root")).alias("m"), F.sum("s").alias("s"), F.count("*").alias("c"))
-             .where("c > 1"))
-    one = whole.groupBy("k", "s").agg(F.min(F.struct("region", "m")).alias("r"))
-    kept = one.select(F.col("r.region").alias("region"), F.col("r.m.root").alias("main"), (F.col("k") - F.col("r.m.n")).alias("outside"))
-    return rows.join(kept, "region").select("region", "point", "low", "high", "root", "main", "outside")
-
-
-def _settle(regions: DataFrame, found: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """New links (a, b) of this round's pivots, and the regions that remain."""
-    share = F.when(F.col("outside") <= FEW, 1.0).otherwise(2 * F.sqrt("outside") / F.col("outside"))
-    # points are hashes: their own order is a random one
-    draw = (F.xxhash64("point", "region") / float(2**64) + 0.5) < share
-    outer = regions.where("root <> main")
-    least = outer.groupBy("region").agg(F.min("point").alias("least"))
-    pivots = keep(outer.join(least, "region").where(draw | (F.col("point") == F.col("least")))
-                  .select("region", F.col("point").alias("p"), F.col("low").alias("low_p"), F.col("high").alias("high_p"), F.col("root").alias("rp")), "pivots")
-    both = regions.join(pivots, "region")
+def _pairs(cells: DataFrame, few: int) -> DataFrame:
+    """Pairs (a, b) that may link and join two components, of near points where they are few, and with far points where these are."""
+    other = cells.select("cell", F.col("near").alias("near_p"), F.col("point").alias("p"), F.col("low").alias("low_p"), F.col("high").alias("high_p"),
+                         F.col("root").alias("root_p"))
     reach = RADIUS + 1e-9
-    window = (F.col("low") <= F.col("high_p") + reach) & (F.col("low_p") <= F.col("high") + reach)
-    small = F.col("outside") <= FEW
+    may = (F.col("low") <= F.col("high_p") + reach) & (F.col("low_p") <= F.col("high") + reach) & (F.col("root") != F.col("root_p"))
+    near = cells.where((F.col("near_n") <= few) & F.col("near")).join(other.where("near_p"), "cell").where(may & (F.col("point") < F.col("p")))
+    far = (cells.where((F.col("far_n") <= MANY) & ~F.col("near")).join(other, "cell")
+           .where(may & (F.col("near_p") | (F.col("point") < F.col("p")))))
     pair = [F.least("point", "p").alias("a"), F.greatest("point", "p").alias("b")]
-    apart = both.where(F.col("point") != F.col("p"))
-    # a region settled now needs only pairs that may link, a larger one all distances to its pivots
-    near = apart.where(small & window & (F.col("root") != F.col("rp"))).select(*pair).distinct()
-    far = apart.where(~small)
-    more = keep(_measured(near, found, docs).where("linked").select("a", "b"), "links")
-    if far.isEmpty():
-        return more, regions.select("region", "point", "low", "high").where("false")
-    all_ = keep(_measured(far.select(*pair).distinct(), found, docs, exact=True), "measured")
-    more = more.union(all_.where("linked").select("a", "b"))
-    left = far.join(pivots.select("region", F.col("p").alias("point")), ["region", "point"], "left_anti")
-    dist = left.withColumn("a", pair[0]).withColumn("b", pair[1]).join(all_.select("a", "b", F.col("low").alias("dist")), ["a", "b"])
-    home = dist.groupBy("region", "point").agg(F.min("dist").alias("home"))
-    cells = dist.join(home, ["region", "point"]).where(F.col("dist") <= F.col("home") + 2 * RADIUS + 1e-9)
-    return more, cells.select(F.xxhash64("region", "p").alias("region"), "point", F.col("dist").alias("low"), F.col("dist").alias("high"))
+    return keep(near.select(*pair).union(far.select(*pair)).distinct(), "pairs")
+
+
+def _divided(cells: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+    """(parent, region, point, rank): the regions of points that share a difference from their pivot.
+
+    Linked sets of n and m shingles differ in at most (n + m) / 19, and in at most n / 9. Let them
+    differ from a pivot of k shingles in d and e. They then share at least (d + e - (n + m) / 19) / 2
+    of these differences, so at least d - n / 9. If the second does not link with the pivot,
+    e > (m + k) / 19, and they share more than (19 d - n + k) / 38. A point of the pivot's component
+    need meet only such seconds, and so takes fewer differences than a point outside, whose
+    further ones count only in regions with a point of the pivot's component.
+    """
+    rows = _rooted(cells.select("cell", "pivot", "point"), roots)
+    sides = (rows.join(sets.withColumnRenamed("grams", "gx"), "point")
+             .join(sets.select(F.col("point").alias("pivot"), F.col("grams").alias("gp")), "pivot")
+             .select("cell", "point", "root", (F.col("root") != F.col("main")).alias("outside"), F.size("gx").alias("n"), F.size("gp").alias("k"),
+                     F.concat(F.array_sort(F.array_except("gx", "gp")), F.array_sort(F.array_except("gp", "gx"))).alias("differ")))
+    shared = F.greatest(F.lit(1), F.expr("d - n div 9"))
+    sides = (sides.withColumn("d", F.size("differ")).withColumn("any", F.col("d") - shared + 1)
+             .withColumn("far", F.least("any", F.expr("d - (19L * d - n + k) div 38"))))
+    firsts = F.slice("differ", F.lit(1), F.when(F.col("outside"), F.col("any")).otherwise(F.col("far")).cast("int"))
+    rows = sides.select("cell", "point", "root", "outside", "d", "far", F.posexplode(firsts).alias("at", "gram"))
+    rows = keep(rows.select(F.col("cell").alias("parent"), F.xxhash64("cell", "gram").alias("region"), "point", "root", F.col("d").alias("rank"),
+                            "outside", (F.col("outside") & (F.col("at") >= F.col("far"))).alias("further")), "differences")
+    used = (rows.groupBy("parent", "region").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.min("outside").alias("all_outside"))
+            .where("a <> b").select("parent", "region", "all_outside"))
+    return keep(rows.join(used, ["parent", "region"]).where("not (further and all_outside)").select("parent", "region", "point", "rank"), "meetings")
 
 
 def join(docs: DataFrame) -> DataFrame:
