@@ -23,7 +23,8 @@ first. Points that meet so make the next regions, whose pivots are their points
 pivot; boundary points stand in several. A pivot is in no region of its own cell, so cells shrink until
 none is open; no pairs within a component are formed.
 
-A distance is measured in two steps. A sketch holds one byte for each of about as many cells of the
+A distance is measured in steps. Bitmaps of fixed size, which hold the parity of what falls in each place, rule out most
+pairs of a cell in the join that forms them. A sketch holds one byte for each of about as many cells of the
 hash space as the set has shingles (half as many for large sets), the sum of what falls in it; two sets differ in at least as
 many shingles as their sketches differ in cells. Where that bound already exceeds RADIUS it is
 used as the distance's lower bound; the shingles themselves are fetched for the other pairs only.
@@ -49,16 +50,17 @@ from streetflow.llm.textscan import Slice, batch, lists, mix, signed, slices
 SHINGLE = 3
 PERCENT = 90
 RADIUS = 1 - PERCENT / 100
-#: Points nearer to their pivot than NEAR are compared in pairs if the cell has at most FEW of them (AGAIN once it was divided),
-#: others if it has at most MANY.
+#: Points nearer to their pivot than NEAR are compared in pairs if the cell has at most FEW of them, others if it has at most MANY.
 NEAR = 0.5
-FEW = 32
-AGAIN = 128
+FEW = 128
 MANY = 256
+#: Bitmaps of 64 bits that tell most pairs apart before their sketches are compared.
+MAPS = [f"map{i}" for i in range(8)]
 
 POINT = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("point", pa.int64())])
 MEETING = pa.schema([("region", pa.int64()), ("point", pa.int64())])
-MEMBER = pa.schema([("point", pa.int64()), ("regions", pa.list_(pa.int64())), ("n", pa.int64()), ("sketch", pa.binary())])
+MEMBER = pa.schema([("point", pa.int64()), ("regions", pa.list_(pa.int64())), ("n", pa.int64()), ("sketch", pa.binary()),
+                    *((c, pa.int64()) for c in MAPS)])
 GRAMS = pa.schema([("point", pa.int64()), ("grams", pa.list_(pa.int64()))])
 BOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("low", pa.float64()), ("may_link", pa.bool_())])
 
@@ -112,6 +114,15 @@ class _Sets:
             out.append((sums.astype(np.int64) & 255).astype(np.uint8).tobytes())
         return out
 
+    def maps(self, chosen: np.ndarray) -> np.ndarray:
+        """Per text, for each place of its bitmaps, whether an odd number of its shingles falls there."""
+        places = 64 * len(MAPS)
+        out = np.zeros((len(chosen), places // 8), np.uint8)
+        for row, i in enumerate(chosen):
+            at = (mix(self.parts[i]) >> np.uint64(32)) % np.uint64(places)
+            out[row] = np.packbits(np.bincount(at.astype(np.int64), minlength=places) & 1)
+        return out.view(np.int64)
+
     def regions(self) -> tuple[np.ndarray, np.ndarray]:
         """(region, text) of every part that a text may agree in with a linked one."""
         band = np.searchsorted(_BOUNDS, self.n, "right") - 1
@@ -179,10 +190,10 @@ def members(docs: DataFrame) -> DataFrame:
                 order = np.argsort(texts, kind="stable")
                 chosen, n = np.unique(texts, return_counts=True)
                 yield batch(MEMBER, signed(found.point[chosen]), lists(signed(keys[order]), np.concatenate([[0], np.cumsum(n)]), pa.int64()),
-                            found.n[chosen], found.sketches(chosen))
+                            found.n[chosen], found.sketches(chosen), *found.maps(chosen).T)
 
     rows = map_arrow(docs.select("text"), work, MEMBER)
-    return rows.groupBy("point").agg(*(F.first(c).alias(c) for c in ("regions", "n", "sketch")))
+    return rows.groupBy("point").agg(*(F.first(c).alias(c) for c in ("regions", "n", "sketch", *MAPS)))
 
 
 def grams_of(docs: DataFrame, points: DataFrame) -> DataFrame:
@@ -251,12 +262,11 @@ def links(docs: DataFrame) -> DataFrame:
         linked = more if linked is None else linked.union(more)
         roots = components(linked)
         open_ = keep(_open(cells, d, roots), "open")
-        few = FEW if sets is None else max(FEW, AGAIN)
-        pairs = _pairs(open_, few)
+        pairs = _pairs(open_, found)
         if not pairs.isEmpty():
             linked = linked.union(keep(_measured(pairs, found, docs, sets).where("linked").select("a", "b"), "links"))
             roots = components(linked)
-        large = open_.where(f"far_n > {MANY} or (near_n > {few} and near)")
+        large = open_.where(f"far_n > {MANY} or (near_n > {FEW} and near)")
         if large.isEmpty():
             return roots
         if sets is None:
@@ -293,16 +303,23 @@ def _open(cells: DataFrame, d: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(counts, "cell").select("cell", "pivot", "point", "low", "high", "root", "main", "near", "near_n", "far_n")
 
 
-def _pairs(cells: DataFrame, few: int) -> DataFrame:
-    """Pairs (a, b) that may link and join two components, of near points where they are few, and with far points where these are."""
-    other = cells.select("cell", F.col("near").alias("near_p"), F.col("point").alias("p"), F.col("low").alias("low_p"), F.col("high").alias("high_p"),
-                         F.col("root").alias("root_p"))
+def _pairs(cells: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs (a, b) that may link and join two components, of near points where they are few, and with far points where these are.
+
+    A place of the bitmaps in which two sets disagree holds a shingle that only one of them has, and linked
+    sets of n and m shingles differ in at most (n + m) / 19; large sets disagree in fewer places and go on to the sketches.
+    """
+    cells = keep(cells.where(f"near_n <= {FEW} or far_n <= {MANY}").join(found.select("point", "n", *MAPS), "point"), "compared")
+    carried = ["near", "point", "low", "high", "root", "n", *MAPS]
+    other = cells.select("cell", *(F.col(c).alias(f"{c}_p") for c in carried))
     reach = RADIUS + 1e-9
-    may = (F.col("low") <= F.col("high_p") + reach) & (F.col("low_p") <= F.col("high") + reach) & (F.col("root") != F.col("root_p"))
-    near = cells.where((F.col("near_n") <= few) & F.col("near")).join(other.where("near_p"), "cell").where(may & (F.col("point") < F.col("p")))
+    differ = " + ".join(f"bit_count({c} ^ {c}_p)" for c in MAPS)
+    may = ((F.col("low") <= F.col("high_p") + reach) & (F.col("low_p") <= F.col("high") + reach) & (F.col("root") != F.col("root_p"))
+           & F.expr(f"{differ} <= ({100 - PERCENT} * (n + n_p)) div {100 + PERCENT}"))
+    near = cells.where((F.col("near_n") <= FEW) & F.col("near")).join(other.where("near_p"), "cell").where(may & (F.col("point") < F.col("point_p")))
     far = (cells.where((F.col("far_n") <= MANY) & ~F.col("near")).join(other, "cell")
-           .where(may & (F.col("near_p") | (F.col("point") < F.col("p")))))
-    pair = [F.least("point", "p").alias("a"), F.greatest("point", "p").alias("b")]
+           .where(may & (F.col("near_p") | (F.col("point") < F.col("point_p")))))
+    pair = [F.least("point", "point_p").alias("a"), F.greatest("point", "point_p").alias("b")]
     return keep(near.select(*pair).union(far.select(*pair)).distinct(), "pairs")
 
 
