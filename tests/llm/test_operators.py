@@ -147,6 +147,15 @@ def test_paraphrases_are_found(spark):
     assert {(r.doc_id, r.item_id) for r in found.collect()} == {(50, 1), (51, 1)}
 
 
+def test_copies_of_many_items_are_found(spark):
+    draw = random.Random(13)
+    words = [f"v{i}" for i in range(3000)]
+    items = [" ".join(draw.choices(words, k=draw.randint(15, 59))) for _ in range(1100)]
+    docs = [(i, " ".join([*draw.choices(words, k=80), text, *draw.choices(words, k=80)])) for i, text in enumerate(items)]
+    found = latent_leaks.find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(i, i) for i in range(1100)}
+
+
 def test_quality_measures(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}
