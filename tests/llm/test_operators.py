@@ -156,6 +156,22 @@ def test_copies_of_many_items_are_found(spark):
     assert {(r.doc_id, r.item_id) for r in found.collect()} == {(i, i) for i in range(1100)}
 
 
+@pytest.mark.parametrize("size", [5, 8, 160, 300])
+def test_copies_of_short_and_long_items_are_found(spark, size):
+    draw = random.Random(size)
+    items = [" ".join(draw.choices(WORDS[:40] + [f"{size}x{i}" for i in range(400)], k=size)) for i in range(30)]
+    filler = lambda n: draw.choices(WORDS + [f"r{draw.randint(0, 9999)}" for _ in range(50)], k=n)
+    docs = [(i, " ".join([*filler(300), text, *filler(200)])) for i, text in enumerate(items)]
+    found = latent_leaks.find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string"))
+    assert {(i, i) for i in range(30)} <= {(r.doc_id, r.item_id) for r in found.where("lcs_share = 1").collect()}
+
+
+def test_passage_widths_follow_the_items():
+    for low, high in ((1, 1), (5, 300), (15, 59), (7, 8)):
+        widths = latent_leaks.passage_widths([low, high])
+        assert widths[0] == low and widths[-1] == high and all(b <= max(1.6 * a, a + 1) for a, b in zip(widths, widths[1:]))
+
+
 def test_quality_measures(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}
