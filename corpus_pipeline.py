@@ -20,6 +20,11 @@ from streetflow.llm.ngram_quality import judge
 from streetflow.llm.tables import keep, table
 
 
+#: Near duplicates: words a shingle and least similarity in percent, not those of the op4 query.
+NEAR_SHINGLE = 5
+NEAR_PERCENT = 80
+
+
 def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """The documents whose id is in the one column of kept."""
     ids = keep(kept.toDF("_kept").distinct(), "kept")
@@ -36,7 +41,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _only(docs, join(docs).where("doc_id <=> component_id").select("doc_id"))
+    return _only(docs, join(docs, NEAR_SHINGLE, NEAR_PERCENT).where("doc_id <=> component_id").select("doc_id"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,21 +1,22 @@
 """N-gram Jaccard join in metric space: pivots, triangle-inequality windows and recursive regions, exact.
 
-A document's set holds its distinct SHINGLE-word shingles, words being runs without ASCII white
+A document's set holds its distinct shingles of some words (`Rule.shingle`), words being runs without ASCII white
 space with A-Z lower-cased; shorter texts are one shingle, texts without words have none and link
-with nothing. Two documents link at a Jaccard distance of at most RADIUS. The result gives each
+with nothing. Two documents link at a Jaccard similarity of at least `Rule.percent`, so at a distance
+of at most the radius. The query asks for 3 words and 90 percent, the pipeline for 5 and 80. The result gives each
 document the smallest id that it reaches by links.
 
 Equal sets are one point. In this space almost all points lie at distance 1 from each other, so
-pivots are set where neighbours are: RADIUS bounds how many shingles two linked sets can differ
+pivots are set where neighbours are: the radius bounds how many shingles two linked sets can differ
 in; with two more parts than that, cut by shingle hash, linked sets agree in two parts or more, so
 they meet in a region, the points that agree in one part. (A set with two or more empty parts meets
 others like it by the rarest-hash prefix of its shingles instead.) Each region takes as pivot
 the point that shares most of its parts with others, the core of a group of copies if there is one,
 and the regions of one pivot form its cell. Every point's distance to its pivots is measured.
 
-Points within RADIUS of a pivot link with it. The rest need comparing only where a cell still has
-several components, and of two linked points of different components one at least lies beyond RADIUS.
-Few points of a cell are compared where their distances to the pivot differ by at most RADIUS, by the
+Points within the radius of a pivot link with it. The rest need comparing only where a cell still has
+several components, and of two linked points of different components one at least lies beyond the radius.
+Few points of a cell are compared where their distances to the pivot differ by at most the radius, by the
 triangle inequality. Many near the pivot, and still more far from it, are divided by what they differ in from it: the
 inequality, counted in shingles, says how many of its differences a point must share with any other that
 it may link with, so both meet at one of the first few differences, shingles that the pivot lacks coming
@@ -26,7 +27,7 @@ none is open; no pairs within a component are formed.
 A distance is measured in steps. Bitmaps of fixed size, which hold the parity of what falls in each place, rule out most
 pairs of a cell in the join that forms them. A sketch holds one byte for each of about as many cells of the
 hash space as the set has shingles (half as many for large sets), the sum of what falls in it; two sets differ in at least as
-many shingles as their sketches differ in cells. Where that bound already exceeds RADIUS it is
+many shingles as their sketches differ in cells. Where that bound already exceeds the radius it is
 used as the distance's lower bound; the shingles themselves are fetched for the other pairs only.
 
 Regions are found by counting first: parts that occur in one point only are left out by a bitmap of
@@ -38,6 +39,9 @@ Equal rows are equal points. An empty table gives an empty result. Other columns
 
 from __future__ import annotations
 
+from functools import partial
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -49,7 +53,8 @@ from streetflow.llm.textscan import Slice, batch, lists, mix, signed, slices
 
 SHINGLE = 3
 PERCENT = 90
-RADIUS = 1 - PERCENT / 100
+#: Below it linked sets can be more than one step of _BOUNDS apart.
+LEAST_PERCENT = 70
 #: Points nearer to their pivot than NEAR are compared in pairs if the cell has at most FEW of them, others if it has at most MANY.
 NEAR = 0.5
 FEW = 128
@@ -71,23 +76,35 @@ while _BOUNDS[-1] < 1 << 40:
 _BOUNDS = np.array(_BOUNDS, np.int64)
 
 
+class Rule(NamedTuple):
+    """Words a shingle, and the least similarity of linked documents."""
+
+    shingle: int = SHINGLE
+    percent: int = PERCENT
+
+    @property
+    def radius(self) -> float:
+        return 1 - self.percent / 100
+
+
 class _Sets:
     """Sets of a slice: sorted distinct hashes of all texts in a row, with the bounds of each text's own."""
 
-    def __init__(self, part: Slice):
+    def __init__(self, part: Slice, rule: Rule):
+        self.percent, size = rule.percent, rule.shingle
         part.words()
         w = part.hashes()
         n = np.diff(part.first)
         self.parts, sizes = [], np.zeros(part.n, np.int64)
-        if len(w) >= SHINGLE:
-            grams = w[: -SHINGLE + 1].copy()
-            for k in range(1, SHINGLE):
-                grams = mix(grams + np.uint64(k)) + w[k: len(w) - SHINGLE + 1 + k]
+        if len(w) >= size:
+            grams = w[: len(w) - size + 1].copy()
+            for k in range(1, size):
+                grams = mix(grams + np.uint64(k)) + w[k: len(w) - size + 1 + k]
             grams = mix(grams)
         for i in range(part.n):
             low, high = part.first[i], part.first[i + 1]
-            if n[i] >= SHINGLE:
-                own = np.unique(grams[low: high - SHINGLE + 1])
+            if n[i] >= size:
+                own = np.unique(grams[low: high - size + 1])
             elif n[i]:
                 whole = np.uint64(n[i])
                 for k in range(low, high):
@@ -127,10 +144,11 @@ class _Sets:
         """(region, text) of every part that a text may agree in with a linked one."""
         band = np.searchsorted(_BOUNDS, self.n, "right") - 1
         keys, texts = [], []
-        lower = np.where(10 * (_BOUNDS[np.maximum(band, 1)] - 1) >= 9 * self.n, band - 1, -1)
+        percent = self.percent
+        lower = np.where(100 * (_BOUNDS[np.maximum(band, 1)] - 1) >= percent * self.n, band - 1, -1)
         for space in (band, lower):
             top = _BOUNDS[np.maximum(space, 0) + 1] - 1
-            differ = (top + 10 * top // 9) // 19
+            differ = (100 - percent) * (top + 100 * top // percent) // (100 + percent)
             chosen = np.flatnonzero((space >= 0) & (self.n > 0) & (differ > 0))
             if not len(chosen):
                 continue
@@ -151,7 +169,7 @@ class _Sets:
             sparse = np.flatnonzero(np.bincount(text, minlength=len(chosen)) + 2 <= parts.astype(np.int64))
             for i in sparse:
                 low, k = self.first[chosen[i]], int(self.n[chosen[i]])
-                prefix = self.grams[low: low + k - -(-PERCENT * k // 100) + 1]
+                prefix = self.grams[low: low + k - -(-percent * k // 100) + 1]
                 keys.append(mix(prefix ^ mix(np.array([space[chosen[i]]], np.uint64) + np.uint64(7))))
                 texts.append(np.full(len(prefix), chosen[i]))
         if not keys:
@@ -159,31 +177,31 @@ class _Sets:
         return np.concatenate(keys), np.concatenate(texts)
 
 
-def _points(batches):
+def _points(rule, batches):
     for b in batches:
         for at, part in slices(b.column("text"), lower=True):
-            found = _Sets(part)
+            found = _Sets(part, rule)
             yield batch(POINT, b.column("doc_id").slice(at, part.n), found.n, signed(found.point))
 
 
-def _meetings(batches):
+def _meetings(rule, batches):
     for b in batches:
         for _, part in slices(b.column("text"), lower=True):
-            found = _Sets(part)
+            found = _Sets(part, rule)
             keys, texts = found.regions()
             yield batch(MEETING, signed(keys), signed(found.point[texts]))
 
 
-def members(docs: DataFrame) -> DataFrame:
+def members(docs: DataFrame, rule: Rule) -> DataFrame:
     """(point, regions, n, sketch) of the points that share a region with another point."""
-    counts = (map_arrow(docs.select("text"), _meetings, MEETING).groupBy("region")
+    counts = (map_arrow(docs.select("text"), partial(_meetings, rule), MEETING).groupBy("region")
               .agg(F.min("point").alias("a"), F.max("point").alias("b")).where("a <> b").select("region"))
     sent = docs.sparkSession.sparkContext.broadcast(marks(counts))
 
     def work(batches):
         for b in batches:
             for _, part in slices(b.column("text"), lower=True):
-                found = _Sets(part)
+                found = _Sets(part, rule)
                 keys, texts = found.regions()
                 hit = marked(sent.value, keys)
                 keys, texts = keys[hit], texts[hit]
@@ -196,14 +214,14 @@ def members(docs: DataFrame) -> DataFrame:
     return rows.groupBy("point").agg(*(F.first(c).alias(c) for c in ("regions", "n", "sketch", *MAPS)))
 
 
-def grams_of(docs: DataFrame, points: DataFrame) -> DataFrame:
+def grams_of(docs: DataFrame, points: DataFrame, rule: Rule) -> DataFrame:
     """(point, grams) of some points, from one more pass over the texts."""
     sent = docs.sparkSession.sparkContext.broadcast(marks(points))
 
     def work(batches):
         for b in batches:
             for _, part in slices(b.column("text"), lower=True):
-                found = _Sets(part)
+                found = _Sets(part, rule)
                 chosen = np.flatnonzero(marked(sent.value, found.point) & (found.n > 0))
                 own = [found.parts[i] for i in chosen] or [np.zeros(0, np.uint64)]
                 sizes = np.concatenate([[0], np.cumsum(found.n[chosen])])
@@ -218,7 +236,7 @@ def _folded(sketch: np.ndarray, cells: int) -> np.ndarray:
     return sketch.reshape(cells, -1).sum(axis=1, dtype=np.uint8)
 
 
-def _bounds(batches):
+def _bounds(percent, batches):
     for b in batches:
         low, may = [], []
         for na, nb, sa, sb in zip(b.column("na").to_pylist(), b.column("nb").to_pylist(), b.column("sa"), b.column("sb")):
@@ -226,52 +244,52 @@ def _bounds(batches):
             cells = min(len(one), len(two))
             differ = max(int(np.count_nonzero(_folded(one, cells) != _folded(two, cells))), abs(na - nb))
             low.append(2 * differ / (na + nb + differ))
-            may.append(100 * (na + nb - differ) >= PERCENT * (na + nb + differ))
+            may.append(100 * (na + nb - differ) >= percent * (na + nb + differ))
         yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(low, pa.float64()), pa.array(may, pa.bool_())], schema=BOUND)
 
 
-def _exact(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _exact(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """pairs(a, b) with their distance as low and high, and whether they link."""
     both = F.size(F.array_intersect("ga", "gb"))
     either = F.size("ga") + F.size("gb") - both
     d = 1 - both / either
     return (pairs.join(sets.select(F.col("point").alias("a"), F.col("grams").alias("ga")), "a")
             .join(sets.select(F.col("point").alias("b"), F.col("grams").alias("gb")), "b")
-            .select("a", "b", d.alias("low"), d.alias("high"), (100 * both >= PERCENT * either).alias("linked")))
+            .select("a", "b", d.alias("low"), d.alias("high"), (100 * both >= percent * either).alias("linked")))
 
 
-def _measured(pairs: DataFrame, found: DataFrame, docs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
+def _measured(pairs: DataFrame, found: DataFrame, docs: DataFrame, rule: Rule, sets: DataFrame | None = None) -> DataFrame:
     """pairs(a, b) with bounds low and high of their distance, and whether they link; sets: their shingles, if at hand."""
     one, two = (found.select(F.col("point").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in "ab")
-    bounds = keep(map_arrow(pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "sa", "sb"), _bounds, BOUND), "bounds")
+    bounds = keep(map_arrow(pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "sa", "sb"), partial(_bounds, rule.percent), BOUND), "bounds")
     asked = bounds.where("may_link").select("a", "b")
-    sure = _exact(asked, grams_of(docs, asked.select("a").union(asked.select("b"))) if sets is None else sets)
+    sure = _exact(asked, grams_of(docs, asked.select("a").union(asked.select("b")), rule) if sets is None else sets, rule.percent)
     return sure.union(bounds.where("not may_link").select("a", "b", "low", F.lit(1.0).alias("high"), F.lit(False).alias("linked")))
 
 
-def links(docs: DataFrame) -> DataFrame:
+def links(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """(v, root) of all points that link with another; root names their component."""
-    found = keep(members(docs), "members")
+    found = keep(members(docs, rule), "members")
     meet = keep(found.select(F.lit(0).cast("bigint").alias("parent"), F.explode("regions").alias("region"), "point",
                              (-F.size("regions")).alias("rank")), "meetings")
     linked = roots = sets = None
     while True:
         cells = _cells(meet)
-        d = keep(_measured(_asked(cells), found, docs, sets), "measured")
+        d = keep(_measured(_asked(cells), found, docs, rule, sets), "measured")
         more = d.where("linked").select("a", "b")
         linked = more if linked is None else linked.union(more)
         roots = components(linked)
         open_ = keep(_open(cells, d, roots), "open")
-        pairs = _pairs(open_, found)
+        pairs = _pairs(open_, found, rule)
         if not pairs.isEmpty():
-            linked = linked.union(keep(_measured(pairs, found, docs, sets).where("linked").select("a", "b"), "links"))
+            linked = linked.union(keep(_measured(pairs, found, docs, rule, sets).where("linked").select("a", "b"), "links"))
             roots = components(linked)
         large = open_.where(f"far_n > {MANY} or (near_n > {FEW} and near)")
         if large.isEmpty():
             return roots
         if sets is None:
-            sets = keep(grams_of(docs, large.select("point").union(large.select("pivot"))), "sets")
-        meet = _divided(large, roots, sets)
+            sets = keep(grams_of(docs, large.select("point").union(large.select("pivot")), rule), "sets")
+        meet = _divided(large, roots, sets, rule.percent)
 
 
 def _cells(meet: DataFrame) -> DataFrame:
@@ -303,19 +321,19 @@ def _open(cells: DataFrame, d: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(counts, "cell").select("cell", "pivot", "point", "low", "high", "root", "main", "near", "near_n", "far_n")
 
 
-def _pairs(cells: DataFrame, found: DataFrame) -> DataFrame:
+def _pairs(cells: DataFrame, found: DataFrame, rule: Rule) -> DataFrame:
     """Pairs (a, b) that may link and join two components, of near points where they are few, and with far points where these are.
 
     A place of the bitmaps in which two sets disagree holds a shingle that only one of them has, and linked
-    sets of n and m shingles differ in at most (n + m) / 19; large sets disagree in fewer places and go on to the sketches.
+    sets of n and m shingles differ in at most (n + m) r, r = (100 - percent) / (100 + percent); large sets disagree in fewer places and go on to the sketches.
     """
     cells = keep(cells.where(f"near_n <= {FEW} or far_n <= {MANY}").join(found.select("point", "n", *MAPS), "point"), "compared")
     carried = ["near", "point", "low", "high", "root", "n", *MAPS]
     other = cells.select("cell", *(F.col(c).alias(f"{c}_p") for c in carried))
-    reach = RADIUS + 1e-9
+    reach = rule.radius + 1e-9
     differ = " + ".join(f"bit_count({c} ^ {c}_p)" for c in MAPS)
     may = ((F.col("low") <= F.col("high_p") + reach) & (F.col("low_p") <= F.col("high") + reach) & (F.col("root") != F.col("root_p"))
-           & F.expr(f"{differ} <= ({100 - PERCENT} * (n + n_p)) div {100 + PERCENT}"))
+           & F.expr(f"{differ} <= ({100 - rule.percent} * (n + n_p)) div {100 + rule.percent}"))
     near = cells.where((F.col("near_n") <= FEW) & F.col("near")).join(other.where("near_p"), "cell").where(may & (F.col("point") < F.col("point_p")))
     far = (cells.where((F.col("far_n") <= MANY) & ~F.col("near")).join(other, "cell")
            .where(may & (F.col("near_p") | (F.col("point") < F.col("point_p")))))
@@ -323,13 +341,13 @@ def _pairs(cells: DataFrame, found: DataFrame) -> DataFrame:
     return keep(near.select(*pair).union(far.select(*pair)).distinct(), "pairs")
 
 
-def _divided(cells: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+def _divided(cells: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(parent, region, point, rank): the regions of points that share a difference from their pivot.
 
-    Linked sets of n and m shingles differ in at most (n + m) / 19, and in at most n / 9. Let them
-    differ from a pivot of k shingles in d and e. They then share at least (d + e - (n + m) / 19) / 2
-    of these differences, so at least d - n / 9. If the second does not link with the pivot,
-    e > (m + k) / 19, and they share more than (19 d - n + k) / 38. A point of the pivot's component
+    Linked sets of n and m shingles differ in at most (n + m) r, r = (100 - percent) / (100 + percent),
+    and in at most n q, q = (100 - percent) / percent. Let them differ from a pivot of k shingles in d
+    and e. They then share at least (d + e - (n + m) r) / 2 of these differences, so at least d - n q.
+    If the second does not link with the pivot, e > (m + k) r, and they share more than (d + (k - n) r) / 2. A point of the pivot's component
     need meet only such seconds, and so takes fewer differences than a point outside, whose
     further ones count only in regions with a point of the pivot's component.
     """
@@ -338,9 +356,9 @@ def _divided(cells: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
              .join(sets.select(F.col("point").alias("pivot"), F.col("grams").alias("gp")), "pivot")
              .select("cell", "point", "root", (F.col("root") != F.col("main")).alias("outside"), F.size("gx").alias("n"), F.size("gp").alias("k"),
                      F.concat(F.array_sort(F.array_except("gx", "gp")), F.array_sort(F.array_except("gp", "gx"))).alias("differ")))
-    shared = F.greatest(F.lit(1), F.expr("d - n div 9"))
+    shared = F.greatest(F.lit(1), F.expr(f"d - {100 - percent}L * n div {percent}"))
     sides = (sides.withColumn("d", F.size("differ")).withColumn("any", F.col("d") - shared + 1)
-             .withColumn("far", F.least("any", F.expr("d - (19L * d - n + k) div 38"))))
+             .withColumn("far", F.least("any", F.expr(f"d - ({100 + percent}L * d + {100 - percent}L * (k - n)) div {2 * (100 + percent)}"))))
     firsts = F.slice("differ", F.lit(1), F.when(F.col("outside"), F.col("any")).otherwise(F.col("far")).cast("int"))
     rows = sides.select("cell", "point", "root", "outside", "d", "far", F.posexplode(firsts).alias("at", "gram"))
     rows = keep(rows.select(F.col("cell").alias("parent"), F.xxhash64("cell", "gram").alias("region"), "point", "root", F.col("d").alias("rank"),
@@ -350,12 +368,15 @@ def _divided(cells: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
     return keep(rows.join(used, ["parent", "region"]).where("not (further and all_outside)").select("parent", "region", "point", "rank"), "meetings")
 
 
-def join(docs: DataFrame) -> DataFrame:
+def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
+    if not (shingle >= 1 and LEAST_PERCENT <= percent < 100):
+        raise ValueError(f"shingle must be at least 1 and percent from {LEAST_PERCENT} to 99, not {shingle} and {percent}")
+    rule = Rule(shingle, percent)
     docs = docs.select(F.col("doc_id").cast("bigint"), "text")
-    points = keep(map_arrow(docs, _points, POINT), "points")
+    points = keep(map_arrow(docs, partial(_points, rule), POINT), "points")
     own = points.where("n_shingles > 0").groupBy("point").agg(F.min("doc_id").alias("least"))
-    rooted = own.join(links(docs).withColumnRenamed("v", "point"), "point", "left").withColumn("root", F.coalesce("root", "point"))
+    rooted = own.join(links(docs, rule).withColumnRenamed("v", "point"), "point", "left").withColumn("root", F.coalesce("root", "point"))
     rooted = keep(rooted, "rooted")
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of_point = rooted.join(named, "root").select(F.col("point").alias("_point"), "component_id")
@@ -378,4 +399,4 @@ select w.doc_id, coalesce(n, 0)::bigint as n_shingles, min(to_id) as component_i
 
 @query("op4_jaccard_join", SQL)
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join(table(spark, sf_dir, "documents"))
+    return join(table(spark, sf_dir, "documents"), SHINGLE, PERCENT)

@@ -116,6 +116,31 @@ def test_near_copies_in_cells(spark, monkeypatch):
         assert {r.doc_id: r.component_id for r in jaccard_join.join(docs).collect()} == dict(enumerate(label))
 
 
+@pytest.mark.parametrize("shingle, percent", [(3, 90), (5, 80)])
+def test_near_copies_by_rule(spark, monkeypatch, shingle, percent):
+    draw = random.Random(percent)
+    texts = []
+    for size in (4, 7, 12, 25, 60, 130):
+        base = draw.choices(WORDS, k=size)
+        for _ in range(12):
+            words = list(base)
+            for _ in range(draw.randint(0, 1 + size // 25)):
+                words[draw.randrange(size)] = draw.choice(WORDS)
+            cut = draw.randint(0, size // 6)
+            texts.append(" ".join(words[: size - cut] if draw.random() < 0.5 else words + draw.choices(WORDS, k=cut)))
+    sets = [{tuple(w[i:i + shingle]) for i in range(max(1, len(w) - shingle + 1))} for w in map(str.split, texts)]
+    near = [(i, j) for i in range(len(texts)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])]
+    label = list(range(len(texts)))
+    for _ in texts:
+        for i, j in near:
+            label[i] = label[j] = min(label[i], label[j])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for few, many in ((128, 256), (4, 4)):
+        monkeypatch.setattr(jaccard_join, "FEW", few)
+        monkeypatch.setattr(jaccard_join, "MANY", many)
+        assert {r.doc_id: r.component_id for r in jaccard_join.join(docs, shingle, percent).collect()} == dict(enumerate(label))
+
+
 def test_lines_one_word_apart(spark):
     line = WORDS[:12]
     other = [line[:5] + ["new"] + line[6:], line[:5] + line[6:], line[:3] + ["new"] + line[3:], line[:2] + ["a", "b"] + line[4:], line]
