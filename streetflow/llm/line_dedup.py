@@ -3,7 +3,7 @@
 A line is its sequence of words (runs without ASCII white space). Two lines count as the same if
 their words are equal or, for lines of at least NEAR_WORDS words, one word apart: one replaced,
 added or left out. A line is removed if an earlier line, by (doc_id, line number) in the input,
-is the same; lines under LEAST_WORDS words always stay.
+is the same; lines without words always stay.
 
 Every line that may have a partner emits its own hash and that of each variant with one word
 deleted. Lines that share a variant with the word deleted at the same place differ by replacing
@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 from streetflow.llm.tables import keep, map_arrow, marked, marks, query, table
 from streetflow.llm.textscan import _INVERSE, Slice, _tables, batch, lists, mix, range_hash, signed, slices
 
-LEAST_WORDS = 5
 NEAR_WORDS = 10
 
 PARTS = pa.schema([("key", pa.int64()), ("line", pa.int64())])
@@ -39,7 +38,7 @@ VARIANT = pa.schema([("key", pa.int64()), ("at", pa.int32()), ("line", pa.int64(
 
 
 class _Lines:
-    """The lines of a slice with at least LEAST_WORDS words: hash, words [low, high), text and number in it."""
+    """The lines of a slice with words: hash, words [low, high), text and number in it."""
 
     def __init__(self, part: Slice):
         part.lines()
@@ -48,7 +47,7 @@ class _Lines:
         of_word = np.searchsorted(starts, part.starts, "right") - 1
         bounds = np.searchsorted(of_word, np.arange(len(starts) + 1))
         self.words = part.hashes()
-        keep = np.flatnonzero(np.diff(bounds) >= LEAST_WORDS)
+        keep = np.flatnonzero(np.diff(bounds))
         self.low, self.high = bounds[keep], bounds[keep + 1]
         self.row, self.number = rows[keep], keep - first[rows[keep]]
         self.hash = range_hash(self.words, self.low, self.high)

@@ -149,6 +149,12 @@ def test_lines_one_word_apart(spark):
     assert rows.n_lines == 8 and rows.n_removed == 4 and rows.text.split("\n")[1] == " ".join(other[3])
 
 
+def test_repeats_of_short_lines_go(spark):
+    texts = ["one\nfar line\n\nnext\nhttps://x.org/a", "far line\n\nnew", "one\nhttps://x.org/a\n \n漢字漢字"]
+    rows = line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    assert {r.doc_id: r.text for r in rows} == {0: texts[0], 1: "\nnew", 2: " \n漢字漢字"}
+
+
 def test_quotas_add_up():
     counts = np.array([1000, 3, 0, 77])
     quotas = mixing.split_quotas(counts, 7, 1)
