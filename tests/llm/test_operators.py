@@ -216,6 +216,28 @@ def test_quality_measures(spark):
         assert r.base_failed == (len(words) < 50 or 100 * len(covered) > 50 * len(words)) and not (r.base_failed and r.kept)
 
 
+def test_unseen_grams_back_off(spark):
+    """Beyond a million grams too."""
+    counts = spark.range(2_000_000).select((F.col("id") * 2_654_435_761 % 2**32).alias("gram"), (F.col("id") % 5 + 1).alias("n"))
+    model, made = ngram_quality.train(ngram_quality.keep(counts, "counts"))
+    known, values = piece = ngram_quality._stored(made, "gram", "p")
+    assert len(known) == 2_000_000
+    some = known[::997]
+    assert (ngram_quality.log_p(model, piece, some) == values[::997]).all()
+    unseen = np.setdiff1d(some ^ np.uint32(1 << 24), known)  # other histories of seen 3-grams
+    gamma, p = (dict(zip(*(x.tolist() for x in stored))) for stored in (model[3]["gamma"], model[2]["p"]))
+    want = [gamma.get(g >> 8, 0) + p[g & 0xFFFFFF] for g in unseen.tolist()]
+    assert len(want) > 1000 and np.allclose(ngram_quality.log_p(model, piece, unseen), want)
+
+
+def test_pieces_of_the_model_add_up(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(40)
+    one = {r.doc_id: r.log_perplexity for r in ngram_quality.judge(docs).collect()}
+    monkeypatch.setattr(ngram_quality, "PIECE_GRAMS", 4000)
+    many = {r.doc_id: r.log_perplexity for r in ngram_quality.judge(docs).collect()}
+    assert one.keys() == many.keys() and all(x == pytest.approx(many[k]) for k, x in one.items())
+
+
 def test_digest_of_conversation(spark):
     row = chat.op2_chat_format(spark, SF_DIR).where("conv_id = -1").first()
     said = "</s>[INST] ok [/INST]"
