@@ -188,6 +188,18 @@ def camera_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array("track_id").alias("track_ids"), F.col("value").alias("inference_ms"))).alias("value"))
 
 
+def raw_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw camera frames as JSON text; the image holds the ids of the vehicles. Some are broken, by the number in `props`, or come late."""
+    f = frames(spark, sf_dir).join(events(spark, sf_dir).select(F.col("event_id").cast("string").alias("frame_id"), "k"), "frame_id")
+    k, seconds = F.col("k"), F.unix_micros("ts") / 1e6
+    coded = F.base64(F.when(F.size("track_ids") > 0, F.array_join(F.col("track_ids").cast("array<string>"), ",")).otherwise(" ").cast("binary"))
+    body = F.to_json(F.struct(
+        "camera_id", "frame_id", seconds.alias("timestamp"), F.when(k == 4, F.concat(F.lit("*"), coded)).when(k != 3, coded).alias("frame_b64"),
+        (seconds + F.when(k > 90, 11).otherwise(1)).alias("ingested_at"), F.when(k == 6, "faulty").otherwise("ok").alias("producer_id"),
+        F.when(k == 2, "x").alias("zone")))
+    return f.select("ts", F.when(k == 1, F.substring(body, 1, 20)).otherwise(body).alias("value"))
+
+
 def weather_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = flatten_weather(payloads(spark, sf_dir), "Los Angeles", now=F.col("ts"), keep=("ts",))
     return flat.select("ts", F.to_json(F.struct(*[c for c in flat.columns if c != "ts"])).alias("value"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from streetflow import functions as fn
@@ -9,18 +10,18 @@ from streetflow.operators import graph, model
 from streetflow.operators.blocks import row_index
 from streetflow.operators.enrich import rerouting_alerts
 from streetflow.operators.validate import decode
-from streetflow.operators.windows import speed_features
+from streetflow.operators.windows import FEATURES, speed_features
 from streetflow.plans import batch, inputs, panels
 from streetflow.plans.figures import COUNTS_SQL, FEATURES_SQL, GRID_SQL, LAGS_SQL, _metadata
-from streetflow.plans.inputs import DECODED_SQL, GRAPH_SQL, MESSAGES_SQL
+from streetflow.plans.inputs import DECODED_SQL, FRAMES_SQL, GRAPH_SQL, MESSAGES_SQL
 from streetflow.plans.registry import big, micros, query, six, whole
 from streetflow.plans.rows import CONTRACT_SQL
 from streetflow.session import scratch
-from streetflow.sinks.tables import append_once, compact, expire, write_snapshot
+from streetflow.sinks.tables import append_once, compact, expire, replaced_batches, write_snapshot
 from streetflow.sources.sensors import read_locations
 from streetflow.sources.streams import stream_source
 from streetflow.sources.tables import explore, load_static, load_table, read_table
-from streetflow.streaming import ingest, state
+from streetflow.streaming import ingest, scoring, state
 
 # --- graph -----------------------------------------------------------------------------------
 
@@ -165,25 +166,46 @@ def k5(spark, sf):
     return read_table(spark, path, "")
 
 
+@query("k3_two_writers", """
+select event_id, 'one' as writer from events union all select event_id, 'two' as writer from events""")
+def k3_writers(spark, sf):
+    """Two writers and two runs of each use the same batch numbers on one table; every batch is written twice."""
+    e, path = inputs.events(spark, sf).select("event_id"), scratch(spark, "writers")
+    for writer in ("one", "two"):
+        for run in (0, 1):
+            for _ in range(2):
+                append_once(e.filter(F.col("event_id") % 2 == run).withColumn("writer", F.lit(writer)), path, 0, writer, run=f"run-{run}")
+    return load_table(spark, path).select("event_id", "writer")
+
+
+BATCHES = 5
+
+
+def _batches(rows, path, **how):
+    """Append a table in some batches, by a hash of the event."""
+    for number in range(BATCHES):
+        append_once(rows.filter(F.pmod(F.xxhash64("event_id"), F.lit(BATCHES)) == number), path, number, **how)
+
+
 @query("k7_compact", "select event_id, value as speed, strftime(ts, '%Y-%m-%d') as event_date from events")
 def k7(spark, sf):
     """Rows of a compacted table are the rows that were appended."""
     e, path = inputs.events(spark, sf).withColumn("event_date", F.to_date("ts")), scratch(spark, "compact")
-    for number, kind in enumerate(["click", "error", "purchase", "signup", "view"]):
-        append_once(e.filter(F.col("event_type") == kind), path, number, partition_by=("event_date",))
+    _batches(e, path, partition_by=("event_date",))
     compact(spark, path, partition_by=("event_date",))
     return load_table(spark, path).select("event_id", F.col("value").alias("speed"), F.col("event_date").cast("string").alias("event_date"))
 
 
-@query("k8_expire", "select event_id, value as speed from events")
+@query("k8_expire", f"select event_id, value as speed, {BATCHES - 1} as replaced, 0 as left_over from events")
 def k8(spark, sf):
-    """Deleting what compaction replaced leaves the rows as they are."""
-    e, path = inputs.events(spark, sf).select("event_id", "event_type", F.col("value").alias("speed")), scratch(spark, "expire")
-    for number, kind in enumerate(["click", "error", "purchase", "signup", "view"]):
-        append_once(e.filter(F.col("event_type") == kind), path, number)
+    """Compaction replaces all batches but the newest, which a stream may still repeat; expiry deletes those files and no row."""
+    e, path = inputs.events(spark, sf).select("event_id", F.col("value").alias("speed")), scratch(spark, "expire")
+    _batches(e, path)
     compact(spark, path)
+    replaced = len(replaced_batches(spark, path))
     expire(spark, path, hours=0, force=True)
-    return load_table(spark, path).select("event_id", "speed")
+    left_over = len(replaced_batches(spark, path))
+    return load_table(spark, path).select("event_id", "speed", F.lit(replaced).alias("replaced"), F.lit(left_over).alias("left_over"))
 
 
 @query("s4_read_locations", "with " + GRID_SQL + """
@@ -361,15 +383,20 @@ def r1(spark, sf):
 _MIDDLE_SQL = "(select (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 from events)"
 
 
-@query("r2_warm_start", "with " + FEATURES_SQL + _STREAM_FEATURES_SQL + f" where epoch_us(ts) >= {_MIDDLE_SQL}")
+@query("r2_warm_start", "with " + FEATURES_SQL + f""",
+used as (select sum(least(n, 12))::bigint as rows_used from (select count(*) as n from events where epoch_us(ts) < {_MIDDLE_SQL}
+  and epoch_us(ts) >= (select max(epoch_us(ts)) from events where epoch_us(ts) < {_MIDDLE_SQL}) - 30 * 24 * 3600 * 1000000::bigint group by user_id))
+select x.*, rows_used from (""" + _STREAM_FEATURES_SQL + f" where epoch_us(ts) >= {_MIDDLE_SQL}) x cross join used")
 def r2(spark, sf):
-    """State from the first half of the readings, the second half as a stream."""
+    """State from the first half of the readings, the second half as a stream; the number of readings in the state is reported."""
     r = inputs.readings(spark, sf)
     t = F.unix_micros("ts")
     middle = r.select(F.call_function("div", F.min(t) + F.max(t), F.lit(2))).first()[0]
-    warm = state.warm_state(r.filter(t < middle), minutes=60 * 24 * 30)
-    return _feature_rows(_drain(r.filter(t >= middle), "ts", READING,
+    used = Observation()
+    warm = state.warm_state(r.filter(t < middle), minutes=60 * 24 * 30, used=used)
+    rows = _feature_rows(_drain(r.filter(t >= middle), "ts", READING,
                                 lambda rows: state.stream_features(rows, tie="event_id", warm=warm), "r2"))
+    return rows.withColumn("rows_used", F.lit(used.get["rows"]).cast("bigint"))
 
 
 @query("r3_stream_counts", "with " + COUNTS_SQL + " select * from counts")
@@ -410,50 +437,76 @@ def p2(spark, sf):
 KEY = ("sensor_id", "ts")
 
 
-def _trained(spark, sf, rounds=10):
+def _trained(spark, sf):
     features = speed_features(inputs.readings(spark, sf), order=("ts", "event_id"))
     train, test = model.hash_split(features, KEY)
-    return model.train_speed(train, KEY, rounds=rounds), train, test
+    return model.train_speed(train, KEY), train, test
+
 
+_SPLIT_SQL = """parts as (select *, ('0x' || substr(md5(concat_ws('|', user_id, epoch_us(ts), '42')), 1, 8))::bigint % 100 < 80 as is_train from events)"""
+_FEATURE_SPLIT_SQL = LAGS_SQL + ", " + _SPLIT_SQL + """,
+rows as (select lags.*, is_train from lags join parts using (event_id) where lag_1h is not null)"""
 
-@query("m1_m6_baseline_predictions")
+
+@query("m1_m6_baseline_predictions", "with " + _SPLIT_SQL + """
+select cast(user_id as varchar) as sensor_id, epoch_us(ts) as ts_us, value as speed, true as plausible from parts where not is_train""")
 def m1(spark, sf):
+    """The test rows with a prediction inside the range of speeds that were learned from."""
     train, test = model.hash_split(model.baseline_features(inputs.readings(spark, sf)), KEY)
-    fitted = model.baseline_model(rounds=5).fit(train)
-    return model.prediction_rows(fitted.transform(test))
+    rows = model.prediction_rows(model.baseline_model().fit(train).transform(test))
+    low, high = train.agg(F.min("speed"), F.max("speed")).first()
+    # boosting adds up steps, so a prediction may leave the range a little
+    slack = (high - low) / 2
+    return rows.select("sensor_id", F.unix_micros("timestamp").alias("ts_us"), "speed", F.col("prediction").between(low - slack, high + slack).alias("plausible"))
 
 
-@query("m2_split")
+@query("m2_split", "with " + _SPLIT_SQL + " select event_id, case when is_train then 'train' else 'test' end as part from parts")
 def m2(spark, sf):
     train, test = model.hash_split(inputs.readings(spark, sf), KEY)
     return train.select("event_id", F.lit("train").alias("part")).unionByName(test.select("event_id", F.lit("test").alias("part")))
 
 
-@query("m3_m4_speed_model")
+#: How much worse than the mean of the training rows a model may do: these readings are mostly noise.
+NOISE = 1.05
+
+
+@query("m3_m4_speed_model", "with " + _FEATURE_SPLIT_SQL + """
+select count(*) as n, true as near_the_mean, true as errors_in_order, true as r2_fits from rows where not is_train""")
 def m3(spark, sf):
-    fitted, _, test = _trained(spark, sf)
-    return model.evaluate(fitted.transform(test))
+    """Errors on the test rows: no worse than those of the training rows' mean, mae up to rmse, r2 by its definition."""
+    fitted, train, test = _trained(spark, sf)
+    mean = train.agg(F.avg("speed")).first()[0]
+    plain = test.agg(F.sqrt(F.avg(F.pow(F.col("speed") - mean, 2))).alias("plain"), F.var_pop("speed").alias("var"))
+    e = model.evaluate(fitted.transform(test)).crossJoin(F.broadcast(plain))
+    return e.select("n", (F.col("rmse") <= NOISE * F.col("plain")).alias("near_the_mean"), (F.col("mae") <= F.col("rmse")).alias("errors_in_order"),
+                    (F.abs(F.col("r2") - (1 - F.pow("rmse", F.lit(2)) / F.col("var"))) < 1e-6).alias("r2_fits"))
 
 
-@query("m5_importances")
+@query("m5_importances", "select unnest(" + repr(sorted(FEATURES)) + """) as feature, true as in_range, true as sum_is_one""")
 def m5(spark, sf):
     fitted, train, _ = _trained(spark, sf)
-    return model.importance_table(train, fitted)
+    rows = model.importance_table(train, fitted)
+    total = rows.agg(F.sum("importance")).first()[0]
+    return rows.select("feature", F.col("importance").between(0, 1).alias("in_range"), F.lit(abs(total - 1) < 1e-9).alias("sum_is_one"))
 
 
-@query("k10_run_record")
+@query("k10_run_record", "with " + _FEATURE_SPLIT_SQL + f"""
+select '{model.MODEL_VERSION}' as model_version, count(*) filter (is_train) as n_train, count(*) filter (not is_train) as n_test,
+  '{",".join(FEATURES)}' as features, {len(FEATURES)} as n_importances, '{model.ROUNDS}' as max_rounds, true as timed from rows""")
 def k10(spark, sf):
     import time
     started = time.time()
     fitted, train, test = _trained(spark, sf)
-    return model.run_record(fitted, fitted.transform(test), train.count(), time.time() - started)
+    record = model.run_record(fitted, fitted.transform(test), train.count(), time.time() - started)
+    return record.select("model_version", "n_train", "n_test", F.array_join("features", ",").alias("features"), F.size("importances").alias("n_importances"),
+                         F.col("params")["maxIter"].alias("max_rounds"), ((F.col("train_seconds") > 0) & (F.col("rmse") > 0)).alias("timed"))
 
 
 @query("r4_stream_scores", "with " + LAGS_SQL + """
 select sensor_id, strftime(ts, '%Y-%m-%d %H:%M:%S') as second, speed as actual_speed, 0 as horizon_minutes from lags where lag_1h is not null""")
 def r4(spark, sf):
     """Readings scored as they arrive; all but the predicted value can be said in SQL."""
-    fitted, _, _ = _trained(spark, sf, rounds=3)
+    fitted, _, _ = _trained(spark, sf)
     path = scratch(spark, "model")
     model.save_model(fitted, path)
     fitted = model.load_model(path)
@@ -465,3 +518,91 @@ def r4(spark, sf):
     stored = _drain(inputs.readings(spark, sf), "ts", READING, score, "r4")
     return stored.filter(F.col("predicted_speed").isNotNull()).select(
         "sensor_id", F.substring("timestamp", 1, 19).alias("second"), "actual_speed", "horizon_minutes")
+
+
+# --- online jobs -----------------------------------------------------------------------------
+
+def _score_messages(spark, sf, score):
+    """Run the scoring job over the sensor messages; returns the folder of its tables and that of its messages."""
+    spark = inputs.prepare(spark)
+    root, ckpt, topic = scratch(spark, "scoring"), scratch(spark, "ckpt"), scratch(spark, "topic")
+
+    def run(folder):
+        return scoring.start_scoring(stream_source(spark, "text", folder), score, root, ckpt, topic)
+
+    inputs.replay(inputs.messages(spark, sf).select("ts", "value"), "ts", run)
+    return root, topic
+
+
+_ACCEPTED_SQL = CONTRACT_SQL + """,
+good as (select j->>'$.sensor_id' as sensor_id, j->>'$.timestamp' as "timestamp", ts, cast(cast(j->>'$.speed' as float) as double) as speed
+  from checked where len(errors) = 0 and k <> 13),
+past as (select *, lag(speed, 12) over s as lag_1h, avg(speed) over (s rows between 6 preceding and 1 preceding) as rolling
+  from good window s as (partition by sensor_id order by ts, "timestamp"))"""
+
+
+@query("r4_scoring_job", "with " + _ACCEPTED_SQL + """
+select sensor_id, "timestamp", round(speed, 6) as actual_speed, 0 as horizon_minutes, true as as_in_batch from past where lag_1h is not null""")
+def r4_job(spark, sf):
+    """Messages in, prediction messages out, stored by the predictions feed, and compared with the scores of a batch."""
+    fitted, _, _ = _trained(spark, sf)
+    root, topic = _score_messages(spark, sf, fitted.transform)
+    ingest.start_feed(stream_source(spark, "text", topic), "speed_predictions", root, scratch(spark, "ckpt")).awaitTermination()
+    stored = read_table(spark, root, "speed_predictions")
+    readings = scoring.checked_readings(inputs.messages(spark, sf)).where("reason is null")
+    batch = fitted.transform(speed_features(readings, order=("ts", "timestamp"))).select("sensor_id", "timestamp", "prediction")
+    both = stored.join(batch, ["sensor_id", "timestamp"], "left")
+    same = F.abs(F.col("predicted_speed") - F.col("prediction")) < 1e-3
+    return both.select("sensor_id", "timestamp", six("actual_speed"), big("horizon_minutes"), F.coalesce(same, F.lit(False)).alias("as_in_batch"))
+
+
+def _watch_frames(spark, sf):
+    """Run the camera job over raw frames, whose image bytes are the vehicles' ids; returns its tables' and messages' folders."""
+    spark = inputs.prepare(spark)
+    root, ckpt, topic = scratch(spark, "cameras"), scratch(spark, "ckpt"), scratch(spark, "topic")
+
+    def detect(frames):
+        text = F.col("image").cast("string")
+        ids = F.when(F.trim(text) == "", F.array().cast("array<bigint>")).otherwise(F.split(text, ",").cast("array<bigint>"))
+        return frames.withColumn("track_ids", ids).withColumn("inference_ms", F.when(F.col("producer_id") == "faulty", -1.0).otherwise(5.0))
+
+    def run(folder):
+        return scoring.start_cameras(stream_source(spark, "text", folder), detect, root, ckpt, topic, now=F.col("ingested_at"), seconds=6 * 3600.0)
+
+    inputs.replay(inputs.raw_frames(spark, sf), "ts", run)
+    return root, topic
+
+
+_SEEN_SQL = """e as (select *, cast(props->>'$.k' as int) as k from events),
+f as (select event_type as camera_id, cast(event_id as varchar) as frame_id, ts, k,
+  case when k < 10 then [] when k < 30 then [user_id, cast(k as bigint)] else [user_id] end as track_ids from e where k not in (1, 2, 3, 4) and k <= 90),
+s as (select camera_id, ts, unnest(track_ids) as track_id from f)"""
+
+
+@query("e4_camera_job", "with " + _SEEN_SQL + COUNTS_SQL[len(FRAMES_SQL):] + """
+select camera_id, frame_id, cast(unique_count_5min as bigint) as unique_count_5min, cast(unique_count_session as bigint) as unique_count_session,
+  array_to_string(list_sort(track_ids), ',') as track_ids, 'http://localhost:9000/cctv-frames/' || camera_id || '/' || frame_id || '.jpg' as frame_url
+from counts join f using (camera_id, frame_id) where k <> 6""")
+def e4(spark, sf):
+    """Raw frames in, counted frames out, stored by the camera feed."""
+    root, topic = _watch_frames(spark, sf)
+    ingest.start_feed(stream_source(spark, "text", topic), "cctv", root, scratch(spark, "ckpt")).awaitTermination()
+    rows = read_table(spark, root, "cv_vehicle_counts")
+    return rows.select("camera_id", "frame_id", big("unique_count_5min"), big("unique_count_session"),
+                       F.array_join(F.array_sort("track_ids").cast("array<string>"), ",").alias("track_ids"), "frame_url")
+
+
+@query("a10_stream_skips", "with " + _ACCEPTED_SQL + """,
+scoring as (select case when list_contains(errors, 'not_json') then 'json_decode_error' when len(errors) > 0 then 'schema_invalid' else 'bad_timestamp' end as reason, null as key
+  from checked where len(errors) > 0 or k = 13
+  union all select case when lag_1h is null then 'warming_up' when lag_1h < 20 then 'output_invalid' end, sensor_id from past),
+cameras as (select case when k = 1 then 'json_decode_error' when k in (2, 3) then 'schema_invalid' when k > 90 then 'stale' when k = 4 then 'decode_error'
+    when k = 6 then 'output_invalid' end as reason, event_type as key from (select *, cast(props->>'$.k' as int) as k from events)),
+every as (select 'scoring' as job, * from scoring union all select 'cameras', * from cameras)
+select job, case when reason is null then 'processed' else 'skipped' end as outcome, coalesce(reason, key) as key, count(*) as n from every group by all""")
+def a10_stream(spark, sf):
+    """What both jobs processed, by entity, and skipped, by reason; the score here has nothing to say after a slow hour."""
+    slow = lambda rows: rows.withColumn("prediction", F.when(F.col("lag_1h") >= 20, F.col("rolling_mean_30min")))
+    tables = [("scoring", _score_messages(spark, sf, slow)[0]), ("cameras", _watch_frames(spark, sf)[0])]
+    rows = [load_table(spark, f"{root}/{job}_counts").withColumn("job", F.lit(job)) for job, root in tables]
+    return rows[0].unionByName(rows[1]).groupBy("job", "outcome", "key").agg(F.sum("n").alias("n"))

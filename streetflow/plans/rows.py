@@ -19,9 +19,6 @@ from streetflow.sources.tables import load_static, read_table
 from streetflow.sources.trips import trip_columns
 from streetflow.sources.weather import flatten_weather
 
-EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
-
-
 # --- sources ---------------------------------------------------------------------------------
 
 @query("s2_read_table", """
@@ -39,11 +36,12 @@ def s3(spark, sf):
 @query("s5_matrix_to_long", """
 with m as (select date_trunc('hour', ts) as t, event_type, round(avg(value), 6) as speed from events group by 1, 2)
 select epoch_us(t) as ts_us, event_type as sensor_id,
-  cast(list_position(['click', 'error', 'purchase', 'signup', 'view'], event_type) - 1 as bigint) as sensor_index, speed
-from m""")
+  cast(list_position((select list(distinct event_type order by event_type) from events where event_type is not null), event_type) - 1 as bigint) as sensor_index, speed
+from m where event_type is not null""")
 def s5(spark, sf):
-    e = inputs.events(spark, sf)
-    wide = (e.groupBy(F.date_trunc("hour", "ts").alias("timestamp")).pivot("event_type", EVENT_TYPES)
+    """One column for each kind of event there is, in order of name."""
+    e = inputs.events(spark, sf).filter(F.col("event_type").isNotNull())
+    wide = (e.groupBy(F.date_trunc("hour", "ts").alias("timestamp")).pivot("event_type")
             .agg(F.round(F.avg("value"), 6)))
     return matrix_to_long(wide).select(F.unix_micros("timestamp").alias("ts_us"), "sensor_id", big("sensor_index"), "speed")
 
@@ -55,8 +53,10 @@ with m as (
   join supplier on l_suppkey = s_suppkey group by 1, 2)
 select cast(i as varchar) as src, cast(j as varchar) as dst, w - 100.0 as weight from m where i <> j and w - 100.0 > 0""")
 def s6(spark, sf):
+    """One column for each nation there is; a matrix has them in order, from 0."""
     trips = trip_columns(inputs.trip_file(spark, sf))
-    nations = list(range(25))
+    last = inputs.table(spark, sf, "nation").agg(F.max("n_nationkey")).first()[0]
+    nations = list(range(last + 1))
     wide = trips.groupBy("pickup_zone").pivot("dropoff_zone", nations).agg(F.sum("distance_miles"))
     rows = wide.select(F.col("pickup_zone").alias("row"), F.array(*[F.col(str(n)) - 100.0 for n in nations]).alias("weights"))
     return adjacency_to_edges(rows)[1]

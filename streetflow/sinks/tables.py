@@ -1,16 +1,16 @@
 """Table writes that can be repeated, compaction and retention.
 
 With the Delta extension in the session its transactions are used. Otherwise a table is a
-Parquet folder in which every batch owns the folder `txn=<batch id>`; writing a batch again
+Parquet folder in which every batch owns the folder `txn=<writer>@<run>@<number>`; writing a batch again
 replaces its folder, whatever it holds now, also when the repeated batch is empty.
 """
 
 from __future__ import annotations
 
-import hashlib
 import logging
 import time
 from collections.abc import Sequence
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,19 +27,21 @@ MAINTAINED_TABLES = ["sensor_speeds", "cv_vehicle_counts", "gps_trips", "speed_p
                      "rerouting_alerts", "dlq_sensors", "pipeline_latency"]
 
 
-# Batch numbers of one run of a writer.
-WRITER_BITS = 34
-
-
 def has_delta(spark: SparkSession) -> bool:
     return "DeltaSparkSessionExtension" in spark.conf.get("spark.sql.extensions", "")
 
 
-def _writer_base(app_id: str, run: str) -> int:
-    """First batch number of a writer's run on a Parquet table; the default writer without a run starts at 0."""
+def _batch_folder(app_id: str, run: str, batch_id: int) -> str:
+    """Folder of a batch: its number, and in full who wrote it unless that is the default writer outside a stream."""
     if (app_id, run) == ("streetflow", ""):
-        return 0
-    return (int(hashlib.sha256(f"{app_id}\n{run}".encode()).hexdigest()[:7], 16) + 1) << WRITER_BITS
+        return f"{TXN}={int(batch_id)}"
+    return f"{TXN}={quote(app_id, safe='')}@{quote(run, safe='')}@{int(batch_id)}"
+
+
+def _batch_of(folder: str) -> tuple[str, int]:
+    """Writer with run, and number, of a batch folder; sorts by writer, then number."""
+    writer, _, number = folder.removeprefix(f"{TXN}=").rpartition("@")
+    return writer, int(number)
 
 
 def append_once(df: DataFrame, path: str, batch_id: int, app_id: str = "streetflow",
@@ -58,8 +60,7 @@ def append_once(df: DataFrame, path: str, batch_id: int, app_id: str = "streetfl
         (df.write.format("delta").mode("append").option("mergeSchema", "true").option("txnAppId", f"{app_id}-{run}" if run else app_id)
          .option("txnVersion", str(batch_id)).partitionBy(*partition_by).save(path))
     else:
-        txn = _writer_base(app_id, run) + int(batch_id)
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path.rstrip('/')}/{TXN}={txn}")
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path.rstrip('/')}/{_batch_folder(app_id, run, batch_id)}")
 
 
 def write_snapshot(df: DataFrame, path: str) -> None:
@@ -81,6 +82,14 @@ def publish(messages: DataFrame, where: str, topic: str | None = None) -> None:
         messages.select("value").write.mode("append").text(where)
 
 
+def publish_once(messages: DataFrame, where: str, batch_id: int, topic: str | None = None, app_id: str = "streetflow", run: str = "") -> None:
+    """Publish a batch of a stream (K6). Text files of a batch written again replace those before; a topic gets them once more."""
+    if topic:
+        publish(messages, where, topic)
+    else:
+        messages.select("value").write.mode("overwrite").text(f"{where.rstrip('/')}/{_batch_folder(app_id, run, batch_id)}")
+
+
 class _Folder:
     """The few file operations compaction needs, through Hadoop's file system API."""
 
@@ -100,12 +109,13 @@ class _Folder:
             return []
         return sorted(s.getPath().getName() for s in self.fs.listStatus(self.at(*below)) if s.isDirectory())
 
-    def batches(self) -> list[int]:
-        return sorted(int(n.split("=")[1]) for n in self.names() if n.startswith(f"{TXN}="))
+    def batches(self) -> list[str]:
+        """Folders of the batches, by writer and number."""
+        return sorted((n for n in self.names() if n.startswith(f"{TXN}=")), key=_batch_of)
 
-    def layout(self, batch: int) -> list[str]:
+    def layout(self, batch: str) -> list[str]:
         """Partition columns of a batch, from the names of its folders."""
-        below, columns = [f"{TXN}={batch}"], []
+        below, columns = [batch], []
         while found := [n for n in self.names(*below) if "=" in n]:
             columns.append(found[0].split("=")[0])
             below.append(found[0])
@@ -146,17 +156,17 @@ def compact(spark: SparkSession, path: str, target_mb: int = 128, partition_by:
         else:
             folder.fs.delete(folder.at(STAGING, span), True)
     batches = folder.batches()
-    writers: dict[int, list[int]] = {}
+    writers: dict[str, list[str]] = {}
     for batch in batches:
-        writers.setdefault(batch >> WRITER_BITS, []).append(batch)
+        writers.setdefault(_batch_of(batch)[0], []).append(batch)
     newest = {b for own in writers.values() for b in own[len(own) - keep_latest:]} if keep_latest else set()
     target = target_mb * 1024 * 1024
-    runs: list[list[int]] = [[]]
+    runs: list[list[str]] = [[]]
     for batch in (b for b in batches if b not in newest):
         layout = folder.layout(batch)
-        if runs[-1] and (runs[-1][-1] >> WRITER_BITS != batch >> WRITER_BITS or folder.layout(runs[-1][-1]) != layout):
+        if runs[-1] and (_batch_of(runs[-1][-1])[0] != _batch_of(batch)[0] or folder.layout(runs[-1][-1]) != layout):
             runs.append([])
-        if folder.mean_file_size(f"{TXN}={batch}") < target / 2:
+        if folder.mean_file_size(batch) < target / 2:
             runs[-1].append(batch)
         elif runs[-1]:
             runs.append([])
@@ -166,9 +176,10 @@ def compact(spark: SparkSession, path: str, target_mb: int = 128, partition_by:
     return bool(runs)
 
 
-def _merge(spark: SparkSession, folder: _Folder, run: list[int], target: int, partition_by: Sequence[str]) -> None:
-    span = f"{run[0]}-{run[-1]}"
-    sources = [f"{folder.root}/{TXN}={b}" for b in run]
+def _merge(spark: SparkSession, folder: _Folder, run: list[str], target: int, partition_by: Sequence[str]) -> None:
+    # named after the batch whose place it takes, and the first one it holds
+    span = f"{run[-1]}@{_batch_of(run[0])[1]}"
+    sources = [f"{folder.root}/{b}" for b in run]
     rows = spark.read.option("basePath", folder.root).option("mergeSchema", "true").parquet(*sources).drop(TXN)
     # Pieces of the target size, also where one partition holds most of the rows.
     advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
@@ -183,12 +194,18 @@ def _merge(spark: SparkSession, folder: _Folder, run: list[int], target: int, pa
 
 
 def _swap_in(folder: _Folder, span: str) -> None:
-    first, last = (int(x) for x in span.split("-"))
+    last, _, first = span.rpartition("@")
     stamp = str(int(time.time() * 1000))
     for batch in folder.batches():
-        if first <= batch <= last:
-            folder.move([f"{TXN}={batch}"], [SUPERSEDED, stamp, f"{TXN}={batch}"])
-    folder.move([STAGING, span], [f"{TXN}={last}"])
+        if _batch_of(batch)[0] == _batch_of(last)[0] and int(first) <= _batch_of(batch)[1] <= _batch_of(last)[1]:
+            folder.move([batch], [SUPERSEDED, stamp, batch])
+    folder.move([STAGING, span], [last])
+
+
+def replaced_batches(spark: SparkSession, path: str) -> list[str]:
+    """Batch folders that compaction replaced and expiry has not deleted yet."""
+    folder = _Folder(spark, path)
+    return [batch for stamp in folder.names(SUPERSEDED) for batch in folder.names(SUPERSEDED, stamp)]
 
 
 def expire(spark: SparkSession, path: str, hours: float = RETENTION_HOURS, force: bool = False) -> int:

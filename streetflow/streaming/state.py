@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -25,9 +25,21 @@ from streetflow.session import stage
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # Warm start minutes, long enough for twelve readings at five-minute steps.
 WARM_START_MINUTES = 60.0
+# Fixed value: the reason of a reading whose sensor has too short a past.
+WARMING_UP = "warming_up"
+
+# Readings of a key whose features are computed together.
+PIECE_ROWS = 100_000
+# Lane of the messages that reach the sensors' state, and number of lanes of those that don't.
+ACCEPTED = -1
+LANES = 64
 
 LAG_SCHEMA = ("sensor_id string, ts timestamp, speed double, "
               + ", ".join(f"{name} double" for name in LAGS) + ", rolling_mean_30min double")
+# Kinds of changes at a camera, and their rows between the two steps of its counts.
+ARRIVAL, FRAME, DEPARTURE = 0, 1, 2
+CHANGE_SCHEMA = "camera_id string, shard int, frame_id string, t bigint, kind int, delta bigint, new bigint"
+CAMERA_PARTS = 32
 COUNT_SCHEMA = ("camera_id string, frame_id string, ts timestamp, unique_count_5min bigint,"
                 " unique_count_session bigint")
 
@@ -36,14 +48,38 @@ def use_state_store(spark) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
 
 
-def _in_order(rows: Iterator[pd.DataFrame], ts: str, tie: str) -> pd.DataFrame:
-    """The rows of a key in one batch, in order of time; most often they come that way."""
-    chunks = list(rows)
-    whole = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
-    times = whole[ts].to_numpy()
-    if (times[1:] > times[:-1]).all():
-        return whole
-    return whole.sort_values([ts, tie], ignore_index=True)
+def _gathered(rows: Iterator[pd.DataFrame], order: tuple[str, str], *names: str) -> list[np.ndarray]:
+    """The named columns of a key's rows in one batch as plain arrays, put in order; most often rows come that way.
+
+    A chunk's frame is let go as soon as its columns are taken.
+    """
+    chunks = [[chunk[c].to_numpy() for c in (*order, *names)] for chunk in rows]
+    ts, tie, *others = (np.concatenate(parts) for parts in zip(*chunks))
+    if not (ts[1:] > ts[:-1]).all():
+        place = pd.DataFrame({"ts": ts, "tie": tie}).sort_values(["ts", "tie"], kind="stable").index.to_numpy()
+        ts, others = ts[place], [x[place] for x in others]
+    return [ts, *others]
+
+
+def _pieces(past: np.ndarray, speeds: np.ndarray) -> Iterator[tuple[slice, int, dict[str, np.ndarray]]]:
+    """Walk a key's readings in pieces, carrying the last speeds from one to the next.
+
+    Gives for each piece its place, how many of its first readings have too short a past, and the lags and means of the others.
+    """
+    least = max(LAGS.values())
+    for low in range(0, len(speeds), PIECE_ROWS):
+        own = slice(low, min(low + PIECE_ROWS, len(speeds)))
+        known = np.concatenate([past, speeds[own]])
+        short = min(max(least - len(past), 0), own.stop - own.start)
+        place = np.arange(len(past) + short, len(known))
+        out = {name: known[place - back] for name, back in LAGS.items()}
+        # as in batch: means leave missing speeds out
+        recent = np.array([known[place - i] for i in range(1, ROLLING_ROWS + 1)])
+        there = ~np.isnan(recent)
+        with np.errstate(invalid="ignore"):
+            out["rolling_mean_30min"] = np.where(there, recent, 0).sum(axis=0) / there.sum(axis=0)
+        yield own, short, out
+        past = known[-HISTORY_ROWS:]
 
 
 class RecentSpeeds(StatefulProcessor):
@@ -56,39 +92,57 @@ class RecentSpeeds(StatefulProcessor):
         speeds = np.concatenate([np.asarray(s, dtype=float) for s in initialState["speeds"]])
         self._recent.update((speeds[-HISTORY_ROWS:].tolist(),))
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        now = _in_order(rows, "ts", "tie")
+    def _past(self, speeds: np.ndarray) -> np.ndarray:
+        """The speeds before these, which become the next past."""
         stored = self._recent.get()
         past = np.asarray(stored[0] if stored else [], dtype=float)
-        speeds = np.concatenate([past, now["speed"].to_numpy(dtype=float)])
-        self._recent.update((speeds[-HISTORY_ROWS:].tolist(),))
-        first = max(max(LAGS.values()) - len(past), 0)
-        if first >= len(now):
-            return
-        place = np.arange(len(past) + first, len(speeds))
-        out = {"sensor_id": key[0], "ts": now["ts"].to_numpy()[first:], "speed": speeds[place]}
-        for name, back in LAGS.items():
-            out[name] = speeds[place - back]
-        # as in batch: means leave missing speeds out, readings with a missing feature are dropped
-        recent = np.array([speeds[place - i] for i in range(1, ROLLING_ROWS + 1)])
-        known = ~np.isnan(recent)
-        with np.errstate(invalid="ignore"):
-            out["rolling_mean_30min"] = np.where(known, recent, 0).sum(axis=0) / known.sum(axis=0)
-        yield pd.DataFrame(out).dropna(subset=[*LAGS, "rolling_mean_30min"])
+        self._recent.update((np.concatenate([past, speeds[-HISTORY_ROWS:]])[-HISTORY_ROWS:].tolist(),))
+        return past
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        ts, speeds = _gathered(rows, ("ts", "tie"), "speed")
+        speeds = speeds.astype(float)
+        for own, short, lags in _pieces(self._past(speeds), speeds):
+            rest = slice(own.start + short, own.stop)
+            # readings with a missing feature are dropped
+            yield pd.DataFrame({"sensor_id": key[0], "ts": ts[rest], "speed": speeds[rest], **lags}).dropna(subset=[*LAGS, "rolling_mean_30min"])
 
     def close(self) -> None:
         pass
 
 
-def warm_state(readings: DataFrame, minutes: float = WARM_START_MINUTES) -> DataFrame:
+class TaggedSpeeds(RecentSpeeds):
+    """As RecentSpeeds, but every message leaves: with its features, or with the reason why it has none (A10, V9)."""
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        lane, sensor = key
+        if lane != ACCEPTED:
+            for chunk in rows:
+                yield chunk[["sensor_id", "ts", "speed", "timestamp", "reason"]].assign(**dict.fromkeys((*LAGS, "rolling_mean_30min"), np.nan))
+            return
+        ts, speeds, texts = _gathered(rows, ("ts", "timestamp"), "speed", "timestamp")
+        speeds = speeds.astype(float)
+        for own, short, lags in _pieces(self._past(speeds), speeds):
+            early = np.full(short, np.nan)
+            lags = {name: np.concatenate([early, values]) for name, values in lags.items()}
+            missing = np.isnan(np.array(list(lags.values()))).any(axis=0)
+            yield pd.DataFrame({"sensor_id": sensor, "ts": ts[own], "speed": speeds[own], "timestamp": texts[own],
+                                "reason": np.where(missing, WARMING_UP, None), **lags})
+
+
+def warm_state(readings: DataFrame, minutes: float = WARM_START_MINUTES, used: Observation | None = None) -> DataFrame:
     """`(sensor_id, speeds)`: what each sensor last read, oldest first.
 
-    Stored at once: the state of a stream must not depend on what the table holds later.
+    Stored at once: the state of a stream must not depend on what the table holds later. `used` then has the
+    readings in the state as `rows` and the sensors as `sensors`.
     """
     clean = drop_missing(readings.select("sensor_id", "ts", "speed"), "sensor_id", "ts", "speed")
     recent = newest_rows(tail_window(clean, "ts", minutes), "sensor_id", "ts", "speed")
     entries = F.array_sort(F.collect_list(F.struct("ts", F.col("speed").cast("double").alias("speed"))))
-    return stage(recent.groupBy("sensor_id").agg(F.transform(entries, lambda e: e["speed"]).alias("speeds")))
+    state = recent.groupBy("sensor_id").agg(F.transform(entries, lambda e: e["speed"]).alias("speeds"))
+    if used is not None:
+        state = state.observe(used, F.coalesce(F.sum(F.size("speeds")), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("sensors"))
+    return stage(state)
 
 
 def stream_features(readings: DataFrame, tie: str, warm: DataFrame | None = None) -> DataFrame:
@@ -106,63 +160,143 @@ def stream_features(readings: DataFrame, tie: str, warm: DataFrame | None = None
     return lagged.withColumns(calendar_columns(F.col("ts")))
 
 
-class VehiclesSeen(StatefulProcessor):
-    """Distinct vehicles of a camera in the window and since the start.
+def tagged_features(rows: DataFrame, warm: DataFrame | None = None) -> DataFrame:
+    """Every row of a stream `(sensor_id, ts, speed, timestamp, reason)` with its features or the reason why it has none.
 
-    The window state holds the vehicles seen within the window. The session state holds one
-    entry per vehicle ever seen, which grows with the camera's traffic: that is what a count
-    since the start means.
+    Rows that have a reason already go past the sensors' state, in lanes of their own, so that many bad messages don't meet in one task.
+    """
+    use_state_store(rows.sparkSession)
+    lane = F.when(F.col("reason").isNull(), F.lit(ACCEPTED)).otherwise(F.pmod(F.xxhash64("timestamp", "sensor_id", "ts", "speed"), F.lit(LANES))).cast("int")
+    keyed = rows.select(lane.alias("lane"), F.when(F.col("reason").isNull(), F.col("sensor_id")).alias("sensor"), "sensor_id", "ts",
+                        F.col("speed").cast("double").alias("speed"), "timestamp", "reason").groupBy("lane", "sensor")
+    if warm is not None:
+        warm = warm.select(F.lit(ACCEPTED).alias("lane"), F.col("sensor_id").alias("sensor"), "speeds").groupBy("lane", "sensor")
+    tagged = keyed.transformWithStateInPandas(
+        TaggedSpeeds(), outputStructType=f"timestamp string, reason string, {LAG_SCHEMA}", outputMode="Append", timeMode="None", initialState=warm)
+    return tagged.withColumns(calendar_columns(F.col("ts")))
+
+
+class VehicleChanges(StatefulProcessor):
+    """First of two steps of the counts: which vehicles come and go, by camera and part of its vehicles.
+
+    A sighting after a longer gap than the window is an arrival; each vehicle leaves a window's length after its last
+    sighting, which is announced at once and taken back if it is seen again before. The window state holds the
+    vehicles a part saw within the window when it was last seen, the session state one entry for every
+    vehicle ever seen, which grows with the traffic: that is what a count since the start means. It is asked
+    only for arrivals. Frames pass through.
     """
 
-    def __init__(self, seconds: float):
-        self._width = round(seconds * 1_000_000)
+    def __init__(self, width: int):
+        self._width = width
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._recent = handle.getValueState("recent", "ids array<bigint>, last array<bigint>")
         self._ever = handle.getMapState("ever", "id bigint", "seen boolean")
-        self._total = handle.getValueState("total", "n bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        frames = _in_order(rows, "ts", "frame_id")
-        at = frames["ts"].astype("datetime64[us]").astype("int64").to_numpy()
-        ids = frames["track_ids"].map(lambda x: [] if x is None else list(x))
-        seen = pd.DataFrame({"id": ids, "t": at}).explode("id").dropna(subset=["id"]).astype("int64")
-
-        stored = self._total.get()
-        total = stored[0] if stored else 0
-        first = seen.groupby("id")["t"].min()
-        first = first[[not self._ever.containsKey((int(i),)) for i in first.index]]
-        for i in first.index:
-            self._ever.updateValue((int(i),), (True,))
-        session = total + np.searchsorted(np.sort(first.to_numpy()), at, side="right")
-        self._total.update((int(total + len(first)),))
-
-        recent = self._recent.get()
-        if recent:
-            old_ids, old_last = recent
-            seen = pd.concat([pd.DataFrame({"id": list(old_ids), "t": list(old_last)}, dtype="int64"), seen])
-        seen = seen.drop_duplicates().sort_values(["id", "t"], ignore_index=True)
-        same_before = seen["id"].eq(seen["id"].shift())
-        same_after = seen["id"].eq(seen["id"].shift(-1))
-        arrives = ~(same_before & (seen["t"] - seen["t"].shift() <= self._width))
-        departs = ~(same_after & (seen["t"].shift(-1) - seen["t"] <= self._width))
-        come = np.sort(seen["t"][arrives].to_numpy())
-        gone = np.sort(seen["t"][departs].to_numpy()) + self._width
-        window = np.searchsorted(come, at, side="right") - np.searchsorted(gone, at, side="left")
-
-        last = seen.groupby("id")["t"].max()
-        last = last[last >= at[-1] - self._width]
-        self._recent.update(([int(i) for i in last.index], [int(t) for t in last]))
-        yield pd.DataFrame({"camera_id": key[0], "frame_id": frames["frame_id"], "ts": frames["ts"],
-                            "unique_count_5min": window.astype("int64"), "unique_count_session": session.astype("int64")})
+        camera, part = key
+        if part < 0:
+            # frames without a camera are not brought together
+            shard = part if camera is None else 0
+            for chunk in rows:
+                yield pd.DataFrame({"camera_id": camera, "shard": shard, "frame_id": chunk["frame_id"], "t": chunk["t"], "kind": FRAME, "delta": 0, "new": 0})
+            return
+        ids, times = (np.concatenate(x) for x in zip(*[(chunk["id"].to_numpy(), chunk["t"].to_numpy()) for chunk in rows]))
+        stored = self._recent.get()
+        old_ids, old_last = (np.asarray(x, dtype=np.int64) for x in stored) if stored else (np.zeros(0, np.int64),) * 2
+        # a sighting that comes late counts as of the last one
+        place = np.searchsorted(old_ids, ids).clip(max=max(len(old_ids) - 1, 0))
+        if len(old_ids):
+            times = np.where(old_ids[place] == ids, np.maximum(times, old_last[place]), times)
+        newest = times.max()
+        # the last sighting of earlier batches stands before the new ones
+        every, at = np.concatenate([old_ids, ids]), np.concatenate([old_last, times])
+        known = np.arange(len(every)) < len(old_ids)
+        order = np.lexsort((~known, at, every))
+        every, at, known = every[order], at[order], known[order]
+        same = np.append(every[1:] == every[:-1], False)
+        before = np.append(False, same[:-1])
+        gap = np.append(0, np.diff(at)) if len(at) else at
+        near = before & (gap <= self._width)
+        again = np.append(near[1:], False)
+        come = ~near & ~known
+        leave = ~again & ~known
+        back = known & again  # announced by an earlier batch
+        first = come & ~before
+        new = np.zeros(len(every), np.int64)
+        for i in np.flatnonzero(first):
+            if not self._ever.containsKey((int(every[i]),)):
+                self._ever.updateValue((int(every[i]),), (True,))
+                new[i] = 1
+        last = ~same & (at >= newest - self._width)
+        self._recent.update((every[last].tolist(), at[last].tolist()))
+        out = [(at[come], ARRIVAL, 1, new[come]), (at[leave] + self._width, DEPARTURE, -1, 0), (at[back] + self._width, DEPARTURE, 1, 0)]
+        rows = pd.concat([pd.DataFrame({"t": t, "kind": kind, "delta": delta, "new": n}) for t, kind, delta, n in out])
+        rows = rows.groupby(["t", "kind"], as_index=False).sum()
+        yield rows[(rows["delta"] != 0) | (rows["new"] != 0)].assign(camera_id=camera, shard=0, frame_id=None)[
+            ["camera_id", "shard", "frame_id", "t", "kind", "delta", "new"]]
 
     def close(self) -> None:
         pass
 
 
-def stream_counts(frames: DataFrame, seconds: float = UNIQUE_WINDOW_SEC) -> DataFrame:
-    """Both counts at each frame of a stream `(camera_id, frame_id, ts, track_ids)`."""
+class CameraTotals(StatefulProcessor):
+    """Second step: running sums of a camera's changes at each of its frames.
+
+    It sees a frame as one number and a batch's vehicles as summed changes. At one instant arrivals come before the frame and
+    departures after it. Departures that no frame has reached yet are kept.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._totals = handle.getValueState("totals", "inside bigint, session bigint, times array<bigint>, deltas array<bigint>")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        names = ("t", "kind", "delta", "new", "frame_id")
+        t, kind, delta, new, frame = (np.concatenate(x) for x in zip(*[[chunk[c].to_numpy() for c in names] for chunk in rows]))
+        stored = self._totals.get()
+        inside, session, times, deltas = stored if stored else (0, 0, [], [])
+        frames, arrivals, departures = (np.flatnonzero(kind == k) for k in (FRAME, ARRIVAL, DEPARTURE))
+        frames = frames[np.lexsort((frame[frames].astype(str), t[frames]))]
+        arrivals = arrivals[np.argsort(t[arrivals], kind="stable")]
+        leave_t = np.concatenate([np.asarray(times, np.int64), t[departures]])
+        leave_d = np.concatenate([np.asarray(deltas, np.int64), delta[departures]])
+        order = np.argsort(leave_t, kind="stable")
+        leave_t, leave_d = leave_t[order], leave_d[order]
+        # sums over the changes before each frame
+        came = np.concatenate([[0], np.cumsum(delta[arrivals])])
+        seen = np.concatenate([[0], np.cumsum(new[arrivals])])
+        left = np.concatenate([[0], np.cumsum(leave_d)])
+        upto = np.searchsorted(t[arrivals], t[frames], side="right")
+        gone = np.searchsorted(leave_t, t[frames], side="left")
+        # all arrivals of the batch count from now on; departures wait for a frame that is later
+        done = int(gone.max(initial=0))
+        pending = pd.Series(leave_d[done:]).groupby(leave_t[done:]).sum()
+        pending = pending[pending != 0]
+        self._totals.update((int(inside + came[-1] + left[done]), int(session + seen[-1]), [int(x) for x in pending.index], [int(x) for x in pending]))
+        if len(frames):
+            yield pd.DataFrame({"camera_id": key[0], "frame_id": frame[frames], "ts": pd.to_datetime(t[frames], unit="us"),
+                                "unique_count_5min": inside + came[upto] + left[gone], "unique_count_session": session + seen[upto]})
+
+    def close(self) -> None:
+        pass
+
+
+def stream_counts(frames: DataFrame, seconds: float = UNIQUE_WINDOW_SEC, parts: int = CAMERA_PARTS) -> DataFrame:
+    """Both counts at each frame of a stream `(camera_id, frame_id, ts, track_ids)`.
+
+    A camera's vehicles are split in `parts`, which keep who was seen in tasks of their own; what a camera's own task gets
+    are its frames and their changes. Frames without a camera have counts of 0.
+    """
     use_state_store(frames.sparkSession)
-    keyed = frames.select("camera_id", "frame_id", "ts", F.col("track_ids").cast("array<bigint>").alias("track_ids"))
-    return keyed.groupBy("camera_id").transformWithStateInPandas(
-        VehiclesSeen(seconds), outputStructType=COUNT_SCHEMA, outputMode="Append", timeMode="None")
+    t = F.unix_micros("ts")
+    sighting = lambda x: F.struct(F.pmod(F.xxhash64(x), F.lit(parts)).cast("int").alias("part"), x.alias("id"))
+    ids = F.array_distinct(F.filter(F.coalesce(F.when(F.col("camera_id").isNotNull(), F.col("track_ids")).cast("array<bigint>"), F.array().cast("array<bigint>")), lambda x: x.isNotNull()))
+    lane = (-1 - F.pmod(F.xxhash64("frame_id", t), F.lit(parts))).cast("int")
+    # without nulls, which would make pandas turn ids into fractions
+    own = F.array(F.struct(lane.alias("part"), F.lit(0).cast("bigint").alias("id")))
+    rows = frames.select("camera_id", "frame_id", t.alias("t"), F.explode(F.concat(F.transform(ids, sighting), own)).alias("x"))
+    rows = rows.select("camera_id", F.when(F.col("x.part") < 0, F.col("frame_id")).alias("frame_id"), "t", "x.*")
+    changes = rows.groupBy("camera_id", "part").transformWithStateInPandas(
+        VehicleChanges(round(seconds * 1_000_000)), outputStructType=CHANGE_SCHEMA, outputMode="Append", timeMode="None")
+    return changes.groupBy("camera_id", "shard").transformWithStateInPandas(
+        CameraTotals(), outputStructType=COUNT_SCHEMA, outputMode="Append", timeMode="None")

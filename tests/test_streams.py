@@ -11,7 +11,7 @@ from streetflow.operators.windows import frame_counts, speed_features
 from streetflow.sinks.tables import publish, to_keyed_json
 from streetflow.sources.streams import stream_source
 from streetflow.sources.tables import load_table, read_table
-from streetflow.streaming import ingest, state
+from streetflow.streaming import ingest, scoring, state
 
 PATHS = [("1", {"0": 2}), ("2", {})]
 
@@ -231,3 +231,114 @@ def test_a_missing_speed_gives_the_same_features_as_in_batch(spark, tmp_path):
     want = shown(speed_features(df, order=("ts", "id")))
     assert got.count() == want.count() < 3 * 28
     assert shown(got).exceptAll(want).count() == 0
+
+
+def test_one_camera_with_all_the_traffic(spark, tmp_path):
+    """Its vehicles are kept in many tasks; late and repeated sightings across batches included."""
+    frames = spark.range(1500).select(
+        F.when(F.col("id") % 3 == 0, F.lit("quiet")).otherwise("busy").alias("camera_id"), F.format_string("%05d", "id").alias("frame_id"),
+        F.timestamp_seconds(F.floor(F.col("id") / 4) * 20).alias("ts"),
+        F.transform(F.sequence(F.lit(0), F.col("id") % 4), lambda i: F.pmod(F.xxhash64("id", i), F.lit(400))).alias("track_ids"))
+    got = None
+    for low, high in ((0, 500), (500, 504), (504, 1500)):
+        send(spark, tmp_path / "in", frames.filter((F.col("frame_id") >= f"{low:05d}") & (F.col("frame_id") < f"{high:05d}")).repartition(3))
+        got = collect(spark, state.stream_counts(decode(stream_source(spark, "text", str(tmp_path / "in")), FRAME), parts=4), tmp_path)
+    names = ["camera_id", "frame_id", "unique_count_5min", "unique_count_session"]
+    want = frame_counts(frames).select(names)
+    assert got.count() == 1500 and got.select(names).exceptAll(want).count() == 0
+
+
+def test_a_late_sighting_leaves_no_trace(spark, tmp_path):
+    def frame(name, t, ids):
+        return spark.createDataFrame([("c", name, t, ids)], "camera_id string, frame_id string, t bigint, track_ids array<bigint>").withColumn(
+            "ts", F.timestamp_seconds("t")).drop("t")
+
+    got = None
+    for batch in (frame("a", 1000, [1]), frame("b", 900, [1, 2]), frame("c", 1250, []), frame("d", 2000, [2])):
+        send(spark, tmp_path / "in", batch)
+        got = collect(spark, state.stream_counts(decode(stream_source(spark, "text", str(tmp_path / "in")), FRAME), parts=2), tmp_path)
+    assert {r.frame_id: (r.unique_count_5min, r.unique_count_session) for r in got.collect()} == {"a": (1, 1), "b": (2, 2), "c": (1, 2), "d": (1, 2)}
+
+
+def test_many_readings_of_one_sensor_in_a_batch(spark, tmp_path):
+    df = spark.range(400_000).select(F.lit("s").alias("sensor_id"), F.timestamp_seconds(F.col("id") * 60).alias("ts"),
+                                     (F.col("id") * 37 % 90).cast("double").alias("speed"), "id")
+    send(spark, tmp_path / "in", df.repartition(4))
+    got = collect(spark, state.stream_features(decode(stream_source(spark, "text", str(tmp_path / "in")), READING), "id"), tmp_path)
+    want = shown(speed_features(df, order=("ts", "id")))
+    assert got.count() == 400_000 - 12 and shown(got).exceptAll(want).count() == 0
+
+
+def test_pieces_carry_the_past(monkeypatch):
+    import numpy as np
+    speeds = np.arange(100.0) ** 2
+    whole = list(state._pieces(np.zeros(0), speeds))
+    monkeypatch.setattr(state, "PIECE_ROWS", 7)
+    pieces = list(state._pieces(np.zeros(0), speeds))
+    assert [short for _, short, _ in pieces[:3]] == [7, 5, 0]
+    for name in whole[0][2]:
+        assert (np.concatenate([lags[name] for *_, lags in pieces]) == whole[0][2][name]).all()
+
+
+def test_warm_start_reports_its_rows(spark):
+    from pyspark.sql import Observation
+    used = Observation()
+    warm = state.warm_state(readings(spark), minutes=60, used=used)
+    assert warm.count() == 3 and used.get == {"rows": 36, "sensors": 3}
+
+
+def stamp(i):
+    return f"2022-01-01 00:{i:02d}:00"
+
+
+def test_scoring_job(spark, tmp_path):
+    """Every message ends as one record or one skip; a second run goes on with the sensors' state."""
+    bad = ["{broken", "[1]", message(1, 500.0), message(1, 50.0, timestamp="yesterday")]
+    first = [message(1, float(i), timestamp=stamp(i)) for i in range(14)] + bad
+    score = lambda rows: rows.withColumn("prediction", F.when(F.col("lag_5min") != 13, F.col("lag_1h")))
+    (tmp_path / "in").mkdir()
+    for name, lines in (("0", first), ("1", [message(1, 99.0, timestamp=stamp(14)), message(1, 98.0, timestamp=stamp(15))])):
+        (tmp_path / "in" / f"{name}.txt").write_text("\n".join(lines) + "\n")
+        finish(scoring.start_scoring(stream_source(spark, "text", str(tmp_path / "in")), score, str(tmp_path / "out"), str(tmp_path / "ckpt"), str(tmp_path / "topic")))
+    sent = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "topic")).collect()]
+    assert sorted((m["sensor_id"], m["timestamp"], m["actual_speed"], m["predicted_speed"], m["horizon_minutes"]) for m in sent) == [
+        ("s1", stamp(12), 12.0, 0.0, 0), ("s1", stamp(13), 13.0, 1.0, 0), ("s1", stamp(15), 98.0, 3.0, 0)]
+    skipped = load_table(spark, str(tmp_path / "out" / "scoring_skipped"))
+    assert {(r.reason, r.batch_id): r.n for r in skipped.groupBy("reason", "batch_id").agg(F.count("*").alias("n")).collect()} == {
+        ("json_decode_error", 0): 1, ("schema_invalid", 0): 2, ("bad_timestamp", 0): 1, ("warming_up", 0): 12, ("output_invalid", 1): 1}
+    totals = load_table(spark, str(tmp_path / "out" / "scoring_counts"))
+    assert totals.agg(F.sum("n")).first()[0] == len(first) + 2
+    assert {(r.key, r.n) for r in totals.where("outcome = 'processed'").collect()} == {("s1", 2), ("s1", 1)}
+
+
+def test_a_repeated_batch_of_a_job_replaces_its_outputs(spark, tmp_path):
+    rows = spark.createDataFrame([("s", "t", None), ("s", "u", "warming_up")], "sensor_id string, timestamp string, reason string")
+    for batch in (rows, rows.where("reason is null")):
+        scoring._outputs(batch, ["sensor_id", "timestamp"], "sensor_id", "timestamp", str(tmp_path), "job", 3, str(tmp_path / "topic"), None, "run")
+    assert spark.read.text(str(tmp_path / "topic")).count() == 1
+    assert load_table(spark, str(tmp_path / "job_skipped")).count() == 0
+    assert [(r.outcome, r.key, r.n) for r in load_table(spark, str(tmp_path / "job_counts")).collect()] == [("processed", "s", 1)]
+
+
+def test_camera_job(spark, tmp_path):
+    import base64
+
+    def frame(name, age=1.0, image="1,2", **more):
+        return json.dumps({"camera_id": "a/b", "frame_id": name, "timestamp": 1000.0, "frame_b64": base64.b64encode(image.encode()).decode(), "ingested_at": 1000.0 + age, **more})
+
+    lines = [frame("f0"), frame("f1", age=10.0), frame("f2", age=10.5), frame("f3", frame_b64="*"), frame("f4", image="none"), frame("f5", image="-1"), "{", frame("f6", camera_id="")]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "0.txt").write_text("\n".join(lines) + "\n")
+
+    def detect(frames):
+        ids = F.when(F.col("image") != F.lit(b"none"), F.split(F.col("image").cast("string"), ",").cast("array<bigint>"))
+        return frames.withColumn("track_ids", ids).withColumn("inference_ms", F.lit(2.5))
+
+    finish(scoring.start_cameras(stream_source(spark, "text", str(tmp_path / "in")), detect, str(tmp_path / "out"), str(tmp_path / "ckpt"), str(tmp_path / "topic"),
+                                 now=F.col("ingested_at"), parts=2))
+    sent = {m["frame_id"]: m for m in (json.loads(r.value) for r in spark.read.text(str(tmp_path / "topic")).collect())}
+    assert sorted(sent) == ["f0", "f1"] and sent["f0"]["unique_count_session"] == 3 and sent["f1"]["track_ids"] == [1, 2]
+    assert sent["f0"]["frame_url"].endswith("/a_b/f0.jpg") and sent["f0"]["inference_ms"] == 2.5
+    skipped = load_table(spark, str(tmp_path / "out" / "cameras_skipped"))
+    assert sorted((r.frame_id or "", r.reason) for r in skipped.collect()) == [
+        ("", "json_decode_error"), ("f2", "stale"), ("f3", "decode_error"), ("f4", "decode_error"), ("f5", "output_invalid"), ("f6", "schema_invalid")]
