@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streetflow.llm.tables import keep
+from streetflow.llm.tables import keep, release
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -23,12 +23,13 @@ def components(links: DataFrame) -> DataFrame:
         taken = keep(far.select(F.col("a").alias("v"), F.least("a", "m").alias("p")), "taken")
         ends = (edges.join(taken.select(F.col("v").alias("a"), F.col("p").alias("pa")), "a")
                 .join(taken.select(F.col("v").alias("b"), F.col("p").alias("pb")), "b"))
-        edges = keep(ends.where("pa <> pb").select(F.col("pa").alias("a"), F.col("pb").alias("b")).distinct(), "edges")
+        done, edges = edges, keep(ends.where("pa <> pb").select(F.col("pa").alias("a"), F.col("pb").alias("b")).distinct(), "edges")
         if label is None:
-            label = taken.withColumnRenamed("p", "root")
+            label, old = keep(taken.withColumnRenamed("p", "root"), "label"), ()
         else:
             step = taken.select(F.col("v").alias("root"), F.col("p").alias("next"))
-            label = keep(label.join(step, "root", "left").select("v", F.coalesce("next", "root").alias("root")), "label")
+            old, label = (label,), keep(label.join(step, "root", "left").select("v", F.coalesce("next", "root").alias("root")), "label")
+        release(done, taken, *old)
     if label is None:
-        return edges.select(F.col("a").alias("v"), F.col("b").alias("root"))
+        return keep(edges.select(F.col("a").alias("v"), F.col("b").alias("root")), "label")
     return label

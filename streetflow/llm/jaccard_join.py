@@ -8,9 +8,10 @@ document the smallest id that it reaches by links.
 
 Equal sets are one point. In this space almost all points lie at distance 1 from each other, so
 pivots are set where neighbours are: the radius bounds how many shingles two linked sets can differ
-in; with two more parts than that, cut by shingle hash, linked sets agree in two parts or more, so
-they meet in a region, the points that agree in one part. (A set with two or more empty parts meets
-others like it by the rarest-hash prefix of its shingles instead.) Each region takes as pivot
+in; of one part more than that, cut by shingle hash and not empty, linked sets agree in one at least. So each set
+takes its first so many parts in order of the hash, and linked sets meet in a region, the points that agree in one part. There are enough parts for
+that in nearly all sets. (A set with too few that are not empty takes them all, and meets
+others like it by the least-hash prefix of its shingles as well.) Each region takes as pivot
 the point that shares most of its parts with others, the core of a group of copies if there is one,
 and the regions of one pivot form its cell. Every point's distance to its pivots is measured.
 
@@ -39,7 +40,7 @@ Equal rows are equal points. An empty table gives an empty result. Other columns
 
 from __future__ import annotations
 
-from functools import partial
+from functools import cache, partial
 from typing import NamedTuple
 
 import numpy as np
@@ -48,7 +49,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streetflow.llm.components import components
-from streetflow.llm.tables import keep, map_arrow, marked, marks, query, table
+from streetflow.llm.tables import drop_shuffles, keep, map_arrow, marked, marks, query, release, table
 from streetflow.llm.textscan import Slice, batch, lists, mix, signed, slices
 
 SHINGLE = 3
@@ -76,6 +77,23 @@ while _BOUNDS[-1] < 1 << 40:
 _BOUNDS = np.array(_BOUNDS, np.int64)
 
 
+@cache
+def _parting(percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each span of sizes, in how many shingles linked sets differ at most, and into how many parts they are cut.
+
+    So many parts that even the smallest set of the span, by its mean and two deviations, has more that are not empty than
+    the shingles it may differ in; where the sets are too small for that, twice as many as shingles.
+    """
+    low, top = _BOUNDS[:-1].astype(float), _BOUNDS[1:] - 1
+    differ = (100 - percent) * (top + 100 * top // percent) // (100 + percent)
+    parts = differ + 2.0
+    for _ in range(100):
+        empty = np.exp(-low / parts)
+        few = (parts * (1 - empty) - 2 * np.sqrt(parts * empty) < differ + 1) & (parts < 2 * low)
+        parts = np.where(few, parts * 1.05, parts)
+    return differ, np.ceil(parts).astype(np.int64)
+
+
 class Rule(NamedTuple):
     """Words a shingle, and the least similarity of linked documents."""
 
@@ -141,21 +159,21 @@ class _Sets:
         return out.view(np.int64)
 
     def regions(self) -> tuple[np.ndarray, np.ndarray]:
-        """(region, text) of every part that a text may agree in with a linked one."""
+        """(region, text) of parts of which linked texts agree in one at least."""
         band = np.searchsorted(_BOUNDS, self.n, "right") - 1
         keys, texts = [], []
         percent = self.percent
+        differs, parts_of = _parting(percent)
         lower = np.where(100 * (_BOUNDS[np.maximum(band, 1)] - 1) >= percent * self.n, band - 1, -1)
         for space in (band, lower):
-            top = _BOUNDS[np.maximum(space, 0) + 1] - 1
-            differ = (100 - percent) * (top + 100 * top // percent) // (100 + percent)
+            differ = differs[np.maximum(space, 0)]
             chosen = np.flatnonzero((space >= 0) & (self.n > 0) & (differ > 0))
             if not len(chosen):
                 continue
             size = self.n[chosen]
             of = np.repeat(np.arange(len(chosen)), size)
             at = np.repeat(self.first[chosen] - np.concatenate([[0], np.cumsum(size)])[:-1], size) + np.arange(size.sum())
-            grams, parts = self.grams[at], (differ[chosen] + 2).astype(np.uint64)
+            grams, parts = self.grams[at], parts_of[space[chosen]].astype(np.uint64)
             # grams are sorted, so a text's parts are consecutive
             part = ((grams >> np.uint64(32)) * parts[of]) >> np.uint64(32)
             new = np.ones(len(of), bool)
@@ -163,10 +181,12 @@ class _Sets:
             begins = np.flatnonzero(new)
             sums = np.add.reduceat(mix(grams), begins)
             text = of[begins]
+            place = np.arange(len(text)) - np.searchsorted(text, text)
+            wanted = place <= differ[chosen][text]
             label = part[begins] + (space[chosen][text].astype(np.uint64) << np.uint64(48))
-            keys.append(mix(sums ^ mix(label + np.uint64(1))))
-            texts.append(chosen[text])
-            sparse = np.flatnonzero(np.bincount(text, minlength=len(chosen)) + 2 <= parts.astype(np.int64))
+            keys.append(mix(sums ^ mix(label + np.uint64(1)))[wanted])
+            texts.append(chosen[text[wanted]])
+            sparse = np.flatnonzero(np.bincount(text, minlength=len(chosen)) <= differ[chosen])
             for i in sparse:
                 low, k = self.first[chosen[i]], int(self.n[chosen[i]])
                 prefix = self.grams[low: low + k - -(-percent * k // 100) + 1]
@@ -259,12 +279,14 @@ def _exact(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _measured(pairs: DataFrame, found: DataFrame, docs: DataFrame, rule: Rule, sets: DataFrame | None = None) -> DataFrame:
-    """pairs(a, b) with bounds low and high of their distance, and whether they link; sets: their shingles, if at hand."""
+    """pairs(a, b) with bounds low and high of their distance, and whether they link, as a table; sets: their shingles, if at hand."""
     one, two = (found.select(F.col("point").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in "ab")
     bounds = keep(map_arrow(pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "sa", "sb"), partial(_bounds, rule.percent), BOUND), "bounds")
     asked = bounds.where("may_link").select("a", "b")
     sure = _exact(asked, grams_of(docs, asked.select("a").union(asked.select("b")), rule) if sets is None else sets, rule.percent)
-    return sure.union(bounds.where("not may_link").select("a", "b", "low", F.lit(1.0).alias("high"), F.lit(False).alias("linked")))
+    rows = keep(sure.union(bounds.where("not may_link").select("a", "b", "low", F.lit(1.0).alias("high"), F.lit(False).alias("linked"))), "measured")
+    release(bounds)
+    return rows
 
 
 def links(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
@@ -272,24 +294,32 @@ def links(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     found = keep(members(docs, rule), "members")
     meet = keep(found.select(F.lit(0).cast("bigint").alias("parent"), F.explode("regions").alias("region"), "point",
                              (-F.size("regions")).alias("rank")), "meetings")
-    linked = roots = sets = None
+    drop_shuffles(docs.sparkSession)
+    linked = sets = None
     while True:
         cells = _cells(meet)
-        d = keep(_measured(_asked(cells), found, docs, rule, sets), "measured")
-        more = d.where("linked").select("a", "b")
+        d = _measured(_asked(cells), found, docs, rule, sets)
+        more = keep(d.where("linked").select("a", "b"), "links")
         linked = more if linked is None else linked.union(more)
         roots = components(linked)
         open_ = keep(_open(cells, d, roots), "open")
+        release(cells, d, meet)
         pairs = _pairs(open_, found, rule)
         if not pairs.isEmpty():
-            linked = linked.union(keep(_measured(pairs, found, docs, rule, sets).where("linked").select("a", "b"), "links"))
+            close = _measured(pairs, found, docs, rule, sets)
+            linked = linked.union(keep(close.where("linked").select("a", "b"), "links"))
+            release(roots, close)
             roots = components(linked)
+        release(pairs)
         large = open_.where(f"far_n > {MANY} or (near_n > {FEW} and near)")
         if large.isEmpty():
+            release(open_, found, *([] if sets is None else [sets]))
             return roots
         if sets is None:
             sets = keep(grams_of(docs, large.select("point").union(large.select("pivot")), rule), "sets")
         meet = _divided(large, roots, sets, rule.percent)
+        release(open_, roots)
+        drop_shuffles(docs.sparkSession)
 
 
 def _cells(meet: DataFrame) -> DataFrame:
@@ -327,7 +357,7 @@ def _pairs(cells: DataFrame, found: DataFrame, rule: Rule) -> DataFrame:
     A place of the bitmaps in which two sets disagree holds a shingle that only one of them has, and linked
     sets of n and m shingles differ in at most (n + m) r, r = (100 - percent) / (100 + percent); large sets disagree in fewer places and go on to the sketches.
     """
-    cells = keep(cells.where(f"near_n <= {FEW} or far_n <= {MANY}").join(found.select("point", "n", *MAPS), "point"), "compared")
+    cells = compared = keep(cells.where(f"near_n <= {FEW} or far_n <= {MANY}").join(found.select("point", "n", *MAPS), "point"), "compared")
     carried = ["near", "point", "low", "high", "root", "n", *MAPS]
     other = cells.select("cell", *(F.col(c).alias(f"{c}_p") for c in carried))
     reach = rule.radius + 1e-9
@@ -338,7 +368,9 @@ def _pairs(cells: DataFrame, found: DataFrame, rule: Rule) -> DataFrame:
     far = (cells.where((F.col("far_n") <= MANY) & ~F.col("near")).join(other, "cell")
            .where(may & (F.col("near_p") | (F.col("point") < F.col("point_p")))))
     pair = [F.least("point", "point_p").alias("a"), F.greatest("point", "point_p").alias("b")]
-    return keep(near.select(*pair).union(far.select(*pair)).distinct(), "pairs")
+    pairs = keep(near.select(*pair).union(far.select(*pair)).distinct(), "pairs")
+    release(compared)
+    return pairs
 
 
 def _divided(cells: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -365,7 +397,9 @@ def _divided(cells: DataFrame, roots: DataFrame, sets: DataFrame, percent: int)
                             "outside", (F.col("outside") & (F.col("at") >= F.col("far"))).alias("further")), "differences")
     used = (rows.groupBy("parent", "region").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.min("outside").alias("all_outside"))
             .where("a <> b").select("parent", "region", "all_outside"))
-    return keep(rows.join(used, ["parent", "region"]).where("not (further and all_outside)").select("parent", "region", "point", "rank"), "meetings")
+    meet = keep(rows.join(used, ["parent", "region"]).where("not (further and all_outside)").select("parent", "region", "point", "rank"), "meetings")
+    release(rows)
+    return meet
 
 
 def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

@@ -35,7 +35,25 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     """Write a table once to the folder that the cluster shares and go on from the written rows."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    rows = df.sparkSession.read.schema(df.schema).parquet(path)
+    rows.kept_path = path
+    return rows
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables that `keep` wrote, once nothing will read them again."""
+    for rows in tables:
+        spark = rows.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(rows.kept_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def drop_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more.
+
+    It does so when the driver's garbage collector finds them gone, which in a job of many rounds is long after their last use.
+    """
+    spark._jvm.System.gc()
 
 
 def map_arrow(df: DataFrame, work, schema) -> DataFrame:
