@@ -9,8 +9,9 @@ document the smallest id that it reaches by links.
 Equal sets are one point. In this space almost all points lie at distance 1 from each other, so
 pivots are set where neighbours are: the radius bounds how many shingles two linked sets can differ
 in; of one part more than that, cut by shingle hash and not empty, linked sets agree in one at least. So each set
-takes its first so many parts in order of the hash, and linked sets meet in a region, the points that agree in one part. There are enough parts for
-that in nearly all sets. (A set with too few that are not empty takes them all, and meets
+takes its first so many parts in one order for all, and linked sets meet in a region, the points that agree in one part. Parts that occur in
+more than POPULAR texts come last in that order, so that what many texts share, like a passage, brings together only texts that have little else.
+There are enough parts for that in nearly all sets. (A set with too few that are not empty takes them all, and meets
 others like it by the least-hash prefix of its shingles as well.) Each region takes as pivot
 the point that shares most of its parts with others, the core of a group of copies if there is one,
 and the regions of one pivot form its cell. Every point's distance to its pivots is measured.
@@ -58,6 +59,8 @@ PERCENT = 90
 LEAST_PERCENT = 70
 #: Points nearer to their pivot than NEAR are compared in pairs if the cell has at most FEW of them, others if it has at most MANY.
 NEAR = 0.5
+#: Parts in more texts than this are used last.
+POPULAR = 32
 FEW = 128
 MANY = 256
 #: Bitmaps of 64 bits that tell most pairs apart before their sketches are compared.
@@ -81,15 +84,15 @@ _BOUNDS = np.array(_BOUNDS, np.int64)
 def _parting(percent: int) -> tuple[np.ndarray, np.ndarray]:
     """For each span of sizes, in how many shingles linked sets differ at most, and into how many parts they are cut.
 
-    So many parts that even the smallest set of the span, by its mean and two deviations, has more that are not empty than
-    the shingles it may differ in; where the sets are too small for that, twice as many as shingles.
+    So many parts that even the smallest set of the span has a quarter more that are not empty than
+    the shingles it may differ in, by mean and two deviations; where the sets are too small for that, twice as many as shingles.
     """
     low, top = _BOUNDS[:-1].astype(float), _BOUNDS[1:] - 1
     differ = (100 - percent) * (top + 100 * top // percent) // (100 + percent)
     parts = differ + 2.0
     for _ in range(100):
         empty = np.exp(-low / parts)
-        few = (parts * (1 - empty) - 2 * np.sqrt(parts * empty) < differ + 1) & (parts < 2 * low)
+        few = (parts * (1 - empty) - 2 * np.sqrt(parts * empty) < 1.25 * (differ + 1)) & (parts < 2 * low)
         parts = np.where(few, parts * 1.05, parts)
     return differ, np.ceil(parts).astype(np.int64)
 
@@ -158,8 +161,8 @@ class _Sets:
             out[row] = np.packbits(np.bincount(at.astype(np.int64), minlength=places) & 1)
         return out.view(np.int64)
 
-    def regions(self) -> tuple[np.ndarray, np.ndarray]:
-        """(region, text) of parts of which linked texts agree in one at least."""
+    def regions(self, popular: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(region, text) of parts of which linked texts agree in one at least; of all parts without a bitmap of the popular ones."""
         band = np.searchsorted(_BOUNDS, self.n, "right") - 1
         keys, texts = [], []
         percent = self.percent
@@ -181,11 +184,16 @@ class _Sets:
             begins = np.flatnonzero(new)
             sums = np.add.reduceat(mix(grams), begins)
             text = of[begins]
-            place = np.arange(len(text)) - np.searchsorted(text, text)
-            wanted = place <= differ[chosen][text]
             label = part[begins] + (space[chosen][text].astype(np.uint64) << np.uint64(48))
-            keys.append(mix(sums ^ mix(label + np.uint64(1)))[wanted])
-            texts.append(chosen[text[wanted]])
+            own = mix(sums ^ mix(label + np.uint64(1)))
+            if popular is not None:
+                order = np.lexsort((part[begins], marked(popular, own), text))
+                wanted = order[np.arange(len(text)) - np.searchsorted(text, text) <= differ[chosen][text]]
+                own, of_own = own[wanted], text[wanted]
+            else:
+                of_own = text
+            keys.append(own)
+            texts.append(chosen[of_own])
             sparse = np.flatnonzero(np.bincount(text, minlength=len(chosen)) <= differ[chosen])
             for i in sparse:
                 low, k = self.first[chosen[i]], int(self.n[chosen[i]])
@@ -214,16 +222,19 @@ def _meetings(rule, batches):
 
 def members(docs: DataFrame, rule: Rule) -> DataFrame:
     """(point, regions, n, sketch) of the points that share a region with another point."""
-    counts = (map_arrow(docs.select("text"), partial(_meetings, rule), MEETING).groupBy("region")
-              .agg(F.min("point").alias("a"), F.max("point").alias("b")).where("a <> b").select("region"))
-    sent = docs.sparkSession.sparkContext.broadcast(marks(counts))
+    counts = keep(map_arrow(docs.select("text"), partial(_meetings, rule), MEETING).groupBy("region")
+                  .agg(F.min("point").alias("a"), F.max("point").alias("b"), F.count("*").alias("n")).where("a <> b")
+                  .select("region", (F.col("n") > POPULAR).alias("popular")), "counts")
+    sent = docs.sparkSession.sparkContext.broadcast((marks(counts.select("region")), marks(counts.where("popular").select("region"))))
+    release(counts)
 
     def work(batches):
         for b in batches:
             for _, part in slices(b.column("text"), lower=True):
                 found = _Sets(part, rule)
-                keys, texts = found.regions()
-                hit = marked(sent.value, keys)
+                shared, popular = sent.value
+                keys, texts = found.regions(popular)
+                hit = marked(shared, keys)
                 keys, texts = keys[hit], texts[hit]
                 order = np.argsort(texts, kind="stable")
                 chosen, n = np.unique(texts, return_counts=True)
