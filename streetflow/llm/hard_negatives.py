@@ -200,8 +200,8 @@ def mine(vectors: DataFrame, anchors: Column, key: str = "vec_id", vector: str =
 
 
 SQL = """
-with r as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, x -> floor(256 * x::double)) as v
-           from embeddings where label is not null and embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+with r as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * x::double)) as v
+           from embeddings where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 s as (select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as alike, list_inner_product(a.v, b.v)::bigint as score
       from r a join r b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
 p as (select anchor_id, id as positive_id, score as positive_score from s where alike
