@@ -73,6 +73,15 @@ def a16(spark, sf):
     return consumer_lag(*inputs.offsets(spark, sf))
 
 
+@query("j5_group_without_commit", "with " + OFFSETS_SQL.replace("readers as (select distinct", "readers as (select distinct 'newcomer' as \"group\", topic from ends union select distinct") + """
+select "group", topic, "partition", end_offset, committed, greatest(0, end_offset - committed) as lag from lags""")
+def j5_new(spark, sf):
+    """A group that reads every topic and never committed lags by all of it."""
+    ends, committed = inputs.offsets(spark, sf)
+    newcomer = ends.select(F.lit("newcomer").alias("group"), "topic")
+    return partition_lag(ends, committed, committed.select("group", "topic").unionByName(newcomer).distinct())
+
+
 # --- aggregations ----------------------------------------------------------------------------
 
 _NEWEST_SQL = "n as (select value from events order by ts desc, event_id desc limit 5000)"
