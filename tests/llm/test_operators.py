@@ -155,6 +155,60 @@ def test_repeats_of_short_lines_go(spark):
     assert {r.doc_id: r.text for r in rows} == {0: texts[0], 1: "\nnew", 2: " \n漢字漢字"}
 
 
+def test_rows_of_one_id_keep_their_own_lines(spark):
+    docs = spark.createDataFrame([(1, "a b\nonly here"), (1, "a b\nonly there"), (1, "a b\nonly there"), (2, "a b\nlast")],
+                                 "doc_id bigint, text string").selectExpr("*", "'mine' as n_lines", "'too' as n_removed")
+    rows = line_dedup.without_repeats(docs).collect()
+    assert {(r.n_lines, r.n_removed) for r in rows} == {("mine", "too")} and len(rows) == 4
+    texts = [x for r in rows for x in r.text.split("\n")]
+    assert texts.count("only here") == 1 and texts.count("only there") == 2 and texts.count("last") == 1
+    assert texts.count("a b") in (1, 2)  # equal rows count as one document, which may be the first
+
+
+def test_lines_against_brute_force(spark):
+    """Exact repeats of any length, and lines of ten words or more that are one word apart from an earlier line."""
+    draw = random.Random(5)
+    base = [[draw.choice(WORDS) for _ in range(draw.choice([1, 3, 9, 10, 11, 14]))] for _ in range(14)]
+
+    def spoiled(line):
+        line, at = list(line), draw.randrange(len(line))
+        how = draw.randrange(6)
+        if how == 0:
+            line[at] = draw.choice(WORDS)
+        elif how == 1 and len(line) > 1:
+            del line[at]
+        elif how == 2:
+            line.insert(at, draw.choice(WORDS))
+        return line
+
+    texts = {i: [spoiled(draw.choice(base)) if draw.random() < 0.9 else [] for _ in range(draw.randrange(6))] for i in range(60)}
+
+    def near(a, b):
+        short, long = sorted((a, b), key=len)
+        if len(long) - len(short) > 1 or len(short) < line_dedup.NEAR_WORDS:
+            return False
+        if len(long) == len(short):
+            return sum(x != y for x, y in zip(a, b)) == 1
+        return any(long[:k] + long[k + 1:] == short for k in range(len(long)))
+
+    seen, want = [], {}
+    for i, lines in texts.items():
+        stay = []
+        for line in lines:
+            if not line or not any(line == x or near(line, x) for x in seen):
+                stay.append(" ".join(line))
+            seen.append(line)
+        want[i] = "\n".join(stay)
+    docs = spark.createDataFrame([(i, "\n".join(map(" ".join, x))) for i, x in texts.items()], "doc_id bigint, text string")
+    assert {r.doc_id: r.text for r in line_dedup.dedup_lines(docs).collect()} == want
+
+
+def test_many_lines_in_one_document(spark):
+    text = "\n".join(["same line"] * 200_000 + ["other"])
+    row = line_dedup.dedup_lines(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    assert (row.n_lines, row.n_removed, row.text) == (200_001, 199_999, "same line\nother")
+
+
 def test_quotas_add_up():
     counts = np.array([1000, 3, 0, 77])
     quotas = mixing.split_quotas(counts, 7, 1)
