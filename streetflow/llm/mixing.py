@@ -106,7 +106,7 @@ def split_quotas(counts: np.ndarray, shards: int, seed: int) -> np.ndarray:
 
 
 def mix(docs: DataFrame, key: str = "doc_id", shards: int = SHARDS, seed: int = SEED, **settings) -> DataFrame:
-    """Per document (key, size, source_size, target, taken, shards): shards has the output shard of each copy."""
+    """Per document (key, size, source_size, target, taken, shards): shards has the output shard of each copy dealt, taken their words."""
     rows = keep(drawn(docs, key, seed=seed, **settings), "drawn")
     spark = docs.sparkSession
     copies = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).where("_copies > 0")
@@ -123,9 +123,9 @@ def mix(docs: DataFrame, key: str = "doc_id", shards: int = SHARDS, seed: int =
     own = F.filter("_dealt", lambda d: d["_copy"] <= F.col("_copies"))
     return (rows.join(dealt, [*_SOURCE, "_block"], "left")
             .select(F.col("_key").alias(key), F.col("_size").alias("size"), "source_size", "target",
-                    (F.col("_size") * F.col("_copies")).alias("taken"),
                     F.when(F.col("_copies") > 0, F.transform(own, lambda d: d["_shard"]))
-                    .otherwise(F.array().cast("array<int>")).alias("shards")))
+                    .otherwise(F.array().cast("array<int>")).alias("shards"))
+            .select(key, "size", "source_size", "target", (F.col("size") * F.size("shards")).alias("taken"), "shards"))
 
 
 def mixed(docs: DataFrame, key: str = "doc_id", shards: int = SHARDS, seed: int = SEED, **settings) -> DataFrame:
