@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from streetflow.llm.jaccard_join import join
 from streetflow.llm.latent_leaks import decontaminate
-from streetflow.llm.line_dedup import dedup_lines
+from streetflow.llm.line_dedup import without_repeats
 from streetflow.llm.mixing import mixed
 from streetflow.llm.ngram_quality import judge
 from streetflow.llm.tables import keep, table
@@ -37,7 +37,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated lines; n_chars follows the text."""
-    return dedup_lines(docs).withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+    rows = without_repeats(docs)
+    return rows.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
