@@ -24,7 +24,8 @@ inequality, counted in shingles, says how many of its differences a point must s
 it may link with, so both meet at one of the first few differences, shingles that the pivot lacks coming
 first. Points that meet so make the next regions, whose pivots are their points nearest to the old
 pivot; boundary points stand in several. A pivot is in no region of its own cell, so cells shrink until
-none is open; no pairs within a component are formed.
+none is open; no pairs within a component are formed. Points of such large cells with more shingles of their own than
+linked sets can differ in are left out first, as they link with nothing.
 
 A distance is measured in steps. Bitmaps of fixed size, which hold the parity of what falls in each place, rule out most
 pairs of a cell in the join that forms them. A sketch holds one byte for each of about as many cells of the
@@ -46,6 +47,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,6 +73,7 @@ MEETING = pa.schema([("region", pa.int64()), ("point", pa.int64())])
 MEMBER = pa.schema([("point", pa.int64()), ("regions", pa.list_(pa.int64())), ("n", pa.int64()), ("sketch", pa.binary()),
                     *((c, pa.int64()) for c in MAPS)])
 GRAMS = pa.schema([("point", pa.int64()), ("grams", pa.list_(pa.int64()))])
+LIVE = pa.schema([("point", pa.int64())])
 BOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("low", pa.float64()), ("may_link", pa.bool_())])
 
 #: Sizes at which one count of parts ends and the next begins, each 1.5 times the one before.
@@ -324,10 +327,12 @@ def links(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         release(pairs)
         large = open_.where(f"far_n > {MANY} or (near_n > {FEW} and near)")
         if large.isEmpty():
-            release(open_, found, *([] if sets is None else [sets]))
+            release(open_, found, *([] if sets is None else [sets, live]))
             return roots
         if sets is None:
             sets = keep(grams_of(docs, large.select("point").union(large.select("pivot")), rule), "sets")
+            live = keep(_not_alone(sets, rule.percent), "live")
+            large = large.join(live, "point", "left_semi")
         meet = _divided(large, roots, sets, rule.percent)
         release(open_, roots)
         drop_shuffles(docs.sparkSession)
@@ -384,6 +389,30 @@ def _pairs(cells: DataFrame, found: DataFrame, rule: Rule) -> DataFrame:
     return pairs
 
 
+def _not_alone(sets: DataFrame, percent: int) -> DataFrame:
+    """The points of sets that may link with another of them.
+
+    A set of n shingles that links with another has at most n q, q = (100 - percent) / percent, that the
+    other lacks, so no more than these may be in no other set. Shingles of several sets are found by their upper 32 bits and
+    sent as a bitmap, so some count as shared that are not: that only leaves more points in.
+    """
+    upper = F.shiftright("gram", 32).cast("int").alias("gram")
+    several = sets.select(F.explode("grams").alias("gram")).groupBy(upper).agg(F.count("*").alias("n")).where("n > 1")
+    sent = sets.sparkSession.sparkContext.broadcast(marks(several.select(F.shiftleft(F.col("gram").cast("bigint"), 32))))
+
+    def work(batches):
+        for b in batches:
+            column = b.column("grams")
+            n = pc.list_value_length(column).to_numpy()
+            alone = ~marked(sent.value, column.flatten().to_numpy().view(np.uint64))
+            sums = np.concatenate([[0], np.cumsum(alone)])
+            ends = np.cumsum(n, dtype=np.int64)
+            may = sums[ends] - sums[ends - n] <= (100 - percent) * n.astype(np.int64) // percent
+            yield pa.RecordBatch.from_arrays([b.column("point").filter(pa.array(may))], schema=LIVE)
+
+    return map_arrow(sets.select("point", "grams"), work, LIVE)
+
+
 def _divided(cells: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(parent, region, point, rank): the regions of points that share a difference from their pivot.
 
