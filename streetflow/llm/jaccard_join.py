@@ -22,7 +22,7 @@ Few points of a cell are compared where their distances to the pivot differ by a
 triangle inequality. Many near the pivot, and still more far from it, are divided by what they differ in from it: the
 inequality, counted in shingles, says how many of its differences a point must share with any other that
 it may link with, so both meet at one of the first few differences, shingles that the pivot lacks coming
-first. Points that meet so make the next regions, whose pivots are their points nearest to the old
+first, of these the rarest. Points that meet so make the next regions, whose pivots are their points nearest to the old
 pivot; boundary points stand in several. A pivot is in no region of its own cell, so cells shrink until
 none is open; no pairs within a component are formed. Points of such large cells with more shingles of their own than
 linked sets can differ in are left out first, as they link with nothing.
@@ -65,6 +65,8 @@ NEAR = 0.5
 POPULAR = 32
 FEW = 128
 MANY = 256
+#: Numbers of sets from which on a shingle of divided cells is used later.
+RARITY = (2, 8, 32, 128, 512, 4096)
 #: Bitmaps of 64 bits that tell most pairs apart before their sketches are compared.
 MAPS = [f"map{i}" for i in range(8)]
 
@@ -73,7 +75,7 @@ MEETING = pa.schema([("region", pa.int64()), ("point", pa.int64())])
 MEMBER = pa.schema([("point", pa.int64()), ("regions", pa.list_(pa.int64())), ("n", pa.int64()), ("sketch", pa.binary()),
                     *((c, pa.int64()) for c in MAPS)])
 GRAMS = pa.schema([("point", pa.int64()), ("grams", pa.list_(pa.int64()))])
-LIVE = pa.schema([("point", pa.int64())])
+RANKED = pa.schema([*GRAMS, ("live", pa.bool_())])
 BOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("low", pa.float64()), ("may_link", pa.bool_())])
 
 #: Sizes at which one count of parts ends and the next begins, each 1.5 times the one before.
@@ -327,12 +329,13 @@ def links(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         release(pairs)
         large = open_.where(f"far_n > {MANY} or (near_n > {FEW} and near)")
         if large.isEmpty():
-            release(open_, found, *([] if sets is None else [sets, live]))
+            release(open_, found, *([] if sets is None else [sets]))
             return roots
         if sets is None:
-            sets = keep(grams_of(docs, large.select("point").union(large.select("pivot")), rule), "sets")
-            live = keep(_not_alone(sets, rule.percent), "live")
-            large = large.join(live, "point", "left_semi")
+            plain = keep(grams_of(docs, large.select("point").union(large.select("pivot")), rule), "plain")
+            sets = keep(_ranked(plain, rule.percent), "sets")
+            release(plain)
+            large = large.join(sets.where("live"), "point", "left_semi")
         meet = _divided(large, roots, sets, rule.percent)
         release(open_, roots)
         drop_shuffles(docs.sparkSession)
@@ -389,28 +392,31 @@ def _pairs(cells: DataFrame, found: DataFrame, rule: Rule) -> DataFrame:
     return pairs
 
 
-def _not_alone(sets: DataFrame, percent: int) -> DataFrame:
-    """The points of sets that may link with another of them.
+def _ranked(sets: DataFrame, percent: int) -> DataFrame:
+    """sets with their shingles in the order of `RARITY`, least hash first among equals, and whether a point may link with another.
 
     A set of n shingles that links with another has at most n q, q = (100 - percent) / percent, that the
     other lacks, so no more than these may be in no other set. Shingles of several sets are found by their upper 32 bits and
-    sent as a bitmap, so some count as shared that are not: that only leaves more points in.
+    sent as bitmaps, so some count as shared, or as more frequent, that are not: that leaves more points in, and the order is one for all sets still.
     """
     upper = F.shiftright("gram", 32).cast("int").alias("gram")
-    several = sets.select(F.explode("grams").alias("gram")).groupBy(upper).agg(F.count("*").alias("n")).where("n > 1")
-    sent = sets.sparkSession.sparkContext.broadcast(marks(several.select(F.shiftleft(F.col("gram").cast("bigint"), 32))))
+    counts = keep(sets.select(F.explode("grams").alias("gram")).groupBy(upper).agg(F.count("*").alias("n")).where(f"n >= {RARITY[0]}")
+                  .select(F.shiftleft(F.col("gram").cast("bigint"), 32).alias("gram"), "n"), "frequencies")
+    sent = sets.sparkSession.sparkContext.broadcast([marks(counts.where(F.col("n") >= least).select("gram")) for least in RARITY])
+    release(counts)
 
     def work(batches):
         for b in batches:
-            column = b.column("grams")
-            n = pc.list_value_length(column).to_numpy()
-            alone = ~marked(sent.value, column.flatten().to_numpy().view(np.uint64))
-            sums = np.concatenate([[0], np.cumsum(alone)])
-            ends = np.cumsum(n, dtype=np.int64)
-            may = sums[ends] - sums[ends - n] <= (100 - percent) * n.astype(np.int64) // percent
-            yield pa.RecordBatch.from_arrays([b.column("point").filter(pa.array(may))], schema=LIVE)
+            n = pc.list_value_length(b.column("grams")).to_numpy().astype(np.int64)
+            grams = b.column("grams").flatten().to_numpy().view(np.uint64)
+            level = sum(marked(bits, grams).astype(np.int8) for bits in sent.value)
+            ends = np.cumsum(n)
+            sums = np.concatenate([[0], np.cumsum(level == 0)])
+            may = sums[ends] - sums[ends - n] <= (100 - percent) * n // percent
+            order = np.lexsort((grams, level, np.repeat(np.arange(len(n)), n)))
+            yield batch(RANKED, b.column("point"), lists(signed(grams[order]), np.concatenate([[0], ends]), pa.int64()), may)
 
-    return map_arrow(sets.select("point", "grams"), work, LIVE)
+    return map_arrow(sets.select("point", "grams"), work, RANKED)
 
 
 def _divided(cells: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -421,13 +427,14 @@ def _divided(cells: DataFrame, roots: DataFrame, sets: DataFrame, percent: int)
     and e. They then share at least (d + e - (n + m) r) / 2 of these differences, so at least d - n q.
     If the second does not link with the pivot, e > (m + k) r, and they share more than (d + (k - n) r) / 2. A point of the pivot's component
     need meet only such seconds, and so takes fewer differences than a point outside, whose
-    further ones count only in regions with a point of the pivot's component.
+    further ones count only in regions with a point of the pivot's component. The rarest differences come first, in an order that
+    `_ranked` sets and `array_except` keeps, so that passages of many texts do not bring their texts together again in every round.
     """
     rows = _rooted(cells.select("cell", "pivot", "point"), roots)
-    sides = (rows.join(sets.withColumnRenamed("grams", "gx"), "point")
+    sides = (rows.join(sets.select("point", F.col("grams").alias("gx")), "point")
              .join(sets.select(F.col("point").alias("pivot"), F.col("grams").alias("gp")), "pivot")
              .select("cell", "point", "root", (F.col("root") != F.col("main")).alias("outside"), F.size("gx").alias("n"), F.size("gp").alias("k"),
-                     F.concat(F.array_sort(F.array_except("gx", "gp")), F.array_sort(F.array_except("gp", "gx"))).alias("differ")))
+                     F.concat(F.array_except("gx", "gp"), F.array_except("gp", "gx")).alias("differ")))
     shared = F.greatest(F.lit(1), F.expr(f"d - {100 - percent}L * n div {percent}"))
     sides = (sides.withColumn("d", F.size("differ")).withColumn("any", F.col("d") - shared + 1)
              .withColumn("far", F.least("any", F.expr(f"d - ({100 + percent}L * d + {100 - percent}L * (k - n)) div {2 * (100 + percent)}"))))
