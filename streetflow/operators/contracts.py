@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -122,21 +123,30 @@ CONTRACTS = {c.topic: c for c in (SENSORS, GPS, CCTV_RAW, CCTV_INFERRED, WEATHER
 _NUMERIC_ARRAY = r"^ARRAY<(VOID|BIGINT|DOUBLE|DECIMAL.*)>$"
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is computed once, however often `use` names it.
+
+    Columns made by projections in a row are put in the place of their names when a filter on the last one is moved below
+    them, and are then computed anew for each mention; the argument of a lambda is not.
+    """
+    return F.transform(F.array(value), use)[0]
+
+
 def _facts(rule: Rule, body: Column) -> dict[str, Column]:
     """What the checks of a rule look at: the JSON type, and the number, length or items."""
     path = f"$.{rule.name}"
-    facts = {f"_kind_{rule.name}": F.schema_of_variant(F.variant_get(body, path, "variant"))}
+    facts = {f"kind_{rule.name}": F.schema_of_variant(F.variant_get(body, path, "variant"))}
     if rule.kind == "string":
         if rule.shortest is not None or rule.longest is not None:
-            facts[f"_fact_{rule.name}"] = F.length(F.try_variant_get(body, path, "string"))
+            facts[f"fact_{rule.name}"] = F.length(F.try_variant_get(body, path, "string"))
     else:
-        facts[f"_fact_{rule.name}"] = F.try_variant_get(body, path, "array<double>" if rule.kind == "integers" else "double")
+        facts[f"fact_{rule.name}"] = F.try_variant_get(body, path, "array<double>" if rule.kind == "integers" else "double")
     return facts
 
 
-def _checks(rule: Rule) -> list[Column]:
+def _checks(rule: Rule, facts: Column) -> list[Column]:
     """One column per check of the rule: the error's name, or null when the check passes."""
-    kind, fact = F.col(f"_kind_{rule.name}"), F.col(f"_fact_{rule.name}")
+    kind, fact = facts[f"kind_{rule.name}"], facts[f"fact_{rule.name}"]
 
     def failed(when: Column, what: str) -> Column:
         return F.when(when, F.lit(f"{rule.name}:{what}"))
@@ -168,25 +178,29 @@ def _checks(rule: Rule) -> list[Column]:
     return [failed(wrong, "type"), *checks]
 
 
+def _errors(contract: Contract, facts: Column) -> Column:
+    """The sorted names of the broken rules."""
+    allowed = F.array(*[F.lit(r.name) for r in contract.rules])
+    extra = F.transform(F.array_except(facts["keys"], allowed), lambda k: F.concat(k, F.lit(":not_allowed")))
+    found = F.array_compact(F.array(*[c for r in contract.rules for c in _checks(r, facts)]))
+    return (F.when(~facts["json"], F.array(F.lit("not_json")))
+            .when(facts["keys"].isNull(), F.array(F.lit("not_object")))
+            .otherwise(F.sort_array(F.concat(found, extra))))
+
+
 def validate(df: DataFrame, contract: Contract, value: str | Column = "value", out: str = "errors") -> DataFrame:
     """Add the sorted names of the broken rules of each message; an empty list keeps the contract (V7).
 
-    Three projections in a row: parse once, take type and value of each property once, check.
+    Parse once, take type and value of each property once, check; also where rows are then filtered by the result.
     """
-    columns = df.columns
-    text = F.col("_text")
-    body = F.col("_body")
-    parsed = df.withColumn("_text", (F.col(value) if isinstance(value, str) else value).cast("string"))
-    parsed = parsed.withColumn("_body", F.try_parse_json(text))
-    # Only an object has keys, an empty list of them if need be.
-    facts = {"_json": body.isNotNull(), "_keys": F.json_object_keys(text)}
-    for rule in contract.rules:
-        facts.update(_facts(rule, body))
-    known = parsed.select(*columns, *[c.alias(n) for n, c in facts.items()])
-    allowed = F.array(*[F.lit(r.name) for r in contract.rules])
-    extra = F.transform(F.array_except(F.col("_keys"), allowed), lambda k: F.concat(k, F.lit(":not_allowed")))
-    found = F.array_compact(F.array(*[c for r in contract.rules for c in _checks(r)]))
-    errors = (F.when(~F.col("_json"), F.array(F.lit("not_json")))
-              .when(F.col("_keys").isNull(), F.array(F.lit("not_object")))
-              .otherwise(F.sort_array(F.concat(found, extra))))
-    return known.select(*columns, errors.alias(out))
+
+    def facts(text: Column, body: Column) -> Column:
+        # Only an object has keys, an empty list of them if need be.
+        known = {"json": body.isNotNull(), "keys": F.json_object_keys(text)}
+        for rule in contract.rules:
+            known.update(_facts(rule, body))
+        return F.struct(*[c.alias(n) for n, c in known.items()])
+
+    text = (F.col(value) if isinstance(value, str) else value).cast("string")
+    errors = _once(text, lambda t: _once(F.try_parse_json(t), lambda body: _once(facts(t, body), lambda f: _errors(contract, f))))
+    return df.withColumn(out, errors)

@@ -16,7 +16,7 @@ from streetflow.plans.figures import COUNTS_SQL, FEATURES_SQL, GRID_SQL, LAGS_SQ
 from streetflow.plans.inputs import DECODED_SQL, FRAMES_SQL, GRAPH_SQL, MESSAGES_SQL
 from streetflow.plans.registry import big, micros, query, six, whole
 from streetflow.plans.rows import CONTRACT_SQL
-from streetflow.session import scratch
+from streetflow.session import scratch, stage
 from streetflow.sinks.tables import append_once, compact, expire, replaced_batches, write_snapshot
 from streetflow.sources.sensors import read_locations
 from streetflow.sources.streams import stream_source
@@ -549,7 +549,7 @@ def r4_job(spark, sf):
     root, topic = _score_messages(spark, sf, fitted.transform)
     ingest.start_feed(stream_source(spark, "text", topic), "speed_predictions", root, scratch(spark, "ckpt")).awaitTermination()
     stored = read_table(spark, root, "speed_predictions")
-    readings = scoring.checked_readings(inputs.messages(spark, sf)).where("reason is null")
+    readings = stage(scoring.checked_readings(inputs.messages(spark, sf))).where("reason is null")
     batch = fitted.transform(speed_features(readings, order=("ts", "timestamp"))).select("sensor_id", "timestamp", "prediction")
     both = stored.join(batch, ["sensor_id", "timestamp"], "left")
     same = F.abs(F.col("predicted_speed") - F.col("prediction")) < 1e-3

@@ -93,6 +93,13 @@ def test_weather_contract(spark):
     assert check(spark, {**ok, "wind_deg": 361, "humidity": "high"}, WEATHER) == ["humidity:type", "wind_deg:above_maximum"]
 
 
+def test_filtered_messages_are_parsed_once(spark):
+    """A filter on the errors is moved below the projection; it must not parse anew for every check."""
+    rows = spark.createDataFrame([("{}",)], "value string").withColumn("value", F.concat("value", F.lit(" ")))
+    plan = validate(rows, SENSORS).filter(F.size("errors") == 0)._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= plan.count("parseJson(") <= 2 and plan.count("concat(value") <= 2
+
+
 def test_contract_names():
     assert sorted(CONTRACTS) == ["cctv_inferred", "cctv_raw", "gps", "sensors", "speed_predictions", "weather"]
     assert [len(CONTRACTS[n].rules) for n in sorted(CONTRACTS)] == [11, 6, 6, 5, 8, 17]
