@@ -8,9 +8,11 @@ are bounded by the source's limit per trigger, the sensor state by twelve values
 from __future__ import annotations
 
 from collections.abc import Iterator
+from tempfile import TemporaryFile
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -39,6 +41,7 @@ LAG_SCHEMA = ("sensor_id string, ts timestamp, speed double, "
 # Kinds of changes at a camera, and their rows between the two steps of its counts.
 ARRIVAL, FRAME, DEPARTURE = 0, 1, 2
 CHANGE_SCHEMA = "camera_id string, shard int, frame_id string, t bigint, kind int, delta bigint, new bigint"
+FRAME_SCHEMA = pa.schema([("frame_id", pa.string()), ("t", pa.int64())])
 CAMERA_PARTS = 32
 COUNT_SCHEMA = ("camera_id string, frame_id string, ts timestamp, unique_count_5min bigint,"
                 " unique_count_session bigint")
@@ -176,6 +179,23 @@ def tagged_features(rows: DataFrame, warm: DataFrame | None = None) -> DataFrame
     return tagged.withColumns(calendar_columns(F.col("ts")))
 
 
+def _frames_aside(rows: Iterator[pd.DataFrame], file) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int | None]:
+    """The changes among a camera's rows as arrays (t, kind, delta, new), and the time of its latest frame; its frames go to a local file.
+
+    A frame's count needs changes that may come after it, and its text is many times as large as a change.
+    """
+    kept, latest = [], None
+    with pa.ipc.new_stream(file, FRAME_SCHEMA) as out:
+        for chunk in rows:
+            is_frame = (chunk["kind"] == FRAME).to_numpy()
+            if is_frame.any():
+                own = chunk[is_frame]
+                out.write_batch(pa.RecordBatch.from_pandas(own[["frame_id", "t"]], FRAME_SCHEMA, preserve_index=False))
+                latest = int(own["t"].max()) if latest is None else max(latest, int(own["t"].max()))
+            kept.append([chunk[c].to_numpy()[~is_frame].astype(kind) for c, kind in (("t", np.int64), ("kind", np.int8), ("delta", np.int64), ("new", np.int64))])
+    return *(np.concatenate(parts) for parts in zip(*kept)), latest
+
+
 class VehicleChanges(StatefulProcessor):
     """First of two steps of the counts: which vehicles come and go, by camera and part of its vehicles.
 
@@ -243,39 +263,43 @@ class VehicleChanges(StatefulProcessor):
 class CameraTotals(StatefulProcessor):
     """Second step: running sums of a camera's changes at each of its frames.
 
-    It sees a frame as one number and a batch's vehicles as summed changes. At one instant arrivals come before the frame and
-    departures after it. Departures that no frame has reached yet are kept.
+    It sees a frame as one number and a batch's vehicles as summed changes; the frames' texts wait in a file of the task. At one
+    instant arrivals come before the frame and departures after it. Departures that no frame has reached yet are kept.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._totals = handle.getValueState("totals", "inside bigint, session bigint, times array<bigint>, deltas array<bigint>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        names = ("t", "kind", "delta", "new", "frame_id")
-        t, kind, delta, new, frame = (np.concatenate(x) for x in zip(*[[chunk[c].to_numpy() for c in names] for chunk in rows]))
-        stored = self._totals.get()
-        inside, session, times, deltas = stored if stored else (0, 0, [], [])
-        frames, arrivals, departures = (np.flatnonzero(kind == k) for k in (FRAME, ARRIVAL, DEPARTURE))
-        frames = frames[np.lexsort((frame[frames].astype(str), t[frames]))]
-        arrivals = arrivals[np.argsort(t[arrivals], kind="stable")]
-        leave_t = np.concatenate([np.asarray(times, np.int64), t[departures]])
-        leave_d = np.concatenate([np.asarray(deltas, np.int64), delta[departures]])
-        order = np.argsort(leave_t, kind="stable")
-        leave_t, leave_d = leave_t[order], leave_d[order]
-        # sums over the changes before each frame
-        came = np.concatenate([[0], np.cumsum(delta[arrivals])])
-        seen = np.concatenate([[0], np.cumsum(new[arrivals])])
-        left = np.concatenate([[0], np.cumsum(leave_d)])
-        upto = np.searchsorted(t[arrivals], t[frames], side="right")
-        gone = np.searchsorted(leave_t, t[frames], side="left")
-        # all arrivals of the batch count from now on; departures wait for a frame that is later
-        done = int(gone.max(initial=0))
-        pending = pd.Series(leave_d[done:]).groupby(leave_t[done:]).sum()
-        pending = pending[pending != 0]
-        self._totals.update((int(inside + came[-1] + left[done]), int(session + seen[-1]), [int(x) for x in pending.index], [int(x) for x in pending]))
-        if len(frames):
-            yield pd.DataFrame({"camera_id": key[0], "frame_id": frame[frames], "ts": pd.to_datetime(t[frames], unit="us"),
-                                "unique_count_5min": inside + came[upto] + left[gone], "unique_count_session": session + seen[upto]})
+        with TemporaryFile() as frames:
+            t, kind, delta, new, latest = _frames_aside(rows, frames)
+            stored = self._totals.get()
+            inside, session, times, deltas = stored if stored else (0, 0, [], [])
+            arrivals, departures = (np.flatnonzero(kind == k) for k in (ARRIVAL, DEPARTURE))
+            arrivals = arrivals[np.argsort(t[arrivals], kind="stable")]
+            leave_t = np.concatenate([np.asarray(times, np.int64), t[departures]])
+            leave_d = np.concatenate([np.asarray(deltas, np.int64), delta[departures]])
+            order = np.argsort(leave_t, kind="stable")
+            leave_t, leave_d = leave_t[order], leave_d[order]
+            # sums over the changes before each frame
+            came = np.concatenate([[0], np.cumsum(delta[arrivals])])
+            seen = np.concatenate([[0], np.cumsum(new[arrivals])])
+            left = np.concatenate([[0], np.cumsum(leave_d)])
+            come_t = t[arrivals]
+            # all arrivals of the batch count from now on; departures wait for a frame that is later
+            done = 0 if latest is None else int(np.searchsorted(leave_t, latest, side="left"))
+            pending = pd.Series(leave_d[done:]).groupby(leave_t[done:]).sum()
+            pending = pending[pending != 0]
+            self._totals.update((int(inside + came[-1] + left[done]), int(session + seen[-1]), [int(x) for x in pending.index], [int(x) for x in pending]))
+            if latest is None:
+                return
+            frames.seek(0)
+            for piece in pa.ipc.open_stream(frames):
+                at = piece.column("t").to_numpy()
+                upto = np.searchsorted(come_t, at, side="right")
+                gone = np.searchsorted(leave_t, at, side="left")
+                yield pd.DataFrame({"camera_id": key[0], "frame_id": piece.column("frame_id").to_pandas(), "ts": pd.to_datetime(at, unit="us"),
+                                    "unique_count_5min": inside + came[upto] + left[gone], "unique_count_session": session + seen[upto]})
 
     def close(self) -> None:
         pass

@@ -1,7 +1,10 @@
 """Streams: same results as batches, replays, restarts, empty batches."""
 
 import json
+import tracemalloc
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -342,3 +345,42 @@ def test_camera_job(spark, tmp_path):
     skipped = load_table(spark, str(tmp_path / "out" / "cameras_skipped"))
     assert sorted((r.frame_id or "", r.reason) for r in skipped.collect()) == [
         ("", "json_decode_error"), ("f2", "stale"), ("f3", "decode_error"), ("f4", "decode_error"), ("f5", "output_invalid"), ("f6", "schema_invalid")]
+
+
+def test_frames_of_a_camera_are_not_held_in_memory():
+    """The frames of a batch wait in a file while its changes are summed; counts, also those of a later batch, are right."""
+
+    class Value:
+        held = None
+
+        def get(self):
+            return self.held
+
+        def update(self, row):
+            self.held = row
+
+    def chunks(low, high):
+        for at in range(low, high, 2_000):
+            t = np.arange(at, at + 2_000)[::-1]
+            frames = pd.DataFrame({"t": t, "kind": state.FRAME, "delta": 0, "new": 0, "frame_id": [f"{x:06d}" + "x" * 500 for x in t]})
+            # one vehicle at every tenth instant, there for 25
+            seen = t[t % 10 == 0]
+            come = pd.DataFrame({"t": seen, "kind": state.ARRIVAL, "delta": 1, "new": 1, "frame_id": None})
+            leave = pd.DataFrame({"t": seen + 25, "kind": state.DEPARTURE, "delta": -1, "new": 0, "frame_id": None})
+            yield pd.concat([leave, frames, come], ignore_index=True)
+
+    step = state.CameraTotals()
+    step._totals = Value()
+    for low, high in ((0, 60_000), (60_000, 64_000)):
+        tracemalloc.start()
+        n = 0
+        for rows in step.handleInputRows(("c",), chunks(low, high), None):
+            t = rows["frame_id"].str[:6].astype(int).to_numpy()
+            n += len(rows)
+            assert (rows["unique_count_session"] == t // 10 + 1).all()
+            assert (rows["unique_count_5min"] == t // 10 - np.maximum(-(-(t - 25) // 10), 0) + 1).all()
+            assert (rows["ts"] == pd.to_datetime(t, unit="us")).all()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        # the texts of the first batch alone are 33 MB; held in arrays they took 158 MB
+        assert n == high - low and peak < 30e6
