@@ -24,7 +24,8 @@ inequality, counted in shingles, says how many of its differences a point must s
 it may link with, so both meet at one of the first few differences, shingles that the pivot lacks coming
 first, of these the rarest. Points that meet so make the next regions, whose pivots are their points nearest to the old
 pivot; boundary points stand in several. A pivot is in no region of its own cell, so cells shrink until
-none is open; no pairs within a component are formed. Points of such large cells with more shingles of their own than
+none is open, or until the pairs of all that are left are few beside the points of the table, and are compared at once; no
+pairs within a component are formed. Points of such large cells with more shingles of their own than
 linked sets can differ in are left out first, as they link with nothing.
 
 A distance is measured in steps. Bitmaps of fixed size, which hold the parity of what falls in each place, rule out most
@@ -65,6 +66,10 @@ NEAR = 0.5
 POPULAR = 32
 FEW = 128
 MANY = 256
+#: All large cells of a round are compared in pairs once these are at most so many for each point.
+PAIRS = 256
+#: Rows of a cell that meet all others of it in one task.
+SHARE = 512
 #: Numbers of sets from which on a shingle of divided cells is used later.
 RARITY = (2, 8, 32, 128, 512, 4096)
 #: Bitmaps of 64 bits that tell most pairs apart before their sketches are compared.
@@ -312,6 +317,7 @@ def links(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
                              (-F.size("regions")).alias("rank")), "meetings")
     drop_shuffles(docs.sparkSession)
     linked = sets = None
+    points = found.count()
     while True:
         cells = _cells(meet)
         d = _measured(_asked(cells), found, docs, rule, sets)
@@ -320,15 +326,16 @@ def links(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         roots = components(linked)
         open_ = keep(_open(cells, d, roots), "open")
         release(cells, d, meet)
-        pairs = _pairs(open_, found, rule)
+        large = open_.where(f"far_n > {MANY} or (near_n > {FEW} and near)")
+        whole = _few_pairs(open_, points)
+        pairs = _pairs(open_, found, rule, whole)
         if not pairs.isEmpty():
             close = _measured(pairs, found, docs, rule, sets)
             linked = linked.union(keep(close.where("linked").select("a", "b"), "links"))
             release(roots, close)
             roots = components(linked)
         release(pairs)
-        large = open_.where(f"far_n > {MANY} or (near_n > {FEW} and near)")
-        if large.isEmpty():
+        if whole or large.isEmpty():
             release(open_, found, *([] if sets is None else [sets]))
             return roots
         if sets is None:
@@ -370,21 +377,32 @@ def _open(cells: DataFrame, d: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(counts, "cell").select("cell", "pivot", "point", "low", "high", "root", "main", "near", "near_n", "far_n")
 
 
-def _pairs(cells: DataFrame, found: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs (a, b) that may link and join two components, of near points where they are few, and with far points where these are.
+def _few_pairs(cells: DataFrame, points: int) -> bool:
+    """Whether all points of large cells can be compared in pairs, at most PAIRS for each point of the table."""
+    large = cells.where(f"far_n > {MANY} or near_n > {FEW}").select("cell", (F.col("near_n") + F.col("far_n")).alias("n")).distinct()
+    return (large.agg(F.sum(F.col("n").cast("double") * F.col("n"))).first()[0] or 0) <= 2 * PAIRS * points
+
+
+def _pairs(cells: DataFrame, found: DataFrame, rule: Rule, whole: bool) -> DataFrame:
+    """Pairs (a, b) that may link and join two components, of near points where they are few, and with far points where these are; of all if whole.
 
     A place of the bitmaps in which two sets disagree holds a shingle that only one of them has, and linked
     sets of n and m shingles differ in at most (n + m) r, r = (100 - percent) / (100 + percent); large sets disagree in fewer places and go on to the sketches.
     """
-    cells = compared = keep(cells.where(f"near_n <= {FEW} or far_n <= {MANY}").join(found.select("point", "n", *MAPS), "point"), "compared")
+    few, many = ("true", "true") if whole else (f"near_n <= {FEW}", f"far_n <= {MANY}")
+    # a large cell's points are dealt to shares, each of which meets all points of the cell
+    shares = F.ceil((F.col("near_n") + F.col("far_n")) / SHARE).cast("int") if whole else F.lit(1)
+    cells = compared = keep(cells.where(f"{few} or {many}").join(found.select("point", "n", *MAPS), "point").withColumn("shares", shares), "compared")
     carried = ["near", "point", "low", "high", "root", "n", *MAPS]
-    other = cells.select("cell", *(F.col(c).alias(f"{c}_p") for c in carried))
+    other = cells.select("cell", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), *(F.col(c).alias(f"{c}_p") for c in carried))
+    cells = cells.withColumn("share", F.pmod(F.xxhash64("point"), F.col("shares")).cast("int"))
     reach = rule.radius + 1e-9
     differ = " + ".join(f"bit_count({c} ^ {c}_p)" for c in MAPS)
     may = ((F.col("low") <= F.col("high_p") + reach) & (F.col("low_p") <= F.col("high") + reach) & (F.col("root") != F.col("root_p"))
            & F.expr(f"{differ} <= ({100 - rule.percent} * (n + n_p)) div {100 + rule.percent}"))
-    near = cells.where((F.col("near_n") <= FEW) & F.col("near")).join(other.where("near_p"), "cell").where(may & (F.col("point") < F.col("point_p")))
-    far = (cells.where((F.col("far_n") <= MANY) & ~F.col("near")).join(other, "cell")
+    on = ["cell", "share"]
+    near = cells.where(F.expr(few) & F.col("near")).join(other.where("near_p"), on).where(may & (F.col("point") < F.col("point_p")))
+    far = (cells.where(F.expr(many) & ~F.col("near")).join(other, on)
            .where(may & (F.col("near_p") | (F.col("point") < F.col("point_p")))))
     pair = [F.least("point", "point_p").alias("a"), F.greatest("point", "point_p").alias("b")]
     pairs = keep(near.select(*pair).union(far.select(*pair)).distinct(), "pairs")

@@ -116,6 +116,39 @@ def test_near_copies_in_cells(spark, monkeypatch):
         assert {r.doc_id: r.component_id for r in jaccard_join.join(docs).collect()} == dict(enumerate(label))
 
 
+def test_few_pairs_need_no_further_rounds(spark, monkeypatch):
+    """Cells over the limits are compared at once while their pairs are few beside the table, else divided, with the same result."""
+    draw, shingle, percent = random.Random(81), 5, 80
+    texts = []
+    for size in (40, 90):
+        base = draw.choices(WORDS, k=size)
+        for _ in range(16):
+            words = list(base)
+            for _ in range(draw.randint(0, 1 + size // 20)):
+                words[draw.randrange(size)] = draw.choice(WORDS)
+            texts.append(" ".join(words))
+    sets = [{tuple(w[i:i + shingle]) for i in range(len(w) - shingle + 1)} for w in map(str.split, texts)]
+    label = list(range(len(texts)))
+    for _ in texts:
+        for i in range(len(texts)):
+            for j in range(i):
+                if 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                    label[i] = label[j] = min(label[i], label[j])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+
+    def found():
+        return {r.doc_id: r.component_id for r in jaccard_join.join(docs, shingle, percent).collect()}
+
+    monkeypatch.setattr(jaccard_join, "FEW", 4)
+    monkeypatch.setattr(jaccard_join, "MANY", 4)
+    divided, rounds = jaccard_join._divided, []
+    monkeypatch.setattr(jaccard_join, "_divided", lambda *of: rounds.append(1) or divided(*of))
+    monkeypatch.setattr(jaccard_join, "SHARE", 8)
+    assert found() == dict(enumerate(label)) and not rounds
+    monkeypatch.setattr(jaccard_join, "PAIRS", 0)
+    assert found() == dict(enumerate(label)) and rounds
+
+
 @pytest.mark.parametrize("shingle, percent", [(3, 90), (5, 80)])
 def test_near_copies_by_rule(spark, monkeypatch, shingle, percent):
     draw = random.Random(percent)
