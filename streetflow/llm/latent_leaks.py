@@ -5,11 +5,11 @@ dimensions; weights are term counts times the inverse document frequency over al
 
 Fit: items are taken in blocks of at most RANK, each with a basis of its own, so that the directions
 suffice for the items however many there are. For each block a randomised SVD, in Spark tasks, of the
-TF-IDF rows of its items and, with a small weight, of FIT_PASSAGES corpus passages, those with the
-least hash of their words. Each task
+TF-IDF rows of its items and of all passages of FIT_WIDTH words of all documents, on the dimensions of the items' words; a passage
+weighs so much that all together weigh FIT_SHARE. Each task
 multiplies its rows with random signs and back (one power iteration), the sums give an
-orthonormal basis, a second pass gives the Gram matrix in it and so the leading RANK directions.
-Their size is bounded by these parameters and the words of a block. The benchmark is the query
+orthonormal basis. The Gram matrix in it, of the items by a second pass over them, of the documents from the same product (Nystrom),
+gives the leading RANK directions. What a task sums is bounded by these parameters and the words of a block. The benchmark is the query
 set: BLOCKS of it are sent to every task at a time, and each such group has its own pass over the
 documents.
 
@@ -48,9 +48,10 @@ DIM_BITS = 20
 RANK = 256
 BLOCKS = 4
 OVERSAMPLE = 10
-FIT_PASSAGES = 500
+#: Words a passage of the fit, what all passages weigh together beside items of 1 each, and passages that are worked on at a time.
 FIT_WIDTH = 36
-FIT_WEIGHT = 0.1
+FIT_SHARE = 5.0
+FIT_PASSAGES = 512
 STEP = 1.5
 ANCHOR_WORDS = 8
 PROJECTED_WORDS = 100_000
@@ -99,23 +100,6 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
     return np.log((total + 1) / (found + 0.5)).clip(0.01).astype(np.float32)
 
 
-def _sampled(batches):
-    """The FIT_PASSAGES passages of least hash, of those that start at a document's middle."""
-    best: list[tuple[int, np.ndarray]] = []
-    for b in batches:
-        for _, part in slices(b.column("text"), lower=True):
-            words = _words(part)
-            n = np.diff(part.first)
-            low = part.first[:-1] + np.maximum(n - FIT_WIDTH, 0) // 2
-            high = np.minimum(low + FIT_WIDTH, part.first[1:])
-            order = range_hash(words, low, high)
-            for i in np.flatnonzero(n > 0):
-                best.append((int(order[i] >> np.uint64(1)), _dims(words[low[i]: high[i]])))
-            best = sorted(best, key=lambda x: x[0])[:FIT_PASSAGES]
-    yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in best], pa.int64()), pa.array([d for _, d in best], pa.list_(pa.int32()))],
-                                     schema=ROW)
-
-
 def _signs(dims: np.ndarray) -> np.ndarray:
     """Random signs of each dimension, the same wherever they are drawn."""
     width = RANK + OVERSAMPLE
@@ -170,35 +154,72 @@ def _added(pairs):
     return pa.Table.from_batches([batch(VECTOR, own, lists(sums.ravel(), np.arange(len(own) + 1) * sums.shape[1], pa.float32()))])
 
 
-def fit_passages(docs: DataFrame) -> DataFrame:
-    return (map_arrow(docs.select("text"), _sampled, ROW).orderBy("order", F.array_join("dims", " ")).limit(FIT_PASSAGES)
-            .withColumn("weight", F.lit(FIT_WEIGHT)))
+def _corpus(sent, batches):
+    """`_spread` for all passages of the documents, on the dimensions of the index alone; their number stands at dimension -1."""
+    idf, index, signs = sent.value
+    sums, count = np.zeros((len(signs), RANK + OVERSAMPLE), np.float32), 0
+    for b in batches:
+        for _, part in slices(b.column("text"), lower=True):
+            dims = _dims(_words(part))
+            # passages of FIT_WIDTH words in a row, the last of a text as long as what is left
+            start = np.flatnonzero((np.arange(len(dims)) - part.first[part.rows]) % FIT_WIDTH == 0)
+            count += len(start)
+            weight = idf[dims]
+            norm = np.sqrt(np.add.reduceat(weight**2, start)) if len(start) else weight
+            passage = np.searchsorted(start, np.arange(len(dims)), "right") - 1
+            known = np.flatnonzero(index[dims] >= 0)
+            bounds = np.searchsorted(passage[known], np.arange(0, len(start) + FIT_PASSAGES, FIT_PASSAGES))
+            for low, high in zip(bounds, bounds[1:]):
+                at = known[low:high]
+                if not len(at):
+                    continue
+                of, row = passage[at], index[dims[at]]
+                values = (weight[at] / norm[of])[:, None]
+                begins = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+                projected = np.add.reduceat(values * signs[row], begins)
+                order = np.argsort(row, kind="stable")
+                firsts = np.flatnonzero(np.append(True, np.diff(row[order]) != 0))
+                own = np.searchsorted(of[begins], of)[order]
+                sums[row[order][firsts]] += np.add.reduceat(values[order] * projected[own], firsts)
+    dims = np.flatnonzero(index >= 0)
+    yield batch(VECTOR, np.append(dims, -1), lists(np.append(sums[index[dims]].ravel(), np.full(sums.shape[1], count, np.float32)),
+                                                   np.arange(len(dims) + 2) * sums.shape[1], pa.float32()))
+
+
+def _summed(spread: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The dimensions of a table of vectors, in order, and the sum of each one's."""
+    ddl = "dim int, v array<float>"
+    rows = spread.groupBy(F.shiftright("dim", DIM_BITS - 10).alias("part")).applyInArrow(_added, ddl).toArrow()
+    dims = rows.column("dim").to_numpy()
+    order = np.argsort(dims)
+    return dims[order], rows.column("v").combine_chunks().flatten().to_numpy().reshape(len(dims), RANK + OVERSAMPLE)[order].astype(np.float64)
 
 
-def fit(items: DataFrame, some: DataFrame, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def fit(items: DataFrame, docs: DataFrame, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(index, basis) of a block of items: the row in basis of each dimension, -1 for those outside, and the leading directions."""
     spark = items.sparkSession
     own = map_arrow(items.select("text"), _item_rows, ROW).withColumn("weight", F.lit(1.0))
-    rows = keep(own.unionByName(some).where(F.size("dims") > 0).repartition(8, F.xxhash64("order")), "fit")
+    rows = keep(own.where(F.size("dims") > 0).repartition(8, F.xxhash64("order")), "fit")
     weights = spark.sparkContext.broadcast(idf)
-    ddl = "dim int, v array<float>"
-    spread = map_arrow(rows, partial(_spread, weights), VECTOR)
-    summed = spread.groupBy(F.shiftright("dim", DIM_BITS - 6).alias("part")).applyInArrow(_added, ddl).toArrow()
+    dims, sums = _summed(map_arrow(rows, partial(_spread, weights), VECTOR))
     index = np.full(1 << DIM_BITS, -1, np.int32)
-    if not summed.num_rows:
+    if not len(dims):
         return index, np.zeros((1, 1), np.float32)
-    dims = summed.column("dim").to_numpy()
-    sums = summed.column("v").combine_chunks().flatten().to_numpy().reshape(len(dims), -1)
-    order = np.argsort(dims)
-    basis = np.linalg.qr(sums[order].astype(np.float64))[0].astype(np.float32)
-    index[dims[order]] = np.arange(len(dims))
-    sent = spark.sparkContext.broadcast((idf, index, basis))
+    index[dims] = np.arange(len(dims))
+    signs = _signs(dims)
+    of, corpus = _summed(map_arrow(docs.select("text"), partial(_corpus, spark.sparkContext.broadcast((idf, index, signs))), VECTOR))
+    corpus = corpus[1:] * (FIT_SHARE / max(corpus[0, 0], 1)) if len(of) else np.zeros(sums.shape)
+    basis = np.linalg.qr(sums + corpus)[0]
+    sent = spark.sparkContext.broadcast((idf, index, basis.astype(np.float32)))
     grams = map_arrow(rows, partial(_grams, sent), GRAM).select(F.posexplode("g").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).toArrow()
     gram = np.zeros(basis.shape[1] ** 2)
     gram[grams.column("i").to_numpy()] = grams.column("x").to_numpy()
-    values, vectors = np.linalg.eigh(gram.reshape(basis.shape[1], -1))
+    # the corpus in the basis, from its product with the signs
+    inside = basis.T @ corpus
+    gram = gram.reshape(basis.shape[1], -1) + inside @ np.linalg.pinv(signs.T.astype(np.float64) @ corpus, rcond=1e-4, hermitian=True) @ inside.T
+    values, vectors = np.linalg.eigh(gram)
     lead = np.argsort(-values)[:RANK]
-    return index, (basis @ vectors[:, lead].astype(np.float32)).astype(np.float32)
+    return index, (basis @ vectors[:, lead]).astype(np.float32)
 
 
 def _item_rows(batches):
@@ -352,16 +373,15 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     if not blocks:
         return docs.sparkSession.createDataFrame([], from_arrow_schema(LEAK))
     idf = inverse_frequencies(docs)
-    some = keep(fit_passages(docs), "passages")
-    passes = [_searched(docs, blocks[at: at + BLOCKS], some, idf) for at in range(0, len(blocks), BLOCKS)]
+    passes = [_searched(docs, blocks[at: at + BLOCKS], idf) for at in range(0, len(blocks), BLOCKS)]
     return reduce(DataFrame.unionByName, passes)
 
 
-def _searched(docs: DataFrame, blocks: list[pa.Table], some: DataFrame, idf: np.ndarray) -> DataFrame:
+def _searched(docs: DataFrame, blocks: list[pa.Table], idf: np.ndarray) -> DataFrame:
     """The leaks of some blocks of items, by one pass over the documents."""
     spark, queries, fitted = docs.sparkSession, [], []
     for block in blocks:
-        index, basis = fit(spark.createDataFrame(block), some, idf)
+        index, basis = fit(spark.createDataFrame(block), docs, idf)
         own, latent, least = _queries(block, idf, index, basis)
         if own:
             fitted.append((len(queries), passage_widths([len(i.words) for i in own]), index, basis, latent, least, _reach(basis, latent)))

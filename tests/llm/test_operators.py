@@ -3,8 +3,10 @@
 import hashlib
 import random
 from collections import Counter
+from functools import partial
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,6 +118,30 @@ def test_near_copies_in_cells(spark, monkeypatch):
         assert {r.doc_id: r.component_id for r in jaccard_join.join(docs).collect()} == dict(enumerate(label))
 
 
+def test_leak_basis_is_fitted_to_all_passages(spark):
+    """What the fit takes from the documents is the product of all their passages, as in plain numpy."""
+    draw = random.Random(3)
+    texts = [" ".join(draw.choices(WORDS, k=draw.randint(0, 90))) for _ in range(700)] + [None]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    part = next(latent_leaks.slices(pa.array(texts[:700]), lower=True))[1]
+    words = latent_leaks._dims(latent_leaks._words(part))
+    idf = latent_leaks.inverse_frequencies(docs)
+    dims = np.unique(words[:40])
+    index = np.full(1 << latent_leaks.DIM_BITS, -1, np.int32)
+    index[dims] = np.arange(len(dims))
+    signs = latent_leaks._signs(dims)
+    passages = [words[i: min(i + latent_leaks.FIT_WIDTH, high)] for low, high in zip(part.first, part.first[1:])
+                for i in range(low, high, latent_leaks.FIT_WIDTH)]
+    rows = np.zeros((len(passages), len(dims)))
+    for row, own in zip(rows, passages):
+        known = own[index[own] >= 0]
+        np.add.at(row, index[known], idf[known] / np.sqrt((idf[own]**2).sum()))
+    sent = spark.sparkContext.broadcast((idf, index, signs))
+    of, got = latent_leaks._summed(latent_leaks.map_arrow(docs, partial(latent_leaks._corpus, sent), latent_leaks.VECTOR))
+    assert of.tolist() == [-1, *dims] and len(passages) > 500 and (got[0] == len(passages)).all()
+    np.testing.assert_allclose(got[1:], rows.T @ (rows @ signs), rtol=1e-3, atol=1e-3)
+
+
 def test_few_pairs_need_no_further_rounds(spark, monkeypatch):
     """Cells over the limits are compared at once while their pairs are few beside the table, else divided, with the same result."""
     draw, shingle, percent = random.Random(81), 5, 80
