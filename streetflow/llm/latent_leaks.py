@@ -7,7 +7,8 @@ Fit: items are taken in blocks of at most RANK, each with a basis of its own, so
 suffice for the items however many there are. For each block a randomised SVD, in Spark tasks, of the
 TF-IDF rows of its items and of all passages of FIT_WIDTH words of all documents, on the dimensions of the items' words; a passage
 weighs so much that all together weigh FIT_SHARE. Each task
-multiplies its rows with random signs and back (one power iteration), the sums give an
+multiplies its rows with random signs and back (one power iteration; the documents' as sums over
+pairs of words of a passage, if the block has at most PAIRED_DIMS dimensions), the sums give an
 orthonormal basis. The Gram matrix in it, of the items by a second pass over them, of the documents from the same product (Nystrom),
 gives the leading RANK directions. What a task sums is bounded by these parameters and the words of a block. The benchmark is the query
 set: BLOCKS of it are sent to every task at a time, and each such group has its own pass over the
@@ -51,7 +52,10 @@ OVERSAMPLE = 10
 #: Words a passage of the fit, what all passages weigh together beside items of 1 each, and passages that are worked on at a time.
 FIT_WIDTH = 36
 FIT_SHARE = 5.0
-FIT_PASSAGES = 512
+FIT_PASSAGES = 64
+#: Dimensions of a block of items up to which a task sums pairs of them (8 bytes each, 200 MB at most), and rows multiplied at a time.
+PAIRED_DIMS = 5000
+PAIRED_ROWS = 512
 STEP = 1.5
 ANCHOR_WORDS = 8
 PROJECTED_WORDS = 100_000
@@ -83,7 +87,9 @@ def _frequencies(batches):
     for b in batches:
         for _, part in slices(b.column("text"), lower=True):
             dims = _dims(_words(part)).astype(np.int64)
-            seen = np.unique((part.rows.astype(np.int64) << DIM_BITS) | dims) & ((1 << DIM_BITS) - 1)
+            # sorting is several times as fast here as the hash table of np.unique
+            seen = np.sort((part.rows.astype(np.int64) << DIM_BITS) | dims)
+            seen = seen[np.append(True, seen[1:] != seen[:-1])[:len(seen)]] & ((1 << DIM_BITS) - 1)
             n += np.bincount(seen, minlength=len(n))
             texts += part.n
     at = np.flatnonzero(n)
@@ -154,33 +160,59 @@ def _added(pairs):
     return pa.Table.from_batches([batch(VECTOR, own, lists(sums.ravel(), np.arange(len(own) + 1) * sums.shape[1], pa.float32()))])
 
 
+def _paired(pairs: np.ndarray, of: np.ndarray, row: np.ndarray, values: np.ndarray) -> None:
+    """Add the products of all pairs of words of one passage, each pair once, and half of a word's with itself."""
+    low, flat = row * np.int64(len(pairs)), pairs.ravel()
+    np.add.at(flat, low + row, values**2 / 2)
+    for far in range(1, min(FIT_WIDTH, len(of))):
+        at = np.flatnonzero(of[far:] == of[:-far])
+        np.add.at(flat, low[at] + row[far:][at], values[at] * values[far:][at])
+
+
+def _spread_passages(sums: np.ndarray, signs: np.ndarray, of: np.ndarray, row: np.ndarray, values: np.ndarray) -> None:
+    """Add the products of passages with the signs and back, some passages at a time; for blocks of many dimensions."""
+    bounds = np.searchsorted(of, np.arange(0, of[-1] + 1 + FIT_PASSAGES, FIT_PASSAGES)) if len(of) else []
+    for low, high in zip(bounds, bounds[1:]):
+        if low == high:
+            continue
+        own, dims, weights = of[low:high], row[low:high], values[low:high, None].astype(np.float32)
+        begins = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        projected = np.add.reduceat(weights * signs[dims], begins)
+        order = np.argsort(dims, kind="stable")
+        firsts = np.flatnonzero(np.append(True, np.diff(dims[order]) != 0))
+        sums[dims[order][firsts]] += np.add.reduceat(weights[order] * projected[np.searchsorted(own[begins], own)[order]], firsts)
+
+
 def _corpus(sent, batches):
-    """`_spread` for all passages of the documents, on the dimensions of the index alone; their number stands at dimension -1."""
+    """`_spread` for all passages of the documents, on the dimensions of the index alone; their number stands at dimension -1.
+
+    A passage has few words of the index, so pairs of them are summed first and multiplied by the signs once, at the end of the task.
+    """
     idf, index, signs = sent.value
     sums, count = np.zeros((len(signs), RANK + OVERSAMPLE), np.float32), 0
+    pairs = np.zeros((len(signs),) * 2) if len(signs) <= PAIRED_DIMS else None
     for b in batches:
         for _, part in slices(b.column("text"), lower=True):
             dims = _dims(_words(part))
             # passages of FIT_WIDTH words in a row, the last of a text as long as what is left
-            start = np.flatnonzero((np.arange(len(dims)) - part.first[part.rows]) % FIT_WIDTH == 0)
+            begins = (np.arange(len(dims)) - part.first[part.rows]) % FIT_WIDTH == 0
+            start = np.flatnonzero(begins)
             count += len(start)
-            weight = idf[dims]
-            norm = np.sqrt(np.add.reduceat(weight**2, start)) if len(start) else weight
-            passage = np.searchsorted(start, np.arange(len(dims)), "right") - 1
-            known = np.flatnonzero(index[dims] >= 0)
-            bounds = np.searchsorted(passage[known], np.arange(0, len(start) + FIT_PASSAGES, FIT_PASSAGES))
-            for low, high in zip(bounds, bounds[1:]):
-                at = known[low:high]
-                if not len(at):
-                    continue
-                of, row = passage[at], index[dims[at]]
-                values = (weight[at] / norm[of])[:, None]
-                begins = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
-                projected = np.add.reduceat(values * signs[row], begins)
-                order = np.argsort(row, kind="stable")
-                firsts = np.flatnonzero(np.append(True, np.diff(row[order]) != 0))
-                own = np.searchsorted(of[begins], of)[order]
-                sums[row[order][firsts]] += np.add.reduceat(values[order] * projected[own], firsts)
+            if not len(start):
+                continue
+            weight = idf[dims].astype(np.float64)
+            norm = np.sqrt(np.add.reduceat(weight**2, start))
+            row = index[dims]
+            known = np.flatnonzero(row >= 0)
+            of = np.cumsum(begins)[known] - 1
+            values = weight[known] / norm[of]
+            if pairs is None:
+                _spread_passages(sums, signs, of, row[known], values)
+            else:
+                _paired(pairs, of, row[known], values)
+    for at in range(0, len(signs) if pairs is not None and count else 0, PAIRED_ROWS):
+        own = slice(at, at + PAIRED_ROWS)
+        sums[own] = (pairs[own] + pairs[:, own].T).astype(np.float32) @ signs
     dims = np.flatnonzero(index >= 0)
     yield batch(VECTOR, np.append(dims, -1), lists(np.append(sums[index[dims]].ravel(), np.full(sums.shape[1], count, np.float32)),
                                                    np.arange(len(dims) + 2) * sums.shape[1], pa.float32()))

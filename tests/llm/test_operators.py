@@ -142,6 +142,34 @@ def test_leak_basis_is_fitted_to_all_passages(spark):
     np.testing.assert_allclose(got[1:], rows.T @ (rows @ signs), rtol=1e-3, atol=1e-3)
 
 
+@pytest.mark.parametrize("limit", [0, 5000])
+def test_leak_basis_sums_pairs_or_passages(monkeypatch, limit):
+    """Sums over pairs of words and sums by passage are the same product; pairs do without a gather of signs for every word."""
+    draw = random.Random(5)
+    texts = pa.array([" ".join(draw.choices(WORDS, k=draw.randint(0, 150))) for _ in range(300)] + [None, "", "alpha"])
+    part = next(latent_leaks.slices(texts, lower=True))[1]
+    words = latent_leaks._dims(latent_leaks._words(part))
+    idf = np.random.default_rng(5).uniform(0.1, 5, 1 << latent_leaks.DIM_BITS).astype(np.float32)
+    dims = np.unique(words)[::2]
+    index = np.full(1 << latent_leaks.DIM_BITS, -1, np.int32)
+    index[dims] = np.arange(len(dims))
+    signs, used = latent_leaks._signs(dims), []
+    monkeypatch.setattr(latent_leaks, "PAIRED_DIMS", limit)
+    paired = latent_leaks._paired
+    monkeypatch.setattr(latent_leaks, "_paired", lambda *a: (used.append(1), paired(*a)))
+    sent = type("Sent", (), {"value": (idf, index, signs)})
+    (got,) = latent_leaks._corpus(sent, [pa.RecordBatch.from_arrays([texts], ["text"])])
+    passages = [words[i: min(i + latent_leaks.FIT_WIDTH, high)] for low, high in zip(part.first, part.first[1:])
+                for i in range(low, high, latent_leaks.FIT_WIDTH)]
+    rows = np.zeros((len(passages), len(dims)))
+    for row, own in zip(rows, passages):
+        known = own[index[own] >= 0]
+        np.add.at(row, index[known], idf[known] / np.sqrt((idf[own].astype(float)**2).sum()))
+    sums = got.column(1).flatten().to_numpy().reshape(len(dims) + 1, -1)
+    assert bool(used) == (limit > 0) and (sums[-1] == len(passages)).all()
+    np.testing.assert_allclose(sums[:-1], rows.T @ (rows @ signs), rtol=1e-4, atol=1e-4)
+
+
 def test_few_pairs_need_no_further_rounds(spark, monkeypatch):
     """Cells over the limits are compared at once while their pairs are few beside the table, else divided, with the same result."""
     draw, shingle, percent = random.Random(81), 5, 80
