@@ -24,6 +24,8 @@ from streetflow.session import stage
 BLOCK_ROWS = 4_000_000
 # Upper bound of split points over all groups, hence of every table broadcast from here.
 MAX_BLOCKS = 65_536
+# Each level of the lookup of a row's block holds fewer than 2**LOOKUP_BITS points, about sqrt(MAX_BLOCKS).
+LOOKUP_BITS = 10
 # Sampled rows per block; more give more even blocks.
 SAMPLE_PER_BLOCK = 40
 
@@ -52,8 +54,8 @@ def _attach(df: DataFrame, small: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def _split_points(df: DataFrame, keys: list[str], order: Sequence[str], block_rows: int,
-                  counts: DataFrame) -> DataFrame | None:
-    """One row per oversized group with its sorted split points, or None."""
+                  counts: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """The sorted split points of the oversized groups, or None: by group the last point of each chunk, and the chunks."""
     hot = stage(counts.filter(F.col("_n") > 2 * block_rows)
                 .withColumn("_blocks", F.ceil(F.col("_n") / block_rows).cast("bigint")))
     hot_rows, blocks = hot.agg(F.sum("_n"), F.sum("_blocks")).first()
@@ -71,12 +73,21 @@ def _split_points(df: DataFrame, keys: list[str], order: Sequence[str], block_ro
               .withColumn("_m", F.count(F.lit(1)).over(group))
               .filter((place > before) & (F.col("_rn") < F.col("_m"))))
     points = picked.groupBy(*keys).agg(F.array_sort(F.array_distinct(F.collect_list("_p"))).alias("_pts"))
-    # Two levels keep the lookup of a row near 2*sqrt(blocks) comparisons.
+    # Two levels of about sqrt(blocks) points, so that no row ever carries all points of its group.
     step = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size("_pts"))).cast("int"))
     points = points.withColumn("_step", step).withColumn(
         "_pts", F.expr("transform(sequence(0, (size(_pts) - 1) div _step),"
                        " i -> slice(_pts, cast(i * _step + 1 as int), _step))"))
-    return stage(points.withColumn("_ends", F.expr("transform(_pts, c -> element_at(c, -1))")))
+    points = stage(points)
+    ends = points.select(*keys, "_step", F.expr("transform(_pts, c -> element_at(c, -1))").alias("_ends"))
+    chunks = points.select(*keys, F.posexplode("_pts").alias("_c", "_chunk"))
+    return ends, chunks
+
+
+def _smaller(points: Column, me: Column) -> Column:
+    """How many of an array of sorted points lie before `me`, by halving."""
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(LOOKUP_BITS))])
+    return F.aggregate(steps, F.lit(0), lambda low, n: F.when(F.get(points, low + n - 1) < me, low + n).otherwise(low))
 
 
 def into_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -101,16 +112,14 @@ def into_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         points = _split_points(df, keys, order, max(block_rows, -(-total // MAX_BLOCKS)), counts)
     if points is None:
         return Blocks(df.withColumn(_BLOCK, F.lit(0)).withColumn(_HOT, F.lit(False)), keys, False)
-    rows = _attach(df, points, keys)
+    ends, chunks = points
     me = F.struct(*[F.col(c) for c in order])
-    rows = rows.withColumn("_c", F.size(F.filter("_ends", lambda p: p < me)))
-    chunk = F.get(F.col("_pts"), F.col("_c"))
-    inside = F.coalesce(F.size(F.filter(chunk, lambda p: p < me)), F.lit(0))
-    inside = F.when(chunk.isNull(), F.lit(0)).otherwise(inside)
-    rows = (rows.withColumn(_HOT, F.col("_pts").isNotNull())
-            .withColumn(_BLOCK, F.when(F.col(_HOT), F.col("_c") * F.col("_step") + inside)
-                        .otherwise(F.lit(0)))
-            .drop("_pts", "_ends", "_step", "_c"))
+    rows = (_attach(df, ends, keys).withColumn(_HOT, F.col("_ends").isNotNull())
+            .withColumn("_c", _smaller(F.col("_ends"), me)).drop("_ends"))
+    rows = _attach(rows, chunks, [*keys, "_c"])
+    rows = (rows.withColumn(_BLOCK, F.when(F.col(_HOT), F.col("_c") * F.col("_step") + _smaller(F.col("_chunk"), me))
+                            .otherwise(F.lit(0)))
+            .drop("_chunk", "_step", "_c"))
     return Blocks(rows, keys, True)
 
 

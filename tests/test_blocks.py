@@ -97,3 +97,15 @@ def test_same_vehicle_at_window_edges(spark, rows):
     got = {r.n: r.c for r in sliding_distinct(df, "key", "item", "ts", "n", 300.0, "c").collect()}
     # v is still counted exactly 300 s after its last sighting, and w at 900.001 is as well.
     assert got == {1: 1, 2: 1, 3: 2, 4: 1, 5: 2}
+
+
+def test_no_row_carries_all_points(skewed):
+    """Rows look their block up in two arrays of about the root of a group's points each."""
+    counts = skewed.groupBy("key").agg(F.count(F.lit(1)).alias("_n"))
+    ends, chunks = blocks._split_points(skewed, ["key"], ["second", "n"], 1, counts)
+    points = {r.key: r.n for r in chunks.groupBy("key").agg(F.sum(F.size("_chunk")).alias("n")).collect()}
+    assert points["hot"] > 900
+    assert all(r.n ** 2 <= points[r.key] + 2 * points[r.key] ** 0.5 + 1 for r in ends.select("key", F.size("_ends").alias("n")).collect())
+    assert all((r.n - 1) ** 2 < points[r.key] for r in chunks.select("key", F.size("_chunk").alias("n")).collect())
+    looked = skewed.sparkSession.range(1).select(*[blocks._smaller(F.array(*map(F.lit, range(n))), F.lit(x)) for n in (1, 2, 7, 300) for x in (-1, 0, 1, 6, 500)])
+    assert list(looked.first()) == [max(0, min(n, x)) for n in (1, 2, 7, 300) for x in (-1, 0, 1, 6, 500)]
