@@ -13,3 +13,15 @@ def test_stages(spark):
         counts.append(docs.count())
         assert docs.columns[:len(given.columns)] == given.columns
     assert given.count() > counts[0] >= counts[2] >= counts[3] > 0 and counts[4] > counts[3]
+
+
+def test_only_dropped_ids_are_sent(spark, monkeypatch):
+    """Rows of one id stay together if one is kept, null ids included; what is stored and joined are the ids that go."""
+    stored = []
+    keep = corpus_pipeline.keep
+    monkeypatch.setattr(corpus_pipeline, "keep", lambda df, name: stored.append(keep(df, name)) or stored[-1])
+    judged = [(1, True), (1, False), (2, False), (3, True), (None, True), (None, False), (4, None), (5, False), (5, False)]
+    docs = spark.createDataFrame([(i, f"text {i} {k}") for k in range(2) for i in (1, 2, 3, None, 4, 5)], "doc_id bigint, text string")
+    got = corpus_pipeline._passed(docs, spark.createDataFrame(judged, "doc_id bigint, kept boolean"))
+    assert sorted(r.text for r in got.collect()) == sorted(f"text {i} {k}" for k in range(2) for i in (1, 3, None))
+    assert sorted(r[0] for r in stored[0].collect()) == [2, 4, 5]
