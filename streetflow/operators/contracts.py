@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -204,3 +206,52 @@ def validate(df: DataFrame, contract: Contract, value: str | Column = "value", o
     text = (F.col(value) if isinstance(value, str) else value).cast("string")
     errors = _once(text, lambda t: _once(F.try_parse_json(t), lambda body: _once(facts(t, body), lambda f: _errors(contract, f))))
     return df.withColumn(out, errors)
+
+
+def broken(row: T.StructType, contract: Contract) -> Column:
+    """Whether a row sent as a JSON object would break the contract: what `validate` finds in its text, without writing and parsing it.
+
+    As in the text, null columns are not there, and numbers without a finite value are texts.
+    """
+    if not set(row.names) <= {r.name for r in contract.rules}:
+        return F.lit(True)
+    return F.coalesce(reduce(or_, [_breaks(r, row[r.name].dataType if r.name in row.names else None) for r in contract.rules]), F.lit(False))
+
+
+def _breaks(rule: Rule, kind: T.DataType | None) -> Column:
+    """Whether the rule's column, of a type that the row has, breaks it; null where it is not there and need not be."""
+    missing = F.lit(rule.required)
+    if kind is None:
+        return missing
+    value, wrong = F.col(rule.name), []
+    if rule.kind == "string":
+        fits = isinstance(kind, T.StringType)
+        if fits and rule.shortest is not None:
+            wrong.append(F.length(value) < rule.shortest)
+        if fits and rule.longest is not None:
+            wrong.append(F.length(value) > rule.longest)
+    elif rule.kind == "integers":
+        fits = isinstance(kind, T.ArrayType)
+        if fits and isinstance(kind.elementType, T.NumericType):
+            wrong.append(F.exists(value, lambda x: x.isNull() | _off(x, rule, kind.elementType, True)))
+        elif fits:
+            wrong.append(F.size(value) > 0)
+    else:
+        fits = isinstance(kind, T.NumericType)
+        if fits:
+            wrong.append(_off(value, rule, kind, rule.kind == "integer"))
+    return F.when(value.isNull(), missing).otherwise(reduce(or_, wrong, F.lit(not fits)))
+
+
+def _off(value: Column, rule: Rule, kind: T.DataType, whole: bool) -> Column:
+    """Whether a number is none in JSON, not whole though it must be, or out of the rule's range."""
+    wrong = [F.lit(False)]
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        wrong.append(F.isnan(value) | (F.abs(value) == float("inf")))
+    if whole:
+        wrong.append(value != F.floor(value))
+    if rule.low is not None:
+        wrong.append(value < rule.low)
+    if rule.high is not None:
+        wrong.append(value > rule.high)
+    return reduce(or_, wrong)

@@ -16,7 +16,7 @@ from pyspark.storagelevel import StorageLevel
 
 from streetflow.functions.media import decode_base64, object_key, object_url
 from streetflow.functions.time import parse_event_time
-from streetflow.operators.contracts import CCTV_INFERRED, CCTV_RAW, PREDICTIONS, SENSORS, Contract, validate
+from streetflow.operators.contracts import CCTV_INFERRED, CCTV_RAW, PREDICTIONS, SENSORS, Contract, broken, validate
 from streetflow.operators.model import MODEL_VERSION, output_records
 from streetflow.operators.validate import decode, is_stale, skip_reason
 from streetflow.operators.windows import FEATURES, UNIQUE_WINDOW_SEC
@@ -49,8 +49,7 @@ def checked_readings(messages: DataFrame) -> DataFrame:
 
 def judged(records: DataFrame, contract: Contract, names: list[str]) -> DataFrame:
     """The records with `reason` output_invalid where they break the contract."""
-    checked = validate(records, contract, F.to_json(F.struct(*names)), out="_errors")
-    return checked.withColumn("reason", F.when(F.size("_errors") > 0, F.lit(OUTPUT_INVALID))).drop("_errors")
+    return records.withColumn("reason", F.when(broken(records.select(*names).schema, contract), F.lit(OUTPUT_INVALID)))
 
 
 def scored(rows: DataFrame, score: Step, version: str = MODEL_VERSION) -> DataFrame:
@@ -139,7 +138,9 @@ def start_cameras(messages: DataFrame, detect: Step, root: str, checkpoint: str,
 
     def finish(batch: DataFrame) -> DataFrame:
         what = F.from_json("frame_id", "frame_id string, track_ids array<bigint>, inference_ms double, timestamp double, reason string")
-        rows = batch.select("camera_id", "unique_count_5min", "unique_count_session", what.alias("f")).select(
+        # a camera's frames come from one task; the rest of the work is spread again
+        spread = batch.repartition("camera_id", "frame_id")
+        rows = spread.select("camera_id", "unique_count_5min", "unique_count_session", what.alias("f")).select(
             "camera_id", "unique_count_5min", "unique_count_session", "f.*")
         key = object_key(F.col("camera_id"), F.col("frame_id"))
         records = rows.where("reason is null").select(

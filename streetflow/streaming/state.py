@@ -1,8 +1,9 @@
 """Keyed state: the last readings of each sensor and the vehicles each camera has seen.
 
-Inside a batch the rows of a key are put in time order; across batches they count in the order
-they arrive, as topics keyed by sensor or camera deliver them. The rows of one key in one batch
-are bounded by the source's limit per trigger, the sensor state by twelve values.
+Inside a batch the rows of a sensor or camera are put in time order; across batches they count in the order
+they arrive, as topics keyed by sensor or camera deliver them. Sensors are split by hash in parts, each with one state: a
+call of the state costs the same for one sensor as for thousands. The rows of one part in one batch
+are bounded by the source's limit per trigger, the state of a sensor by twelve values.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from tempfile import TemporaryFile
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -32,8 +33,8 @@ WARMING_UP = "warming_up"
 
 # Readings of a key whose features are computed together.
 PIECE_ROWS = 100_000
-# Lane of the messages that reach the sensors' state, and number of lanes of those that don't.
-ACCEPTED = -1
+# Parts of the sensors' state, and number of lanes of the messages that don't reach it.
+SENSOR_PARTS = 256
 LANES = 64
 
 LAG_SCHEMA = ("sensor_id string, ts timestamp, speed double, "
@@ -43,6 +44,8 @@ ARRIVAL, FRAME, DEPARTURE = 0, 1, 2
 CHANGE_SCHEMA = "camera_id string, shard int, frame_id string, t bigint, kind int, delta bigint, new bigint"
 FRAME_SCHEMA = pa.schema([("frame_id", pa.string()), ("t", pa.int64())])
 CAMERA_PARTS = 32
+# Pieces in which a part keeps the vehicles it ever saw; one is read and written at once.
+EVER_PIECES = 32
 COUNT_SCHEMA = ("camera_id string, frame_id string, ts timestamp, unique_count_5min bigint,"
                 " unique_count_session bigint")
 
@@ -51,64 +54,94 @@ def use_state_store(spark) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
 
 
-def _gathered(rows: Iterator[pd.DataFrame], order: tuple[str, str], *names: str) -> list[np.ndarray]:
-    """The named columns of a key's rows in one batch as plain arrays, put in order; most often rows come that way.
+def _gathered(rows: Iterator[pd.DataFrame], *names: str) -> list[np.ndarray]:
+    """The named columns of a key's rows in one batch as plain arrays.
 
     A chunk's frame is let go as soon as its columns are taken.
     """
-    chunks = [[chunk[c].to_numpy() for c in (*order, *names)] for chunk in rows]
-    ts, tie, *others = (np.concatenate(parts) for parts in zip(*chunks))
-    if not (ts[1:] > ts[:-1]).all():
-        place = pd.DataFrame({"ts": ts, "tie": tie}).sort_values(["ts", "tie"], kind="stable").index.to_numpy()
-        ts, others = ts[place], [x[place] for x in others]
-    return [ts, *others]
+    chunks = [[chunk[c].to_numpy() for c in names] for chunk in rows]
+    return [np.concatenate(parts) for parts in zip(*chunks)]
 
 
-def _pieces(past: np.ndarray, speeds: np.ndarray) -> Iterator[tuple[slice, int, dict[str, np.ndarray]]]:
-    """Walk a key's readings in pieces, carrying the last speeds from one to the next.
+def _in_order(of: np.ndarray, ts: np.ndarray, tie: np.ndarray) -> np.ndarray:
+    """Places of the rows by sensor, time and tie, missing ones last; ties are ranked only where rows share sensor and time."""
+    order = np.lexsort((ts, of))
+    at = ts[order].view(np.int64)
+    if ((np.diff(of[order]) == 0) & (np.diff(at) == 0)).any():
+        rank = pd.factorize(tie, sort=True)[0]
+        order = np.lexsort((np.where(rank < 0, len(rank), rank), ts, of))
+    return order
 
-    Gives for each piece its place, how many of its first readings have too short a past, and the lags and means of the others.
+
+def _pieces(past: np.ndarray, speeds: np.ndarray, past_of: np.ndarray | None = None,
+            of: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, int, dict[str, np.ndarray]]]:
+    """Walk readings in pieces, each with the speeds of its sensor before it.
+
+    `past_of` and `of` number the sensors of the past and of the readings, which come in that order; without them all are of one. Gives for
+    each piece its rows, those with too short a past first, how many these are, and the lags and means of the others.
     """
     least = max(LAGS.values())
+    if of is None:
+        past_of, of = np.zeros(len(past), np.int64), np.zeros(len(speeds), np.int64)
+    owner = np.concatenate([past_of, of])
+    order = np.argsort(owner, kind="stable")
+    known, owner = np.concatenate([past, speeds])[order], owner[order]
+    place = np.flatnonzero(order >= len(past))
+    before = place - np.searchsorted(owner, of)
     for low in range(0, len(speeds), PIECE_ROWS):
-        own = slice(low, min(low + PIECE_ROWS, len(speeds)))
-        known = np.concatenate([past, speeds[own]])
-        short = min(max(least - len(past), 0), own.stop - own.start)
-        place = np.arange(len(past) + short, len(known))
-        out = {name: known[place - back] for name, back in LAGS.items()}
+        own = np.arange(low, min(low + PIECE_ROWS, len(speeds)))
+        early = before[own] < least
+        at = place[own[~early]]
+        out = {name: known[at - back] for name, back in LAGS.items()}
         # as in batch: means leave missing speeds out
-        recent = np.array([known[place - i] for i in range(1, ROLLING_ROWS + 1)])
+        recent = np.array([known[at - i] for i in range(1, ROLLING_ROWS + 1)])
         there = ~np.isnan(recent)
         with np.errstate(invalid="ignore"):
             out["rolling_mean_30min"] = np.where(there, recent, 0).sum(axis=0) / there.sum(axis=0)
-        yield own, short, out
-        past = known[-HISTORY_ROWS:]
+        yield np.concatenate([own[early], own[~early]]), int(early.sum()), out
 
 
 class RecentSpeeds(StatefulProcessor):
-    """Lag features of a reading from the twelve readings before it."""
+    """Lag features of a reading from the twelve readings of its sensor before it, for the sensors of a part."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._recent = handle.getValueState("recent", "speeds array<double>")
+        self._recent = handle.getValueState("recent", "sensors array<string>, counts array<int>, speeds array<double>")
+
+    def _known(self, sensors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The names of the part's sensors and of these, the stored speeds, and the numbers of the sensors of both."""
+        names, counts, past = self._recent.get() or ([], [], [])
+        codes, names = pd.factorize(np.concatenate([np.array(names, object), sensors]), use_na_sentinel=False)
+        return names, np.asarray(past, float), np.repeat(np.arange(len(counts)), counts), codes[len(counts):]
+
+    def _remember(self, names: np.ndarray, owner: np.ndarray, speeds: np.ndarray) -> None:
+        """Store the last speeds of each sensor; a sensor's are in order of time."""
+        order = np.argsort(owner, kind="stable")
+        owner, speeds = owner[order], speeds[order]
+        last = np.arange(len(owner)) >= np.searchsorted(owner, owner, side="right") - HISTORY_ROWS
+        counts = np.bincount(owner[last], minlength=len(names))
+        self._recent.update(([None if pd.isna(x) else x for x in names], counts.tolist(), speeds[last].tolist()))
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:  # noqa: N803
-        speeds = np.concatenate([np.asarray(s, dtype=float) for s in initialState["speeds"]])
-        self._recent.update((speeds[-HISTORY_ROWS:].tolist(),))
-
-    def _past(self, speeds: np.ndarray) -> np.ndarray:
-        """The speeds before these, which become the next past."""
-        stored = self._recent.get()
-        past = np.asarray(stored[0] if stored else [], dtype=float)
-        self._recent.update((np.concatenate([past, speeds[-HISTORY_ROWS:]])[-HISTORY_ROWS:].tolist(),))
-        return past
+        names, past, past_of, of = self._known(initialState["sensor_id"].to_numpy(object))
+        own = [np.asarray(s, dtype=float) for s in initialState["speeds"]]
+        self._remember(names, np.concatenate([past_of, np.repeat(of, [len(s) for s in own])]), np.concatenate([past, *own]))
+
+    def _features(self, rows: Iterator[pd.DataFrame], tie: str, *names: str) -> Iterator[tuple[dict[str, np.ndarray], int, dict[str, np.ndarray]]]:
+        """Pieces of the readings of a batch: their columns, those with too short a past first, how many these are, and the lags of the others."""
+        taken = ("sensor_id", "ts", "speed", *dict.fromkeys((tie, *names)))
+        columns = dict(zip(taken, _gathered(rows, *taken)))
+        sensors, past, past_of, of = self._known(columns.pop("sensor_id"))
+        order = _in_order(of, columns["ts"], columns[tie])
+        of, columns = of[order], {name: columns[name][order] for name in ("ts", "speed", *names)}
+        columns["speed"] = columns["speed"].astype(float)
+        self._remember(sensors, np.concatenate([past_of, of]), np.concatenate([past, columns["speed"]]))
+        for own, short, lags in _pieces(past, columns["speed"], past_of, of):
+            yield {"sensor_id": sensors[of[own]], **{name: values[own] for name, values in columns.items()}}, short, lags
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        ts, speeds = _gathered(rows, ("ts", "tie"), "speed")
-        speeds = speeds.astype(float)
-        for own, short, lags in _pieces(self._past(speeds), speeds):
-            rest = slice(own.start + short, own.stop)
+        for own, short, lags in self._features(rows, "tie"):
             # readings with a missing feature are dropped
-            yield pd.DataFrame({"sensor_id": key[0], "ts": ts[rest], "speed": speeds[rest], **lags}).dropna(subset=[*LAGS, "rolling_mean_30min"])
+            yield pd.DataFrame({**{name: values[short:] for name, values in own.items()}, **lags}).dropna(subset=[*LAGS, "rolling_mean_30min"])
 
     def close(self) -> None:
         pass
@@ -118,19 +151,15 @@ class TaggedSpeeds(RecentSpeeds):
     """As RecentSpeeds, but every message leaves: with its features, or with the reason why it has none (A10, V9)."""
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        lane, sensor = key
-        if lane != ACCEPTED:
+        if key[0] < 0:
             for chunk in rows:
                 yield chunk[["sensor_id", "ts", "speed", "timestamp", "reason"]].assign(**dict.fromkeys((*LAGS, "rolling_mean_30min"), np.nan))
             return
-        ts, speeds, texts = _gathered(rows, ("ts", "timestamp"), "speed", "timestamp")
-        speeds = speeds.astype(float)
-        for own, short, lags in _pieces(self._past(speeds), speeds):
+        for own, short, lags in self._features(rows, "timestamp", "timestamp"):
             early = np.full(short, np.nan)
             lags = {name: np.concatenate([early, values]) for name, values in lags.items()}
             missing = np.isnan(np.array(list(lags.values()))).any(axis=0)
-            yield pd.DataFrame({"sensor_id": sensor, "ts": ts[own], "speed": speeds[own], "timestamp": texts[own],
-                                "reason": np.where(missing, WARMING_UP, None), **lags})
+            yield pd.DataFrame({**own, "reason": np.where(missing, WARMING_UP, None), **lags})
 
 
 def warm_state(readings: DataFrame, minutes: float = WARM_START_MINUTES, used: Observation | None = None) -> DataFrame:
@@ -148,32 +177,37 @@ def warm_state(readings: DataFrame, minutes: float = WARM_START_MINUTES, used: O
     return stage(state)
 
 
-def stream_features(readings: DataFrame, tie: str, warm: DataFrame | None = None) -> DataFrame:
+def _part(parts: int) -> Column:
+    """The part of the sensors' state that has a sensor."""
+    return F.pmod(F.xxhash64("sensor_id"), F.lit(parts)).cast("int")
+
+
+def stream_features(readings: DataFrame, tie: str, warm: DataFrame | None = None, parts: int = SENSOR_PARTS) -> DataFrame:
     """The seven features of each reading of a stream; warming-up readings give none.
 
     `readings(sensor_id, ts, speed)`; `tie` orders readings of one time. `warm` primes a
-    stream on a new checkpoint; a restarted one goes on with its own state.
+    stream on a new checkpoint; a restarted one goes on with its own state, and needs the same number of `parts`.
     """
     use_state_store(readings.sparkSession)
-    keyed = readings.select("sensor_id", "ts", F.col("speed").cast("double").alias("speed"),
-                            F.col(tie).alias("tie")).groupBy("sensor_id")
+    keyed = readings.select(_part(parts).alias("part"), "sensor_id", "ts", F.col("speed").cast("double").alias("speed"),
+                            F.col(tie).alias("tie")).groupBy("part")
     lagged = keyed.transformWithStateInPandas(
         RecentSpeeds(), outputStructType=LAG_SCHEMA, outputMode="Append", timeMode="None",
-        initialState=None if warm is None else warm.groupBy("sensor_id"))
+        initialState=None if warm is None else warm.select(_part(parts).alias("part"), "sensor_id", "speeds").groupBy("part"))
     return lagged.withColumns(calendar_columns(F.col("ts")))
 
 
-def tagged_features(rows: DataFrame, warm: DataFrame | None = None) -> DataFrame:
+def tagged_features(rows: DataFrame, warm: DataFrame | None = None, parts: int = SENSOR_PARTS) -> DataFrame:
     """Every row of a stream `(sensor_id, ts, speed, timestamp, reason)` with its features or the reason why it has none.
 
     Rows that have a reason already go past the sensors' state, in lanes of their own, so that many bad messages don't meet in one task.
     """
     use_state_store(rows.sparkSession)
-    lane = F.when(F.col("reason").isNull(), F.lit(ACCEPTED)).otherwise(F.pmod(F.xxhash64("timestamp", "sensor_id", "ts", "speed"), F.lit(LANES))).cast("int")
-    keyed = rows.select(lane.alias("lane"), F.when(F.col("reason").isNull(), F.col("sensor_id")).alias("sensor"), "sensor_id", "ts",
-                        F.col("speed").cast("double").alias("speed"), "timestamp", "reason").groupBy("lane", "sensor")
+    lane = (-1 - F.pmod(F.xxhash64("timestamp", "sensor_id", "ts", "speed"), F.lit(LANES))).cast("int")
+    keyed = rows.select(F.when(F.col("reason").isNull(), _part(parts)).otherwise(lane).alias("lane"), "sensor_id", "ts",
+                        F.col("speed").cast("double").alias("speed"), "timestamp", "reason").groupBy("lane")
     if warm is not None:
-        warm = warm.select(F.lit(ACCEPTED).alias("lane"), F.col("sensor_id").alias("sensor"), "speeds").groupBy("lane", "sensor")
+        warm = warm.select(_part(parts).alias("lane"), "sensor_id", "speeds").groupBy("lane")
     tagged = keyed.transformWithStateInPandas(
         TaggedSpeeds(), outputStructType=f"timestamp string, reason string, {LAG_SCHEMA}", outputMode="Append", timeMode="None", initialState=warm)
     return tagged.withColumns(calendar_columns(F.col("ts")))
@@ -201,9 +235,9 @@ class VehicleChanges(StatefulProcessor):
 
     A sighting after a longer gap than the window is an arrival; each vehicle leaves a window's length after its last
     sighting, which is announced at once and taken back if it is seen again before. The window state holds the
-    vehicles a part saw within the window when it was last seen, the session state one entry for every
+    vehicles a part saw within the window when it was last seen, the session state every
     vehicle ever seen, which grows with the traffic: that is what a count since the start means. It is asked
-    only for arrivals. Frames pass through.
+    only for arrivals, and in pieces: a call of the state for each vehicle would cost more than all else. Frames pass through.
     """
 
     def __init__(self, width: int):
@@ -211,7 +245,21 @@ class VehicleChanges(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._recent = handle.getValueState("recent", "ids array<bigint>, last array<bigint>")
-        self._ever = handle.getMapState("ever", "id bigint", "seen boolean")
+        self._ever = handle.getMapState("ever", "piece int", "ids binary")
+
+    def _unseen(self, ids: np.ndarray) -> np.ndarray:
+        """Which of the distinct ids the part never saw; from now on it has seen them."""
+        piece = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(EVER_PIECES)
+        unseen = np.zeros(len(ids), bool)
+        order = np.argsort(piece, kind="stable")
+        for own in np.split(order, np.flatnonzero(np.diff(piece[order])) + 1) if len(ids) else ():
+            at = (int(piece[own[0]]),)
+            stored = self._ever.getValue(at)
+            known = np.frombuffer(stored[0], np.int64) if stored else np.zeros(0, np.int64)
+            unseen[own] = ~np.isin(ids[own], known)
+            if unseen[own].any():
+                self._ever.updateValue(at, (np.union1d(known, ids[own]).tobytes(),))
+        return unseen
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         camera, part = key
@@ -244,10 +292,7 @@ class VehicleChanges(StatefulProcessor):
         back = known & again  # announced by an earlier batch
         first = come & ~before
         new = np.zeros(len(every), np.int64)
-        for i in np.flatnonzero(first):
-            if not self._ever.containsKey((int(every[i]),)):
-                self._ever.updateValue((int(every[i]),), (True,))
-                new[i] = 1
+        new[first] = self._unseen(every[first])
         last = ~same & (at >= newest - self._width)
         self._recent.update((every[last].tolist(), at[last].tolist()))
         out = [(at[come], ARRIVAL, 1, new[come]), (at[leave] + self._width, DEPARTURE, -1, 0), (at[back] + self._width, DEPARTURE, 1, 0)]

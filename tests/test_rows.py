@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from streetflow import functions as fn
-from streetflow.operators.contracts import CCTV_INFERRED, CONTRACTS, SENSORS, WEATHER, validate
+from streetflow.operators.contracts import CCTV_INFERRED, CONTRACTS, PREDICTIONS, SENSORS, WEATHER, broken, validate
 from streetflow.operators.validate import congested, dead_letter, decode, drop_missing, in_range, skip_reason, split, valid_reading
 from streetflow.operators.windows import speed_features
 
@@ -172,3 +172,27 @@ def test_twelve_readings_give_no_features(spark, n, left):
     assert len(out) == left
     if left:
         assert (out[0].lag_5min, out[0].lag_15min, out[0].lag_1h, out[0].rolling_mean_30min) == (11.0, 9.0, 0.0, 8.5)
+
+
+def test_rows_break_a_contract_as_their_messages_do(spark):
+    """The check on columns gives the verdict of the check on the text, for odd values of every kind of property."""
+    nan, inf = float("nan"), float("inf")
+    good = ("c", "f", 1.0, 1, 1, [1, 2], "u", 1.5, "v", 2.0)
+    odd = [("", None, "x" * 129), ("", "x" * 257, None), (-1.0, nan, inf, None), (-1, None), (-1, None), ([], None, [-1], [None], [1, None], [1 << 40]), ("", None),
+           (-inf, nan, -0.5, None), ("", None, "x" * 65), (None, -1.0, nan)]
+    names = [f.name for f in CCTV_INFERRED.schema if f.name != "worker_id"]
+    rows = spark.createDataFrame([good, *(good[:i] + (x,) + good[i + 1:] for i, more in enumerate(odd) for x in more)],
+                                 "camera_id string, frame_id string, timestamp double, unique_count_5min bigint, unique_count_session bigint, track_ids array<bigint>,"
+                                 " frame_url string, inference_ms double, model_version string, processed_at double").select(*names)
+    typed = [rows, rows.drop("frame_url"), rows.drop("processed_at"), rows.withColumn("zone", F.lit(1)), rows.withColumn("unique_count_5min", F.lit(1.5)),
+             rows.withColumn("unique_count_5min", F.lit(2.0)), rows.withColumn("inference_ms", F.col("inference_ms").cast("float")), rows.withColumn("inference_ms", F.lit("5")),
+             rows.withColumn("timestamp", F.lit(5).cast("decimal(5,2)")), rows.withColumn("track_ids", F.col("track_ids").cast("array<string>")),
+             rows.withColumn("track_ids", F.array(F.lit(1.0), F.lit(1.5))), rows.withColumn("camera_id", F.lit(7))]
+    for df in typed:
+        text = F.to_json(F.struct(*df.columns))
+        both = validate(df, CCTV_INFERRED, text).select((F.size("errors") > 0).alias("a"), broken(df.schema, CCTV_INFERRED).alias("b"), text.alias("text")).collect()
+        assert [r.text for r in both if r.a != r.b] == []
+    assert rows.where(~broken(rows.schema, CCTV_INFERRED)).count() == 4
+    plain = spark.createDataFrame([("s", "t", None, 1.0, None, "v"), ("s", "t", nan, 1.0, 0, "v"), ("s", "t", 1.0, None, 0, "v"), ("s", "t", 1.0, 1.0, -1, "v")],
+                                  "sensor_id string, timestamp string, actual_speed double, predicted_speed double, horizon_minutes int, model_version string")
+    assert [r[0] for r in plain.select(broken(plain.schema, PREDICTIONS)).collect()] == [False, True, True, True]

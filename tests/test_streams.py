@@ -1,6 +1,7 @@
 """Streams: same results as batches, replays, restarts, empty batches."""
 
 import json
+import random
 import tracemalloc
 
 import numpy as np
@@ -384,3 +385,83 @@ def test_frames_of_a_camera_are_not_held_in_memory():
         tracemalloc.stop()
         # the texts of the first batch alone are 33 MB; held in arrays they took 158 MB
         assert n == high - low and peak < 30e6
+
+
+def test_sensors_share_a_call_of_the_state(spark, tmp_path, monkeypatch):
+    """A part's sensors are worked on together, with the state of each, over a restart; null is a sensor of its own."""
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    class Counted(state.RecentSpeeds):
+        def handleInputRows(self, key, rows, timerValues):
+            (calls / str(key[0])).touch()
+            yield from super().handleInputRows(key, rows, timerValues)
+
+    monkeypatch.setattr(state, "RecentSpeeds", Counted)
+    df = readings(spark, sensors=50).withColumn("sensor_id", F.when(F.col("sensor_id") != "7", F.col("sensor_id")))
+    got = None
+    for low, high in ((0, 9), (9, 40)):
+        part = df.filter((F.col("id") >= low * 50) & (F.col("id") < high * 50)).orderBy(F.col("id").desc())
+        send(spark, tmp_path / "in", part.repartition(3))
+        got = collect(spark, state.stream_features(decode(stream_source(spark, "text", str(tmp_path / "in")), READING), "id", parts=4), tmp_path)
+    want = shown(speed_features(df, order=("ts", "id")))
+    assert got.count() == want.count() == 50 * 28 and shown(got).exceptAll(want).count() == 0
+    assert len(list(calls.iterdir())) <= 4
+
+
+def test_warm_start_of_many_sensors_of_a_part(spark, tmp_path):
+    df = readings(spark, sensors=30)
+    warm = state.warm_state(df.filter("id < 600"), minutes=120)
+    send(spark, tmp_path / "in", df.filter("id >= 600 and sensor_id <> '4'"))
+    got = collect(spark, state.stream_features(decode(stream_source(spark, "text", str(tmp_path / "in")), READING), "id", warm, parts=2), tmp_path)
+    want = shown(speed_features(df, order=("ts", "id")).filter("id >= 600 and sensor_id <> '4'"))
+    assert got.count() == 29 * 20 and shown(got).exceptAll(want).count() == 0
+
+
+def test_ties_and_missing_times_keep_their_order():
+    of, ts = np.array([1, 0, 1, 1, 0]), np.array(["2022", "NaT", "2022", "2021", "2022"], "datetime64[ns]")
+    assert list(state._in_order(of, ts, np.array(["b", "x", "a", "c", "y"], object))) == [4, 1, 3, 2, 0]
+    assert list(state._in_order(of, ts, np.array([None, "x", "a", "c", "y"], object))) == [4, 1, 3, 2, 0]
+
+
+def test_vehicles_ever_seen_are_asked_for_in_pieces():
+    """Two calls of the state for each piece, not for each vehicle."""
+
+    class Pieces(dict):
+        calls = 0
+
+        def getValue(self, key):
+            self.calls += 1
+            return self.get(key)
+
+        def updateValue(self, key, row):
+            self.calls += 1
+            self[key] = row
+
+    step = state.VehicleChanges(10)
+    step._ever = Pieces()
+    rng = np.random.default_rng(5)
+    seen: set[int] = set()
+    for n in (20_000, 3, 0, 20_000):
+        ids = np.unique(rng.integers(-30_000, 30_000, n))
+        before, step._ever.calls = step._ever.calls, 0
+        assert step._unseen(ids).tolist() == [i not in seen for i in ids.tolist()]
+        seen.update(ids.tolist())
+        assert step._ever.calls <= min(2 * state.EVER_PIECES, 2 * len(ids))
+
+
+def test_frames_of_a_camera_are_spread_after_their_count(spark, tmp_path, monkeypatch):
+    """What follows the counts, as the output contract, is not left to one task for each camera."""
+    tasks = []
+
+    def outputs(rows, *_):
+        tasks.append(rows.groupBy(F.spark_partition_id()).count().count())
+
+    monkeypatch.setattr(scoring, "_outputs", outputs)
+    monkeypatch.setattr(scoring, "checked_frames", lambda messages, *_: messages.select(
+        F.lit("c").alias("camera_id"), F.col("value").alias("frame_id"), F.lit(1.0).alias("timestamp"), F.lit(b"").alias("image"), F.lit(None).cast("string").alias("reason")))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "0.txt").write_text("\n".join(random.Random(i).randbytes(1500).hex() for i in range(4000)) + "\n")
+    finish(scoring.start_cameras(stream_source(spark, "text", str(tmp_path / "in")), lambda f: f.withColumn("track_ids", F.array(F.lit(1).cast("bigint"))).withColumn(
+        "inference_ms", F.lit(1.0)), str(tmp_path / "out"), str(tmp_path / "ckpt"), str(tmp_path / "topic"), parts=2))
+    assert tasks and max(tasks) > 1
