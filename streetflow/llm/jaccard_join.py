@@ -72,6 +72,8 @@ PAIRS = 256
 SHARE = 512
 #: Numbers of sets from which on a shingle of divided cells is used later.
 RARITY = (2, 8, 32, 128, 512, 4096)
+#: Bytes of texts whose sets are made at once: for each, the parts of its sets take some hundred bytes of a task's memory.
+SET_BYTES = 1 << 19
 #: Bitmaps of 64 bits that tell most pairs apart before their sketches are compared.
 MAPS = [f"map{i}" for i in range(8)]
 
@@ -217,14 +219,14 @@ class _Sets:
 
 def _points(rule, batches):
     for b in batches:
-        for at, part in slices(b.column("text"), lower=True):
+        for at, part in slices(b.column("text"), True, SET_BYTES):
             found = _Sets(part, rule)
             yield batch(POINT, b.column("doc_id").slice(at, part.n), found.n, signed(found.point))
 
 
 def _meetings(rule, batches):
     for b in batches:
-        for _, part in slices(b.column("text"), lower=True):
+        for _, part in slices(b.column("text"), True, SET_BYTES):
             found = _Sets(part, rule)
             keys, texts = found.regions()
             yield batch(MEETING, signed(keys), signed(found.point[texts]))
@@ -240,7 +242,7 @@ def members(docs: DataFrame, rule: Rule) -> DataFrame:
 
     def work(batches):
         for b in batches:
-            for _, part in slices(b.column("text"), lower=True):
+            for _, part in slices(b.column("text"), True, SET_BYTES):
                 found = _Sets(part, rule)
                 shared, popular = sent.value
                 keys, texts = found.regions(popular)
@@ -261,7 +263,7 @@ def grams_of(docs: DataFrame, points: DataFrame, rule: Rule) -> DataFrame:
 
     def work(batches):
         for b in batches:
-            for _, part in slices(b.column("text"), lower=True):
+            for _, part in slices(b.column("text"), True, SET_BYTES):
                 found = _Sets(part, rule)
                 chosen = np.flatnonzero(marked(sent.value, found.point) & (found.n > 0))
                 own = [found.parts[i] for i in chosen] or [np.zeros(0, np.uint64)]

@@ -25,3 +25,30 @@ def test_only_dropped_ids_are_sent(spark, monkeypatch):
     got = corpus_pipeline._passed(docs, spark.createDataFrame(judged, "doc_id bigint, kept boolean"))
     assert sorted(r.text for r in got.collect()) == sorted(f"text {i} {k}" for k in range(2) for i in (1, 3, None))
     assert sorted(r[0] for r in stored[0].collect()) == [2, 4, 5]
+
+
+def test_sets_of_few_texts_are_held_at_once(monkeypatch):
+    """What the join's first count holds follows a small slice of the texts, nulls included; the regions are the same for any slice."""
+    import random
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from streetflow.llm import jaccard_join as j
+
+    rng = random.Random(3)
+    texts = [None if i % 50 == 0 else " ".join(f"w{rng.randrange(5000)}" for _ in range(700)) for i in range(700)]
+    rows = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
+
+    def met():
+        return np.sort(np.concatenate([x.column("region").to_numpy() for x in j._meetings(j.Rule(5, 80), [rows])]))
+
+    want = met()
+    tracemalloc.start()
+    for _ in j._meetings(j.Rule(5, 80), [rows]):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    monkeypatch.setattr(j, "SET_BYTES", 1 << 30)
+    assert (met() == want).all() and peak < 30e6
