@@ -58,7 +58,10 @@ PAIRED_DIMS = 5000
 PAIRED_ROWS = 512
 STEP = 1.5
 ANCHOR_WORDS = 8
-PROJECTED_WORDS = 100_000
+PROJECTED_WORDS = 20_000
+#: Bytes of texts a pass works on at a time, few enough for a processor's cache, and bits of the table of the anchors that may be there.
+PASS_BYTES = 1 << 18
+ANCHOR_BITS = 18
 COSINE = 0.65
 COPIED = 0.9
 PARAPHRASED = 0.6
@@ -85,7 +88,7 @@ def _frequencies(batches):
     n = np.zeros(1 << DIM_BITS, np.int64)
     texts = 0
     for b in batches:
-        for _, part in slices(b.column("text"), lower=True):
+        for _, part in slices(b.column("text"), lower=True, most=PASS_BYTES):
             dims = _dims(_words(part)).astype(np.int64)
             # sorting is several times as fast here as the hash table of np.unique
             seen = np.sort((part.rows.astype(np.int64) << DIM_BITS) | dims)
@@ -192,7 +195,7 @@ def _corpus(sent, batches):
     sums, count = np.zeros((len(signs), RANK + OVERSAMPLE), np.float32), 0
     pairs = np.zeros((len(signs),) * 2) if len(signs) <= PAIRED_DIMS else None
     for b in batches:
-        for _, part in slices(b.column("text"), lower=True):
+        for _, part in slices(b.column("text"), lower=True, most=PASS_BYTES):
             dims = _dims(_words(part))
             # passages of FIT_WIDTH words in a row, the last of a text as long as what is left
             begins = (np.arange(len(dims)) - part.first[part.rows]) % FIT_WIDTH == 0
@@ -280,9 +283,15 @@ class _Item:
         self.answer = self.words[-ANSWER_WORDS:]
 
     def check(self, words: list[int]) -> tuple[float, bool]:
+        """Share of the item that stands in the words, in order, and whether its answer does; (0, False) where too few do to be reported."""
+        known = [w for w in words if w in self.places]
+        if len(known) < PARAPHRASED * len(self.words):
+            return 0.0, False
+        share = common_length(self.places, len(self.words), known) / len(self.words)
+        if share < PARAPHRASED:
+            return share, False
         k = len(self.answer)
-        found = any(words[i: i + k] == self.answer for i in range(len(words) - k + 1))
-        return common_length(self.places, len(self.words), words) / len(self.words), found
+        return share, any(words[i: i + k] == self.answer for i in range(len(words) - k + 1))
 
 
 def _queries(items: pa.Table, idf, index, basis) -> tuple[list[_Item], np.ndarray, float]:
@@ -326,15 +335,20 @@ class _Anchors:
                     at.append(low)
             keys, item, at = np.concatenate(keys), np.concatenate(item), np.concatenate(at)
             order = np.argsort(keys)
-            self.by_size[size] = keys[order], item[order], at[order]
+            maybe = np.zeros(1 << ANCHOR_BITS, bool)
+            maybe[keys >> np.uint64(64 - ANCHOR_BITS)] = True
+            self.by_size[size] = keys[order], item[order], at[order], maybe
         self.lengths = np.array([len(i.words) for i in items])
 
     def places(self, part: Slice, words: np.ndarray) -> np.ndarray:
         """Distinct rows (text, item, low, high) of the places that items would take, cut to the text."""
         found = [np.zeros((0, 4), np.int64)]
-        for size, (keys, item, at) in self.by_size.items():
+        for size, (keys, item, at, maybe) in self.by_size.items():
             low = np.flatnonzero(part.rows[: len(words) - size + 1] == part.rows[size - 1:]) if len(words) >= size else np.zeros(0, np.int64)
             own = range_hash(words, low, low + size)
+            # nearly no place of a text has an anchor
+            few = np.flatnonzero(maybe[own >> np.uint64(64 - ANCHOR_BITS)])
+            low, own = low[few], own[few]
             begins, n = np.searchsorted(keys, own), np.searchsorted(keys, own, "right")
             n -= begins
             of = np.repeat(np.arange(len(low)), n)
@@ -372,29 +386,38 @@ def _reach(basis: np.ndarray, latent: np.ndarray) -> np.ndarray:
 
 
 def _candidates(part: Slice, words, idf, widths, index, basis, latent, least, reach):
-    """Yield (text, low, high, item, cosine) of passages near an item."""
+    """Yield arrays (text, low, high, item, cosine) of passages near an item."""
     dims = _dims(words)
     weight = idf[dims].astype(np.float64)
     row = index[dims]
     total = np.concatenate([[0], np.cumsum(weight**2)])
     known = np.concatenate([[0], np.cumsum(np.where(row >= 0, weight**2, 0))])
     most = np.concatenate([[0], np.cumsum(weight * reach[row])])
+    held = np.flatnonzero(row >= 0)
+    inside = np.concatenate([[0], np.cumsum(row >= 0)])
+    near = []
     for width in widths:
         low, high = _passages(part, width)
         norm = total[high] - total[low]
-        near = np.flatnonzero((most[high] - most[low] >= COSINE * np.sqrt(norm)) & (known[high] - known[low] >= (COSINE * least)**2 * norm * (1 - 1e-6)))
-        for few in np.array_split(near, max(1, len(near) * width // PROJECTED_WORDS)):
-            if not len(few):
-                continue
-            size = high[few] - low[few]
-            first = np.cumsum(size) - size
-            at = np.repeat(low[few] - first, size) + np.arange(size.sum())
-            vectors = np.where(row[at] >= 0, weight[at], 0).astype(np.float32)[:, None] * basis[np.maximum(row[at], 0)]
-            latents = np.add.reduceat(vectors, first, axis=0)
-            cosines = latents @ latent.T / np.sqrt(np.maximum(norm[few], 1e-9))[:, None]
-            for p, item in zip(*np.nonzero(cosines >= COSINE)):
-                k = few[p]
-                yield part.rows[low[k]], low[k], high[k], item, float(cosines[p, item])
+        k = np.flatnonzero((most[high] - most[low] >= COSINE * np.sqrt(norm)) & (known[high] - known[low] >= (COSINE * least)**2 * norm * (1 - 1e-6)))
+        near.append((low[k], high[k], norm[k]))
+    low, high, norm = (np.concatenate(x) for x in zip(*near))
+    # words outside the basis add nothing, and passages overlap: each word that is in one is projected once, a passage is a difference of sums
+    first, last = inside[low], inside[high]
+    covered = np.cumsum(np.bincount(first, minlength=len(held) + 1) - np.bincount(last, minlength=len(held) + 1))[:-1] > 0
+    at, place = held[covered], np.concatenate([[0], np.cumsum(covered)])
+    first, last = place[first], place[last]
+    order = np.argsort(first, kind="stable")
+    cuts = np.searchsorted(first[order], np.arange(0, len(at) + PROJECTED_WORDS, PROJECTED_WORDS))
+    for few in (order[a:z] for a, z in zip(cuts, cuts[1:]) if a < z):
+        start, stop = first[few[0]], last[few].max()
+        sums = np.zeros((stop - start + 1, basis.shape[1]))
+        np.cumsum(weight[at[start:stop], None] * basis[row[at[start:stop]]], axis=0, out=sums[1:])
+        latents = (sums[last[few] - start] - sums[first[few] - start]).astype(np.float32)
+        cosines = latents @ latent.T / np.sqrt(np.maximum(norm[few], 1e-9))[:, None]
+        passage, item = np.nonzero(cosines >= COSINE)
+        k = few[passage]
+        yield part.rows[low[k]], low[k], high[k], item, cosines[passage, item].astype(np.float64)
 
 
 def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -424,14 +447,16 @@ def _searched(docs: DataFrame, blocks: list[pa.Table], idf: np.ndarray) -> DataF
         idf, queries, anchors, fitted = sent.value
         for b in batches:
             out = []
-            for at, part in slices(b.column("text"), lower=True) if len(queries) else ():
+            for at, part in slices(b.column("text"), lower=True, most=PASS_BYTES) if len(queries) else ():
                 words = _words(part)
                 if not len(words):
                     continue
                 found: dict[tuple[int, int], list] = {}
                 for start, *space in fitted:
                     for text, low, high, item, cosine in _candidates(part, words, idf, *space):
-                        found.setdefault((text, start + item), []).append((min(cosine, 1.0), low, high))
+                        rows = zip(text.tolist(), (start + item).tolist(), np.minimum(cosine, 1.0).tolist(), low.tolist(), high.tolist())
+                        for text, item, *place in rows:
+                            found.setdefault((text, item), []).append(tuple(place))
                 # after the others, and measured only if they are to be checked
                 for text, item, low, high in anchors.places(part, words).tolist():
                     found.setdefault((text, item), []).append((-1.0, low, high))

@@ -319,6 +319,50 @@ def test_paraphrases_are_found(spark):
     assert {(r.doc_id, r.item_id) for r in found.collect()} == {(50, 1), (51, 1)}
 
 
+@pytest.mark.parametrize("most", [50, 20_000])
+def test_overlapping_passages_share_projections(monkeypatch, most):
+    """Passages near an item are those of plain cosines, and a word that many passages hold is projected once, in whatever parts."""
+    class Counted(np.ndarray):
+        def __getitem__(self, k):
+            read.append(np.size(k))
+            return np.asarray(self)[k]
+
+    draw, read = random.Random(7), []
+    item = [f"q{i}" for i in range(24)]
+    texts = [" ".join(draw.choices(WORDS, k=draw.randint(0, 60)) + draw.sample(item, draw.choice([0, 22, 24])) + draw.choices(WORDS, k=30)) for _ in range(20)]
+    part = next(latent_leaks.slices(pa.array([*texts, "", None, " ".join(item)]), lower=True))[1]
+    words = latent_leaks._words(part)
+    idf = np.random.default_rng(7).uniform(1, 3, 1 << latent_leaks.DIM_BITS).astype(np.float32)
+    own = np.unique(latent_leaks._dims(latent_leaks._words(next(latent_leaks.slices(pa.array([" ".join(item)]), lower=True))[1])))
+    index = np.full(1 << latent_leaks.DIM_BITS, -1, np.int32)
+    index[own] = np.arange(len(own))
+    basis = np.eye(len(own), dtype=np.float32)
+    latent = (idf[own] / np.linalg.norm(idf[own]))[None]
+    monkeypatch.setattr(latent_leaks, "PROJECTED_WORDS", most)
+    found = latent_leaks._candidates(part, words, idf, [12, 16, 24], index, basis.view(Counted), latent, 1.0, latent_leaks._reach(basis, latent))
+    got = {(t, a, z): c for rows in found for t, a, z, _, c in zip(*(x.tolist() for x in rows))}
+    dims, want = latent_leaks._dims(words), {}
+    for width in (12, 16, 24):
+        for a, z in zip(*(x.tolist() for x in latent_leaks._passages(part, width))):
+            vector = np.zeros(len(own))
+            np.add.at(vector, index[dims[a:z]][index[dims[a:z]] >= 0], idf[dims[a:z]][index[dims[a:z]] >= 0])
+            cosine = float(vector @ latent[0]) / np.sqrt((idf[dims[a:z]].astype(float)**2).sum())
+            if cosine >= latent_leaks.COSINE:
+                want[part.rows[a], a, z] = cosine
+    assert len(want) > 30 and got == pytest.approx(want, abs=1e-5)
+    assert sum(read) <= (1 if most > 50 else 2) * len(words)
+
+
+def test_places_with_too_few_words_are_not_aligned(monkeypatch):
+    """The common subsequence is measured only where enough of the item's words stand."""
+    item = latent_leaks._Item(1, np.arange(20, dtype=np.uint64))
+    measured = []
+    monkeypatch.setattr(latent_leaks, "common_length", lambda *a, plain=latent_leaks.common_length: (measured.append(1), plain(*a))[1])
+    assert item.check([*range(11), *range(50, 90)])[0] < latent_leaks.PARAPHRASED and not measured
+    assert item.check([*range(12), 99]) == (0.6, False) and item.check([5, *range(3, 20)]) == (0.85, True)
+    assert item.check(list(range(19, -1, -1))) == (0.05, False) and len(measured) == 3
+
+
 def test_copies_of_many_items_are_found(spark):
     draw = random.Random(13)
     words = [f"v{i}" for i in range(3000)]
