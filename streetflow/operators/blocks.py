@@ -26,6 +26,8 @@ BLOCK_ROWS = 4_000_000
 MAX_BLOCKS = 65_536
 # Each level of the lookup of a row's block holds fewer than 2**LOOKUP_BITS points, about sqrt(MAX_BLOCKS).
 LOOKUP_BITS = 10
+# Groups are counted together in this many lots first, by hash; a lot within the limit holds no group beyond it.
+LOTS = 65_536
 # Sampled rows per block; more give more even blocks.
 SAMPLE_PER_BLOCK = 40
 
@@ -90,6 +92,15 @@ def _smaller(points: Column, me: Column) -> Column:
     return F.aggregate(steps, F.lit(0), lambda low, n: F.when(F.get(points, low + n - 1) < me, low + n).otherwise(low))
 
 
+def largest_lot(df: DataFrame, keys: Sequence[str]) -> tuple[int | None, int | None]:
+    """The number of rows, and a bound of the largest group's size: that of the largest lot of groups.
+
+    Unlike a count by group it shuffles no more than LOTS rows of a task, however many groups there are.
+    """
+    lots = df.groupBy(F.pmod(F.xxhash64(*keys), F.lit(LOTS)).alias("_lot")).agg(F.count(F.lit(1)).alias("_n"))
+    return tuple(lots.agg(F.sum("_n"), F.max("_n")).first())
+
+
 def into_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 block_rows: int = BLOCK_ROWS, sizes: DataFrame | None = None,
                 derived: bool = False) -> Blocks:
@@ -104,11 +115,11 @@ def into_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         keys = [_ALL]
         df = df.withColumn(_ALL, F.lit(0))
         sizes = None if sizes is None else sizes.withColumn(_ALL, F.lit(0))
-    counts = (df if sizes is None else sizes).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total, largest = counts.agg(F.sum("_n"), F.max("_n")).first()
+    total, largest = largest_lot(df if sizes is None else sizes, keys)
     points = None
     if total and largest > 2 * block_rows:
         df = stage(df) if derived else df
+        counts = (df if sizes is None else sizes).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         points = _split_points(df, keys, order, max(block_rows, -(-total // MAX_BLOCKS)), counts)
     if points is None:
         return Blocks(df.withColumn(_BLOCK, F.lit(0)).withColumn(_HOT, F.lit(False)), keys, False)

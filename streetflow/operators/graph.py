@@ -2,7 +2,7 @@
 
 Vertices are `(id)`, edges `(src, dst, weight)`. The edges are partitioned and sorted by their
 join key once and stay where they are; a round moves only per-vertex rows and map-side combined
-sums. Edges of hubs, vertices with very many edges, are kept apart without partitioning and meet
+sums. A search keeps a vertex's edges as one list. Edges of hubs, vertices with very many edges, are kept apart without partitioning and meet
 the few hub rows by broadcast, so no task gets all edges of a hub. Every round's vertex table is
 stored in the shared folder, which keeps the lineage one round long and survives lost executors.
 """
@@ -15,7 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from streetflow.session import fixed_partitions, stage
+from streetflow.operators.blocks import largest_lot
+from streetflow.session import fixed_partitions, stage, store
 
 # Damping, round limit, tolerance per vertex, landmark vertices, list length.
 ALPHA = 0.85
@@ -34,32 +35,40 @@ MERGE_ROUNDS = 16
 
 @dataclass(frozen=True)
 class _Edges:
-    """Edges partitioned by `key`, and those of hubs apart."""
+    """Edges partitioned by `key`, and those of hubs apart; with `packed`, a key's other ends, of that name, are one list."""
 
     key: str
     common: DataFrame
     of_hubs: DataFrame | None
     hubs: DataFrame | None
+    packed: str | None = None
 
     def join(self, table: DataFrame) -> DataFrame:
         """Inner join with a table that has one or few rows per key."""
         joined = self.common.join(table, self.key)
+        if self.packed is not None:
+            joined = joined.select(*table.columns, F.explode("_ends").alias("_end")).select(*table.columns, f"_end.{self.packed}")
         if self.hubs is None:
             return joined
         few = table.join(F.broadcast(self.hubs), self.key, "left_semi")
         return joined.unionByName(self.of_hubs.join(F.broadcast(few), self.key))
 
 
-def _partition_edges(edges: DataFrame, key: str, partitions: int, hub_edges: int) -> _Edges:
-    degrees = edges.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total, most = degrees.agg(F.sum("_n"), F.max("_n")).first()
+def _partition_edges(edges: DataFrame, key: str, partitions: int, hub_edges: int, packed: str | None = None) -> _Edges:
     of_hubs = hubs = None
+    total, most = largest_lot(edges, [key])
     if total and most > hub_edges:
+        degrees = edges.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
         limit = max(hub_edges, -(-total // MAX_HUBS))
         hubs = stage(degrees.filter(F.col("_n") > limit).select(key))
         of_hubs = stage(edges.join(F.broadcast(hubs), key, "left_semi"))
         edges = edges.join(F.broadcast(hubs), key, "left_anti")
-    return _Edges(key, stage(edges.repartition(partitions, key).sortWithinPartitions(key)), of_hubs, hubs)
+    common = edges.repartition(partitions, key)
+    if packed is None:
+        return _Edges(key, stage(common.sortWithinPartitions(key)), of_hubs, hubs)
+    # one row for a vertex instead of one for an edge, so that a round passes over what it does not need at little cost
+    common = common.groupBy(key).agg(F.collect_list(F.struct(packed)).alias("_ends"))
+    return _Edges(key, stage(common.sortWithinPartitions(key)), of_hubs, hubs, packed)
 
 
 def pagerank(vertices: DataFrame, edges: DataFrame, alpha: float = ALPHA, max_rounds: int = MAX_ROUNDS,
@@ -115,9 +124,9 @@ def hops_to(vertices: DataFrame, edges: DataFrame, landmarks: Sequence[str] = LA
     path and landmarks outside the graph are left out.
     """
     spark = vertices.sparkSession
-    stored = stage(edges.select(F.col("dst").alias("at"), F.col("src").alias("id")))
+    stored = store(edges.select(F.col("dst").alias("at"), F.col("src").alias("id")), "edges")
     with fixed_partitions(spark) as partitions:
-        back = _partition_edges(stored, "at", partitions, hub_edges)
+        back = _partition_edges(stored, "at", partitions, hub_edges, "id")
     goals = spark.createDataFrame([(str(x),) for x in landmarks], "landmark string")
     front = stage(goals.withColumn("id", F.col("landmark").cast(vertices.schema["id"].dataType)).distinct()
                   .join(vertices.select("id").distinct(), "id").select("landmark", "id", F.lit(0).alias("hops")))

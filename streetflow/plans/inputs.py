@@ -205,15 +205,20 @@ def weather_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat.select("ts", F.to_json(F.struct(*[c for c in flat.columns if c != "ts"])).alias("value"))
 
 
-def road_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Vertices = parts; an edge leads from a part to the next part of the same order."""
+def road_links(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Vertices = parts; a link leads from a part to the next part of the same order, with its quantity. Links repeat."""
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"))
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_quantity")
     chained = row_window(lines, ["l_orderkey"], ["l_linenumber", "l_suppkey", "l_partkey", "l_quantity"],
                          lambda w: {"dst": F.lead("l_partkey").over(w)}, after=1)
-    edges = (chained.filter(F.col("dst").isNotNull() & (F.col("dst") != F.col("l_partkey")))
-             .groupBy(F.col("l_partkey").alias("src"), "dst").agg(F.sum("l_quantity").alias("weight")))
-    return parts, edges
+    links = chained.filter(F.col("dst").isNotNull() & (F.col("dst") != F.col("l_partkey")))
+    return parts, links.select(F.col("l_partkey").alias("src"), "dst", F.col("l_quantity").alias("weight"))
+
+
+def road_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The vertices, and an edge for all links between two parts."""
+    parts, links = road_links(spark, sf_dir)
+    return parts, links.groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 
 
 GRAPH_SQL = """chained as (

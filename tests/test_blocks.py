@@ -109,3 +109,15 @@ def test_no_row_carries_all_points(skewed):
     assert all((r.n - 1) ** 2 < points[r.key] for r in chunks.select("key", F.size("_chunk").alias("n")).collect())
     looked = skewed.sparkSession.range(1).select(*[blocks._smaller(F.array(*map(F.lit, range(n))), F.lit(x)) for n in (1, 2, 7, 300) for x in (-1, 0, 1, 6, 500)])
     assert list(looked.first()) == [max(0, min(n, x)) for n in (1, 2, 7, 300) for x in (-1, 0, 1, 6, 500)]
+
+
+def test_groups_are_first_counted_in_lots(rows, monkeypatch):
+    """Many small groups are not counted one by one; a full lot without a large group is not cut."""
+    small = rows([(k % 10 if k % 10 else None, k) for k in range(50)], "key int, n int")
+    assert blocks.largest_lot(small, ["key"]) == (50, 5) and blocks.largest_lot(small.limit(0), ["key"]) == (None, None)
+    monkeypatch.setattr(blocks, "LOTS", 3)
+    total, most = blocks.largest_lot(small, ["key"])
+    assert total == 50 and most > 16
+    for size, split in ((8, False), (2, True)):
+        cut = blocks.into_blocks(small, ["key"], ["n"], block_rows=size, derived=size == 2)
+        assert cut.split == split and cut.rows.count() == 50

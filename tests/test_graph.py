@@ -50,6 +50,22 @@ def test_hubs_change_nothing(spark):
     assert sorted(graph.hops_to(v, e, ["0", "4"], hub_edges=1).collect()) == sorted(plain.collect())
 
 
+@pytest.mark.parametrize("hub_edges", [1, 100])
+def test_a_search_passes_over_vertices(spark, hub_edges):
+    """The edges of a vertex are one row of the search, of a hub one each; repeated ones and those without an end are all met."""
+    from streetflow.session import fixed_partitions
+    edges = [(1, "a"), (1, "a"), (1, None), (1, "b"), (2, "a"), (3, None), (None, "c")]
+    e = spark.createDataFrame(edges, "at int, id string")
+    front = spark.createDataFrame([("x", 1), ("y", 1), ("x", 3), ("x", 9), ("x", None)], "landmark string, at int")
+    with fixed_partitions(spark) as n:
+        parts = graph._partition_edges(e, "at", n, hub_edges, "id")
+        got = parts.join(front.select("landmark", "at")).select("landmark", "id").collect()
+        assert parts.common.count() == (3 if hub_edges == 1 else 4)
+        assert "Exchange" not in parts.common._jdf.queryExecution().executedPlan().toString()
+    want = [(mark, end) for mark, at in [("x", 1), ("y", 1), ("x", 3)] for key, end in edges if key == at]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
 def test_rounds_do_not_move_the_edges(spark):
     from streetflow.session import fixed_partitions
     _, e = build(spark, 8, EDGES)
