@@ -58,9 +58,11 @@ PAIRED_DIMS = 5000
 PAIRED_ROWS = 512
 STEP = 1.5
 ANCHOR_WORDS = 8
-PROJECTED_WORDS = 20_000
-#: Bytes of texts a pass works on at a time, few enough for a processor's cache, and bits of the table of the anchors that may be there.
+PROJECTED_WORDS = 100_000
+#: Words whose vectors are summed at a time, and bytes of texts the first pass works on: few enough for a processor's cache.
+SUMMED_WORDS = 512
 PASS_BYTES = 1 << 18
+#: Bits of the table of the anchors that may be there.
 ANCHOR_BITS = 18
 COSINE = 0.65
 COPIED = 0.9
@@ -195,7 +197,7 @@ def _corpus(sent, batches):
     sums, count = np.zeros((len(signs), RANK + OVERSAMPLE), np.float32), 0
     pairs = np.zeros((len(signs),) * 2) if len(signs) <= PAIRED_DIMS else None
     for b in batches:
-        for _, part in slices(b.column("text"), lower=True, most=PASS_BYTES):
+        for _, part in slices(b.column("text"), lower=True):
             dims = _dims(_words(part))
             # passages of FIT_WIDTH words in a row, the last of a text as long as what is left
             begins = (np.arange(len(dims)) - part.first[part.rows]) % FIT_WIDTH == 0
@@ -393,31 +395,27 @@ def _candidates(part: Slice, words, idf, widths, index, basis, latent, least, re
     total = np.concatenate([[0], np.cumsum(weight**2)])
     known = np.concatenate([[0], np.cumsum(np.where(row >= 0, weight**2, 0))])
     most = np.concatenate([[0], np.cumsum(weight * reach[row])])
-    held = np.flatnonzero(row >= 0)
-    inside = np.concatenate([[0], np.cumsum(row >= 0)])
-    near = []
+    scaled = np.where(row >= 0, weight, 0).astype(np.float32)
     for width in widths:
         low, high = _passages(part, width)
         norm = total[high] - total[low]
-        k = np.flatnonzero((most[high] - most[low] >= COSINE * np.sqrt(norm)) & (known[high] - known[low] >= (COSINE * least)**2 * norm * (1 - 1e-6)))
-        near.append((low[k], high[k], norm[k]))
-    low, high, norm = (np.concatenate(x) for x in zip(*near))
-    # words outside the basis add nothing, and passages overlap: each word that is in one is projected once, a passage is a difference of sums
-    first, last = inside[low], inside[high]
-    covered = np.cumsum(np.bincount(first, minlength=len(held) + 1) - np.bincount(last, minlength=len(held) + 1))[:-1] > 0
-    at, place = held[covered], np.concatenate([[0], np.cumsum(covered)])
-    first, last = place[first], place[last]
-    order = np.argsort(first, kind="stable")
-    cuts = np.searchsorted(first[order], np.arange(0, len(at) + PROJECTED_WORDS, PROJECTED_WORDS))
-    for few in (order[a:z] for a, z in zip(cuts, cuts[1:]) if a < z):
-        start, stop = first[few[0]], last[few].max()
-        sums = np.zeros((stop - start + 1, basis.shape[1]))
-        np.cumsum(weight[at[start:stop], None] * basis[row[at[start:stop]]], axis=0, out=sums[1:])
-        latents = (sums[last[few] - start] - sums[first[few] - start]).astype(np.float32)
-        cosines = latents @ latent.T / np.sqrt(np.maximum(norm[few], 1e-9))[:, None]
-        passage, item = np.nonzero(cosines >= COSINE)
-        k = few[passage]
-        yield part.rows[low[k]], low[k], high[k], item, cosines[passage, item].astype(np.float64)
+        near = np.flatnonzero((most[high] - most[low] >= COSINE * np.sqrt(norm)) & (known[high] - known[low] >= (COSINE * least)**2 * norm * (1 - 1e-6)))
+        for few in np.array_split(near, max(1, len(near) * width // PROJECTED_WORDS)):
+            if not len(few):
+                continue
+            size = high[few] - low[few]
+            first = np.cumsum(size) - size
+            latents = np.empty((len(few), basis.shape[1]), np.float32)
+            cuts = np.searchsorted(first, np.arange(0, size.sum() + SUMMED_WORDS, SUMMED_WORDS))
+            for a, z in zip(cuts, cuts[1:]):
+                if a < z:
+                    begins = first[a:z] - first[a]
+                    at = np.repeat(low[few[a:z]] - begins, size[a:z]) + np.arange(size[a:z].sum())
+                    np.add.reduceat(scaled[at][:, None] * basis[np.maximum(row[at], 0)], begins, axis=0, out=latents[a:z])
+            cosines = latents @ latent.T / np.sqrt(np.maximum(norm[few], 1e-9))[:, None]
+            passage, item = np.nonzero(cosines >= COSINE)
+            k = few[passage]
+            yield part.rows[low[k]], low[k], high[k], item, cosines[passage, item].astype(np.float64)
 
 
 def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -447,7 +445,7 @@ def _searched(docs: DataFrame, blocks: list[pa.Table], idf: np.ndarray) -> DataF
         idf, queries, anchors, fitted = sent.value
         for b in batches:
             out = []
-            for at, part in slices(b.column("text"), lower=True, most=PASS_BYTES) if len(queries) else ():
+            for at, part in slices(b.column("text"), lower=True) if len(queries) else ():
                 words = _words(part)
                 if not len(words):
                     continue
